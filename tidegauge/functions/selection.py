@@ -126,15 +126,25 @@ def exact_quantiles(
     df: DataFrame,
     wanted: Mapping[str, Sequence[float]],
     expressions: Mapping[str, Column] | None = None,
+    at_most: int | None = None,
     direct_rows: int = DIRECT_ROWS,
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles per name; nulls and NaN are skipped, none left gives None.
 
-    A name is a column of ``df`` unless ``expressions`` defines it.
+    A name is a column of ``df`` unless ``expressions`` defines it. A table of at most
+    ``direct_rows`` rows goes through the built-in ``percentile``; a caller that knows such a
+    bound passes it as ``at_most`` and saves the count.
     """
     source = {c: (expressions or {}).get(c, F.col(c)).cast("double") for c in wanted}
     clean = {c: F.when(~F.isnan(value), value) for c, value in source.items()}
-    counted = df.agg(*[F.count(v).alias(c) for c, v in clean.items()]).first()
+    if at_most is None or at_most > direct_rows:
+        counted = df.agg(*[F.count(v).alias(c) for c, v in clean.items()]).first().asDict()
+        at_most = max(counted.values())
+    if at_most <= direct_rows:
+        built_in = [F.percentile(v, [float(p) for p in wanted[c]]).alias(c) for c, v in clean.items()]
+        found = df.agg(*built_in).first()
+        return {c: list(found[c]) if found[c] is not None else [None] * len(wanted[c]) for c in wanted}
+
     requests: list[tuple[Column, int, int]] = []
     for column, shares in wanted.items():
         count = counted[column]
@@ -142,7 +152,7 @@ def exact_quantiles(
             for share in shares:
                 position = share * (count - 1)
                 requests += [(clean[column], rank, count) for rank in (math.floor(position), math.ceil(position))]
-    answers = iter(order_statistics(df, requests, direct_rows) if requests else [])
+    answers = iter(order_statistics(df, requests, direct_rows))
     result: dict[str, list[float | None]] = {}
     for column, shares in wanted.items():
         count = counted[column]

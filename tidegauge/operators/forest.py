@@ -34,7 +34,7 @@ from tidegauge.sources.raw import sample_n
 logger = logging.getLogger(__name__)
 
 ROWS_PER_TASK = 50_000
-CONCURRENT_FITS = 4
+CONCURRENT_FITS = 5
 LOW_AUC = 0.60  # fixed value: below this a training run warns
 BACKGROUND_ROWS = 20
 
@@ -74,10 +74,11 @@ def _cleaned(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def fit_forest(train: DataFrame, config: RiskConfig, features: Sequence[str], rows: int) -> PipelineModel:
     """Fit clean → scale → assemble → forest as one savable pipeline, with balanced classes.
 
-    ``train`` is read by several jobs, so pass a written table. ``rows`` sizes the tasks.
+    ``train`` is read by several jobs, so pass a written table. ``rows`` is an upper bound of
+    its size.
     """
     ensure_checkpoint_dir(train.sparkSession)
-    scaling = robust_scaling(_cleaned(train, features), tuple(features))
+    scaling = robust_scaling(_cleaned(train, features), tuple(features), at_most=rows)
     forest = _Forest(
         featuresCol="risk_features", labelCol=config.label, weightCol="class_weight",
         numTrees=config.trees, maxDepth=config.depth, minInstancesPerNode=config.min_leaf, seed=config.seed,
@@ -227,7 +228,9 @@ def row_attribution(
     drawn = sample_n(clean, background, F.xxhash64(*keys)).select(*features).collect()
     others = F.explode(F.array(*[F.struct(*[F.lit(float(v)).alias(c) for c, v in zip(features, row)]) for row in drawn]))
     masks = F.explode(F.sequence(F.lit(0), F.lit(2 ** len(features) - 1)))
-    mixed = clean.withColumn("_other", others).withColumn("_mask", masks)
+    # Partitioned by key before the rows multiply: the sum per key then needs no second shuffle.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    mixed = clean.repartition(tasks, *keys).withColumn("_other", others).withColumn("_mask", masks)
 
     def taken(position: int, name: str) -> Column:
         own = F.col("_mask").bitwiseAND(F.lit(1 << position)) != 0

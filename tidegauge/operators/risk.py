@@ -79,9 +79,13 @@ def clean_features(df: DataFrame, columns: tuple[str, ...] = tuple(RISK_FEATURES
     return df.withColumns({c: finite_or_zero(F.col(c)) for c in columns if c in df.columns})
 
 
-def robust_scaling(df: DataFrame, columns: tuple[str, ...] = tuple(RISK_FEATURES)) -> dict[str, tuple[float, float]]:
+def robust_scaling(
+    df: DataFrame,
+    columns: tuple[str, ...] = tuple(RISK_FEATURES),
+    at_most: int | None = None,
+) -> dict[str, tuple[float, float]]:
     """Median and interquartile range per column; a range of 0 counts as 1."""
-    found = exact_quantiles(df, {c: [0.25, 0.5, 0.75] for c in columns})
+    found = exact_quantiles(df, {c: [0.25, 0.5, 0.75] for c in columns}, at_most=at_most)
     scaling = {}
     for name, (lower, median, upper) in found.items():
         spread = (upper or 0.0) - (lower or 0.0)
@@ -140,6 +144,8 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def with_class_weight(df: DataFrame, label: str, name: str = "class_weight") -> DataFrame:
-    """Attach each row's class weight; the weights are one row per class."""
-    weights = class_weights(df, label).select(label, F.col("weight").alias(name))
-    return df.join(F.broadcast(weights), label)
+    """Attach each row's class weight. The weights are one number per class, kept as literals."""
+    weight = F.lit(None).cast("double")
+    for value, _, found in class_weights(df, label).collect():
+        weight = F.when(F.col(label) == F.lit(value), F.lit(found)).otherwise(weight)
+    return df.withColumn(name, weight)
