@@ -20,8 +20,9 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DIRECT_ROWS = 100_000
-SKETCH_ACCURACY = 2_000
+DIRECT_ROWS = 250_000
+SKETCH_ACCURACY = 5_000
+SKETCH_GROUPS = 32
 
 
 @dataclass
@@ -72,25 +73,37 @@ def order_statistics(
 
 def _advance(values: DataFrame, todo: list[_Search], direct_rows: int) -> None:
     rows = values.filter(reduce(or_, [s.within() for s in todo]))
-    probes = []
-    for search in todo:
-        inside = F.when(search.within(), F.col(search.column))
-        if search.inside <= direct_rows:
-            probes.append(F.get(F.sort_array(F.collect_list(inside)), search.rank))
-        else:
-            share, margin = search.rank / search.inside, 2 / SKETCH_ACCURACY
-            ends = [max(0.0, share - margin), min(1.0, share + margin)]
-            probes.append(F.percentile_approx(inside, ends, SKETCH_ACCURACY))
-    found = rows.agg(*[p.alias(f"p{i}") for i, p in enumerate(probes)]).first()
-
-    narrowing = []
-    for i, search in enumerate(todo):
-        if search.inside <= direct_rows:
+    small = [s for s in todo if s.inside <= direct_rows]
+    large = [s for s in todo if s.inside > direct_rows]
+    if small:
+        sorted_inside = [F.sort_array(F.collect_list(F.when(s.within(), F.col(s.column)))) for s in small]
+        found = rows.agg(*[F.get(a, s.rank).alias(f"p{i}") for i, (s, a) in enumerate(zip(small, sorted_inside))]).first()
+        for i, search in enumerate(small):
             search.settle(found[i])
-        else:
-            narrowing.append((search, *found[i]))
-    if narrowing:
-        _narrow(rows, narrowing)
+    if large:
+        _narrow(rows, _propose(rows, large))
+
+
+def _propose(rows: DataFrame, searches: list[_Search]) -> list[tuple[_Search, Any, Any]]:
+    """Two values that should enclose each wanted rank.
+
+    Sketches are merged in a few groups of tasks, not all in one place; the middle proposal of
+    the groups is taken. A poor proposal costs a round, never a wrong answer.
+    """
+    sketches = []
+    for i, search in enumerate(searches):
+        share, margin = search.rank / search.inside, 2 / SKETCH_ACCURACY
+        ends = [max(0.0, share - margin), min(1.0, share + margin)]
+        inside = F.when(search.within(), F.col(search.column))
+        sketches.append(F.percentile_approx(inside, ends, SKETCH_ACCURACY).alias(f"p{i}"))
+    group = (F.spark_partition_id() % SKETCH_GROUPS).alias("_group")
+    found = rows.groupBy(group).agg(*sketches).drop("_group").collect()
+    proposals = []
+    for i, search in enumerate(searches):
+        ends = [row[i] for row in found if row[i] is not None]
+        lows, highs = sorted(e[0] for e in ends), sorted(e[1] for e in ends)
+        proposals.append((search, lows[len(lows) // 2], highs[len(highs) // 2]))
+    return proposals
 
 
 def _narrow(rows: DataFrame, narrowing: list[tuple[_Search, Any, Any]]) -> None:
@@ -167,22 +180,29 @@ def exact_quantiles(
     return result
 
 
+def group_counts(df: DataFrame, by: str) -> dict[Any, int]:
+    """Rows per non-null value of a column with few values."""
+    return {row[0]: row[1] for row in df.filter(F.col(by).isNotNull()).groupBy(by).count().collect()}
+
+
 def first_shares(
     df: DataFrame,
     by: str,
     order: Column,
     shares: Sequence[float],
+    counts: Mapping[Any, int] | None = None,
     direct_rows: int = DIRECT_ROWS,
 ) -> dict[Any, list[Any]]:
     """Per value of ``by``, the ``order`` value that closes the first round(share * count) rows.
 
     A row-numbering window would put a whole class into one task; these cutoffs make any
-    stratified split a plain filter. ``by`` must have few values (class labels). ``None``
-    stands for an empty share.
+    stratified split a plain filter. ``by`` must have few values (class labels); pass their
+    ``counts`` where known. ``None`` stands for an empty share.
     """
-    groups = df.filter(F.col(by).isNotNull()).groupBy(by).count().orderBy(by).collect()
+    if counts is None:
+        counts = group_counts(df, by)
     requests, sizes = [], {}
-    for value, count in groups:
+    for value, count in counts.items():
         sizes[value] = [min(count, math.floor(share * count + 0.5)) for share in shares]
         member = F.when(F.col(by) == F.lit(value), order)
         requests += [(member, size - 1, count) for size in sizes[value] if size]

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.functions.expressions import percent_text, psi_severity, rows_from
+from tidegauge.functions.expressions import null_if_nan, percent_text, psi_severity, rows_from
 from tidegauge.functions.running import running_totals
 from tidegauge.session import materialize
 
@@ -61,19 +61,23 @@ def drift_pct_change(means: DataFrame, baseline: DataFrame, threshold: float = C
     return rows_from(means, [line(i, n) for i, n in enumerate(MEANS, 1)])
 
 
-def _both_sides(baseline: DataFrame, current: DataFrame, metrics: Sequence[str]) -> DataFrame:
-    """metric, value, and 0 for a baseline row or 1 for a current row; nulls and NaN are left out."""
-    kept = [m for m in metrics if m in baseline.columns and m in current.columns]
-
+def _wide(baseline: DataFrame, current: DataFrame, metrics: Sequence[str]) -> DataFrame:
+    """side (0 baseline, 1 current) and the metrics as doubles, NaN as null."""
     def tagged(df: DataFrame, side: int) -> DataFrame:
-        wide = df.select(F.lit(side).alias("side"), *[F.col(m).cast("double").alias(m) for m in kept])
-        return wide.unpivot("side", kept, "metric", "value").filter(
-            F.col("value").isNotNull() & ~F.isnan("value")
-        )
+        return df.select(F.lit(side).alias("side"), *[null_if_nan(F.col(m).cast("double")).alias(m) for m in metrics])
 
     return tagged(baseline, 0).unionAll(tagged(current, 1))
 
 
+def _long(wide: DataFrame, metrics: Sequence[str]) -> DataFrame:
+    """side, metric, value without nulls."""
+    return wide.unpivot("side", list(metrics), "metric", "value").filter(F.col("value").isNotNull())
+
+
+def _shared(baseline: DataFrame, current: DataFrame, metrics: Sequence[str]) -> list[str]:
+    return [m for m in metrics if m in baseline.columns and m in current.columns]
+
+
 def psi_edges(bounds: dict[str, tuple[float, float]], bins: int = PSI_BINS) -> dict[str, list[float]]:
     """Inner bin edges per metric, ``low + i * ((high - low) / bins)``; none for a constant."""
     return {
@@ -93,11 +97,12 @@ def drift_psi(
     Two passes: the joint range (a few numbers, kept as literals), then counts per bin, which
     are partially summed in each task. Empty bins enter through the full bin grid.
     """
-    kept = [m for m in metrics if m in baseline.columns and m in current.columns]
-    values = _both_sides(baseline, current, kept)
-    ranges = values.groupBy("metric").agg(F.min("value"), F.max("value")).collect()
-    edges = psi_edges({metric: (low, high) for metric, low, high in ranges}, bins)
+    kept = _shared(baseline, current, metrics)
+    wide = _wide(baseline, current, kept)
+    ranges = wide.agg(*[F.array(F.min(m), F.max(m)).alias(m) for m in kept]).first()
+    edges = psi_edges({m: tuple(ranges[m]) for m in kept if ranges[m][0] is not None}, bins)
 
+    values = _long(wide, kept)
     index = F.lit(0)
     for metric, cuts in edges.items():
         place = sum(((F.col("value") >= F.lit(cut)).cast("int") for cut in cuts), F.lit(0))
@@ -155,8 +160,8 @@ def drift_ks(
     Equal values are counted first (a hot value is one row per task before the shuffle), then
     both empirical distributions are running totals over the distinct values.
     """
-    kept = [m for m in metrics if m in baseline.columns and m in current.columns]
-    counted = _both_sides(baseline, current, kept).groupBy("metric", "value").agg(
+    kept = _shared(baseline, current, metrics)
+    counted = _long(_wide(baseline, current, kept), kept).groupBy("metric", "value").agg(
         F.count_if(F.col("side") == 0).alias("base"), F.count_if(F.col("side") == 1).alias("now")
     )
     counted = materialize(counted, "ks-values")

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.functions.expressions import finite_or_zero, rows_from
+from tidegauge.functions.selection import group_counts
 from tidegauge.operators import evaluate
 from tidegauge.operators.risk import (
     RiskConfig,
@@ -107,7 +108,7 @@ def usable_features(df: DataFrame, config: RiskConfig) -> list[str]:
 
 
 def class_counts(labelled: DataFrame, config: RiskConfig) -> dict[int, int]:
-    counts = {row[0]: row[1] for row in labelled.groupBy(config.label).count().collect()}
+    counts = group_counts(labelled, config.label)
     if sum(counts.values()) < config.min_rows:
         raise ValueError(f"only {sum(counts.values())} rows, training needs at least {config.min_rows}")
     if len(counts) < 2:
@@ -144,6 +145,7 @@ def train_risk_model(
     ranking = evaluate.ranking_metrics(scored).first()
     counted = evaluate.confusion_counts(scored)
     cells = counted.first()
+    counted = labelled.sparkSession.createDataFrame([cells], counted.schema)
     test_rows = sum(cells)
     metrics: dict[str, Any] = {
         "roc_auc": ranking.roc_auc,

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegauge.functions.expressions import finite_or_zero, flag
-from tidegauge.functions.selection import exact_quantiles, first_shares
+from tidegauge.functions.selection import exact_quantiles, first_shares, group_counts
 from tidegauge.schema import RISK_FEATURES
 
 logger = logging.getLogger(__name__)
@@ -112,11 +112,12 @@ def stratified_split(df: DataFrame, label: str, order: Column, test_share: float
     A class of a single row is not stratified; then the whole table is split as one.
     ``order`` must tell rows apart.
     """
-    smallest = min((row["count"] for row in df.groupBy(label).count().collect()), default=0)
-    if smallest >= 2:
-        cuts = first_shares(df, label, order, [test_share])
+    counts = group_counts(df, label)
+    if min(counts.values(), default=0) >= 2:
+        cuts = first_shares(df, label, order, [test_share], counts)
     else:
-        cuts = {None: first_shares(df.withColumn("_all", F.lit(1)), "_all", order, [test_share]).get(1, [None])}
+        whole = first_shares(df.withColumn("_all", F.lit(1)), "_all", order, [test_share])
+        cuts = {None: whole.get(1, [None])}
     is_test = F.lit(False)
     for value, (cut,) in cuts.items():
         if cut is not None:

@@ -168,7 +168,7 @@ def materialize_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def export_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "feature-days")
     days = labelled_days(spark, sf_dir)
-    layers.export_csv(days, path, single_file=True)
+    layers.export_csv(days, path)
     return spark.read.schema(days.schema).option("header", True).csv(path)
 
 
@@ -901,8 +901,8 @@ def run_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("rows_processed"),
         F.count_if(F.col("is_high_risk") == 1).alias("high_risk_features"),
         F.lit(report.score_pct).alias("quality_score_pct"),
-        F.lit(report.passed).alias("quality_checks_passed"),
-        F.lit(alerts).alias("drift_alerts"),
+        F.lit(report.passed).cast("long").alias("quality_checks_passed"),
+        F.lit(alerts).cast("long").alias("drift_alerts"),
     )
 
 

@@ -122,7 +122,7 @@ def _run(spark: SparkSession, csv_path: str, config: PipelineConfig, baseline_ev
         quality.expectations(events, p99=seen.p99), seen.frame, quality.duplicate_count(events)
     )
     quality_results = small(quality_results)
-    quality_report = quality.dq_report(quality_results)
+    quality_report = small(quality.dq_report(quality_results))
     reports.json_report_sink(reports.stamped(quality_report), config.at("reports/data_quality"))
     _gates(seen.row, events.columns)
 
@@ -140,7 +140,7 @@ def _run(spark: SparkSession, csv_path: str, config: PipelineConfig, baseline_ev
     model_path = config.at(f"models/risk-{int(time.time() * 1000)}")
     forest.save_model(trained.model, model_path)
     runs.log_training_run(spark, config.at("runs"), trained.metrics, config.risk, model_path, "auto_run")
-    layers.export_csv(trained.importance, config.at("reports/feature_importance"), single_file=True)
+    layers.export_csv(trained.importance, config.at("reports/feature_importance"))
     shown = {k: v for k, v in trained.metrics.items() if k != "classification_report"}
     metrics_row = spark.createDataFrame([(str(trained.metrics["classification_report"]),)], "classification_report string")
     metrics_row = metrics_row.select("*", *[F.lit(v).alias(k) for k, v in shown.items()])
@@ -149,7 +149,7 @@ def _run(spark: SparkSession, csv_path: str, config: PipelineConfig, baseline_ev
     if config.attribution:
         attribution = forest.mean_abs_attribution(scored, trained.model, features=trained.metrics["feature_cols"])
         attribution = small(attribution)
-    layers.export_csv(scored, config.at("processed/feature_metrics"), single_file=True)
+    layers.export_csv(scored, config.at("processed/feature_metrics"))
 
     quality_row, drift_row = quality_report.first(), drift_report.first()
     totals = scored.agg(F.count(F.lit(1)), F.count_if(F.col("risk_probability") > 0.5)).first()
@@ -188,8 +188,9 @@ def _drift_step(
     if baseline_events is not None:
         psi, ks = drift.drift_psi(baseline_events, events), drift.drift_ks(baseline_events, events)
     report = drift.drift_report(changes, psi, ks, config.drift_threshold)
+    report = small(report)
     reports.json_report_sink(reports.stamped(report), config.at("reports/data_drift"))
-    return small(report)
+    return report
 
 
 def small(report: DataFrame) -> DataFrame:

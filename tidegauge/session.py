@@ -21,6 +21,8 @@ def build_session(app: str = "tidegauge", **conf: str) -> SparkSession:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # Call-site capture costs milliseconds per column expression; wide aggregations have hundreds.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     for key, value in settings.items():

@@ -116,9 +116,9 @@ def materialize_table(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """Header CSV. ``single_file`` is for frames at feature-day grain or smaller."""
-    (df.coalesce(1) if single_file else df).write.mode("overwrite").option("header", True).csv(path)
+def export_csv(df: DataFrame, path: str) -> None:
+    """Header CSV, one file per partition; a small frame ends up in one."""
+    df.write.mode("overwrite").option("header", True).csv(path)
 
 
 def layer_inventory(spark: SparkSession, lake: str) -> DataFrame:
