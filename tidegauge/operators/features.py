@@ -33,15 +33,20 @@ class EventScale:
     @classmethod
     def of(cls, df: DataFrame) -> EventScale:
         """``df`` must already be free of unparseable timestamps."""
-        p95 = exact_quantiles(df, {"latency_ms": [ANOMALY_QUANTILE]})["latency_ms"][0]
-        longest = df.agg(F.max("session_duration")).first()[0]
-        return cls(p95, float(longest) if longest is not None and longest > 0 else 1.0)
+        longest, rows = df.agg(F.max("session_duration"), F.count(F.lit(1))).first()
+        p95 = exact_quantiles(df, {"latency_ms": [ANOMALY_QUANTILE]}, at_most=rows)["latency_ms"][0]
+        return cls.from_figures(p95, longest)
+
+    @classmethod
+    def from_figures(cls, latency_p95: float | None, longest_session: float | None) -> EventScale:
+        """A missing or non-positive longest session counts as 1."""
+        return cls(latency_p95, float(longest_session) if longest_session and longest_session > 0 else 1.0)
 
 
 def parse_ts_drop_bad(df: DataFrame) -> DataFrame:
     """Parse ``timestamp``, drop rows where that fails, add the ISO day as text."""
     parsed = df.withColumn("timestamp", wall_time(df, "timestamp")).dropna(subset=["timestamp"])
-    return parsed.withColumn("date", F.date_format("timestamp", "yyyy-MM-dd"))
+    return parsed.withColumn("date", F.col("timestamp").cast("date").cast("string"))
 
 
 def bad_timestamp_count(df: DataFrame) -> DataFrame:

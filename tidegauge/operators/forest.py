@@ -7,7 +7,6 @@ import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import reduce
 from typing import Any
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -135,8 +134,22 @@ def train_risk_model(
     positive_share = counts.get(1, 0) / total
     warn_on_weak_label(positive_share)
 
-    model = fit_forest(split.filter(~F.col("is_test")), config, features, total)
-    scored = score_rows(split.filter("is_test"), model).select(
+    with ThreadPoolExecutor(1) as pool:  # cross-validation overlaps with the main fit
+        folds = None
+        if cross_validate and total >= config.fold_min_rows:
+            folds = pool.submit(lambda: cv_auc(split, config, keys, total).first())
+        model = fit_forest(split.filter(~F.col("is_test")), config, features, total)
+        metrics = evaluate_model(split.filter("is_test"), model, config)
+        metrics["cv_auc_mean"], metrics["cv_auc_std"] = folds.result() if folds else (metrics["roc_auc"], 0.0)
+    metrics.update(positive_rate=positive_share, train_rows=total - metrics["test_rows"], feature_cols=features)
+    if metrics["roc_auc"] is not None and metrics["roc_auc"] < LOW_AUC:
+        logger.warning("low AUC (%.4f): consider more features or more data", metrics["roc_auc"])
+    return TrainedRisk(model, metrics, feature_importance(model, features))
+
+
+def evaluate_model(test: DataFrame, model: PipelineModel, config: RiskConfig) -> dict[str, Any]:
+    """Ranking metrics, confusion matrix and class report on held-out rows."""
+    scored = score_rows(test, model).select(
         F.col(config.label).alias("label"),
         F.col("risk_probability").alias("score"),
         F.col("risk_label").alias("predicted"),
@@ -145,26 +158,16 @@ def train_risk_model(
     ranking = evaluate.ranking_metrics(scored).first()
     counted = evaluate.confusion_counts(scored)
     cells = counted.first()
-    counted = labelled.sparkSession.createDataFrame([cells], counted.schema)
-    test_rows = sum(cells)
-    metrics: dict[str, Any] = {
+    counted = test.sparkSession.createDataFrame([cells], counted.schema)
+    rows = sum(cells)
+    return {
         "roc_auc": ranking.roc_auc,
         "average_precision": ranking.average_precision,
-        "accuracy": (cells.tn + cells.tp) / test_rows if test_rows else None,
-        "positive_rate": positive_share,
+        "accuracy": (cells.tn + cells.tp) / rows if rows else None,
         "confusion_matrix": [[cells.tn, cells.fp], [cells.fn, cells.tp]],
         "classification_report": [r.asDict() for r in evaluate.class_report(counted).collect()],
-        "train_rows": total - test_rows,
-        "test_rows": test_rows,
-        "feature_cols": features,
+        "test_rows": rows,
     }
-    if cross_validate and total >= config.fold_min_rows:
-        metrics["cv_auc_mean"], metrics["cv_auc_std"] = cv_auc(split, config, keys, total).first()
-    else:
-        metrics["cv_auc_mean"], metrics["cv_auc_std"] = ranking.roc_auc, 0.0
-    if ranking.roc_auc is not None and ranking.roc_auc < LOW_AUC:
-        logger.warning("low AUC (%.4f): consider more features or more data", ranking.roc_auc)
-    return TrainedRisk(model, metrics, feature_importance(model, features))
 
 
 def cv_auc(
@@ -179,15 +182,16 @@ def cv_auc(
     order = row_order(config.seed + 1, *keys)
     folded = materialize(stratified_folds(labelled, config.label, order, config.folds), "risk-folds")
 
-    def held_out(fold: int) -> DataFrame:
+    def held_out_auc(fold: int) -> float | None:
         model = fit_forest(folded.filter(F.col("fold") != fold), config, features, rows)
-        return score_rows(folded.filter(F.col("fold") == fold), model).select(
-            "fold", F.col(config.label).alias("label"), F.col("risk_probability").alias("score")
+        scored = score_rows(folded.filter(F.col("fold") == fold), model).select(
+            F.col(config.label).alias("label"), F.col("risk_probability").alias("score")
         )
+        return evaluate.ranking_metrics(scored).first().roc_auc
 
     with ThreadPoolExecutor(CONCURRENT_FITS) as pool:
-        scored = reduce(DataFrame.unionAll, pool.map(held_out, range(config.folds)))
-    return evaluate.ranking_metrics(scored, by="fold").agg(
+        found = [(auc,) for auc in pool.map(held_out_auc, range(config.folds))]
+    return labelled.sparkSession.createDataFrame(found, "roc_auc double").agg(
         F.avg("roc_auc").alias("cv_auc_mean"), F.stddev_pop("roc_auc").alias("cv_auc_std")
     )
 

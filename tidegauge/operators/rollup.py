@@ -16,15 +16,19 @@ NO_DAY = "NaT"  # fixed value: day label of rows whose timestamp does not parse
 
 
 def agg_daily(df: DataFrame) -> DataFrame:
-    """Per (feature_name, day text): means and the count of non-null user ids."""
-    day = F.coalesce(F.date_format(wall_time(df, "timestamp"), "yyyy-MM-dd"), F.lit(NO_DAY))
-    return df.filter(F.col("feature_name").isNotNull()).groupBy("feature_name", day.alias("date")).agg(
+    """Per (feature_name, day text): means and the count of non-null user ids.
+
+    Grouped by the date itself; only the grouped rows are formatted.
+    """
+    day = wall_time(df, "timestamp").cast("date")
+    grouped = df.filter(F.col("feature_name").isNotNull()).groupBy("feature_name", day.alias("date")).agg(
         F.avg("latency_ms").alias("avg_latency"),
         F.avg("crash_flag").alias("crash_rate"),
         F.avg("feedback_score").alias("avg_feedback"),
         F.count("user_id").alias("usage_count"),
         F.avg("error_count").alias("avg_error_count"),
     )
+    return grouped.withColumn("date", F.coalesce(F.col("date").cast("string"), F.lit(NO_DAY)))
 
 
 def silver_daily(bronze: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import logging
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -23,6 +24,8 @@ from tidegauge.sources.raw import read_raw_csv
 
 logger = logging.getLogger(__name__)
 
+PARALLEL_OUTPUTS = 4
+
 @dataclass
 class RunResult:
     report: dict[str, Any]
@@ -106,9 +109,8 @@ def measure(raw: DataFrame) -> Measured:
 
     parsed = F.when(moment.isNotNull(), F.col("latency_ms"))
     wanted = {"p99": [0.99], "p95": [features.ANOMALY_QUANTILE]}
-    ranks = exact_quantiles(events, wanted, {"p99": F.col("latency_ms"), "p95": parsed})
-    longest = row.longest_session
-    scale = features.EventScale(ranks["p95"][0], float(longest) if longest and longest > 0 else 1.0)
+    ranks = exact_quantiles(events, wanted, {"p99": F.col("latency_ms"), "p95": parsed}, at_most=row["rows"])
+    scale = features.EventScale.from_figures(ranks["p95"][0], row.longest_session)
     return Measured(row.asDict(), spark.createDataFrame([row], frame.schema), scale, ranks["p99"][0])
 
 
@@ -138,18 +140,21 @@ def _run(spark: SparkSession, csv_path: str, config: PipelineConfig, baseline_ev
     scored = layers.read_silver(spark, config.lake, "scored", today).drop("_processing_date")
 
     model_path = config.at(f"models/risk-{int(time.time() * 1000)}")
-    forest.save_model(trained.model, model_path)
+    # The outputs do not depend on one another, so their small jobs overlap.
+    with ThreadPoolExecutor(PARALLEL_OUTPUTS) as pool:
+        outputs = [
+            pool.submit(forest.save_model, trained.model, model_path),
+            pool.submit(layers.export_csv, trained.importance, config.at("reports/feature_importance")),
+            pool.submit(layers.export_csv, scored, config.at("processed/feature_metrics")),
+            pool.submit(_save_metrics, spark, trained.metrics, config.at("reports/metrics")),
+        ]
+        attribution = trained.importance.limit(0)
+        if config.attribution:
+            names = trained.metrics["feature_cols"]
+            attribution = small(forest.mean_abs_attribution(scored, trained.model, features=names))
+        for output in outputs:
+            output.result()
     runs.log_training_run(spark, config.at("runs"), trained.metrics, config.risk, model_path, "auto_run")
-    layers.export_csv(trained.importance, config.at("reports/feature_importance"))
-    shown = {k: v for k, v in trained.metrics.items() if k != "classification_report"}
-    metrics_row = spark.createDataFrame([(str(trained.metrics["classification_report"]),)], "classification_report string")
-    metrics_row = metrics_row.select("*", *[F.lit(v).alias(k) for k, v in shown.items()])
-    reports.json_report_sink(reports.stamped(metrics_row), config.at("reports/metrics"))
-    attribution = trained.importance.limit(0)
-    if config.attribution:
-        attribution = forest.mean_abs_attribution(scored, trained.model, features=trained.metrics["feature_cols"])
-        attribution = small(attribution)
-    layers.export_csv(scored, config.at("processed/feature_metrics"))
 
     quality_row, drift_row = quality_report.first(), drift_report.first()
     totals = scored.agg(F.count(F.lit(1)), F.count_if(F.col("risk_probability") > 0.5)).first()
@@ -169,6 +174,14 @@ def _run(spark: SparkSession, csv_path: str, config: PipelineConfig, baseline_ev
     return RunResult(report, scored, quality_results, drift_report, trained.importance, attribution)
 
 
+def _save_metrics(spark: SparkSession, metrics: dict[str, Any], path: str) -> None:
+    lines = metrics["classification_report"]
+    report = F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in line.items()]) for line in lines])
+    figures = [F.lit(v).alias(k) for k, v in metrics.items() if k != "classification_report"]
+    row = spark.range(1).select(*figures, report.alias("classification_report"))
+    reports.json_report_sink(reports.stamped(row), path)
+
+
 def _drift_step(
     spark: SparkSession,
     config: PipelineConfig,

@@ -43,7 +43,7 @@ def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
             value = F.when(k == int(key[1:]), F.lit(replacement)).otherwise(value)
         return value.alias(name)
 
-    second = F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss")
+    second = F.date_trunc("second", F.col("timestamp")).cast("string")
     return keyed_events(spark, sf_dir).select(
         "event_id",
         "k",
