@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidegauge.functions.selection import DIRECT_ROWS
+
 
 def running_totals(
     df: DataFrame,
@@ -14,15 +17,20 @@ def running_totals(
     totals: Sequence[str],
     by: str,
     buckets: int | None = None,
+    at_most: int | None = None,
 ) -> DataFrame:
     """Add ``run_<total>``: the inclusive sum of each total in ``order`` within ``by``.
 
-    ``df`` has one row per (by, order) and is read twice, so pass a written table. ``by`` must
-    have few values (metrics, folds). The order column is cut at sketched split points, each
+    ``df`` has one row per (by, order). A caller that knows it holds ``at_most`` rows gets a
+    plain window while that is few; otherwise ``df`` is read three times, so pass a written
+    table. ``by`` must have few values (metrics, folds). The order column is cut at sketched split points, each
     slice is summed in its own task, and the slice sums (few rows, at most values of ``by``
     times ``buckets``) are broadcast back as offsets. Split points are taken once and become
     literals, so a re-run task slices the same way.
     """
+    if at_most is not None and at_most <= DIRECT_ROWS:
+        whole = Window.partitionBy(by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumns({f"run_{t}": F.sum(t).over(whole) for t in totals})
     spark = df.sparkSession
     buckets = buckets or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     points = [i / buckets for i in range(1, buckets)]
@@ -41,8 +49,19 @@ def running_totals(
 
 
 def _slice_of(group: Column, value: Column, splits: Sequence) -> Column:
+    """Number of split points below the value, looked up in two steps of about sqrt(splits) each."""
+    def below(cuts: Column) -> Column:
+        return F.size(F.filter(cuts, lambda cut: cut < value))
+
     chosen = F.lit(0)
     for key, at in splits:
-        cuts = F.array(*[F.lit(x) for x in sorted(set(at))])
-        chosen = F.when(group == F.lit(key), F.size(F.filter(cuts, lambda cut: cut < value))).otherwise(chosen)
+        cuts = sorted(set(at))
+        width = math.isqrt(len(cuts)) + 1
+        chunks = [cuts[i:i + width] for i in range(0, len(cuts), width)]
+        full = below(F.array(*[F.lit(chunk[-1]) for chunk in chunks]))
+        rest = F.array(*[F.array(*[F.lit(x) for x in chunk]) for chunk in chunks])
+        partly = F.coalesce(below(F.get(rest, full)), F.lit(0))
+        # Past the last chunk there is nothing left to look up.
+        place = F.when(full < len(chunks), full * width + partly).otherwise(len(cuts))
+        chosen = F.when(group == F.lit(key), place).otherwise(chosen)
     return chosen

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions.expressions import rows_from
 from tidegauge.functions.running import running_totals
+from tidegauge.functions.selection import DIRECT_ROWS
 from tidegauge.session import materialize
 
 
@@ -16,32 +17,35 @@ def ranking_metrics(
     score: str = "score",
     by: str | None = None,
     buckets: int | None = None,
+    at_most: int | None = None,
 ) -> DataFrame:
     """``by`` (or one row), positives, negatives, roc_auc, average_precision.
 
     Equal scores are counted first, so ties share a threshold and count half in the AUC. Both
-    metrics then come from one running total over the distinct scores.
+    metrics then come from one running total over the distinct scores. ``at_most`` is a known
+    bound on the rows; a small one saves writing the counted scores.
     """
     group = by or "_all"
     rows = scored if by else scored.withColumn("_all", F.lit(1))
-    counted = rows.filter(F.col(score).isNotNull()).groupBy(group, score).agg(
+    # Running totals from the highest score down: what a threshold at this score catches.
+    counted = rows.filter(F.col(score).isNotNull()).groupBy(group, (-F.col(score)).alias("_depth")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
-    counted = materialize(counted, "scores")
-    totals = counted.groupBy(group).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    running = running_totals(counted, score, ["pos", "neg"], by=group, buckets=buckets)
+    if at_most is None or at_most > DIRECT_ROWS:
+        counted = materialize(counted, "scores")
+    running = running_totals(counted, "_depth", ["pos", "neg"], by=group, buckets=buckets, at_most=at_most)
     pos, neg = F.col("pos"), F.col("neg")
-    beaten = pos * (F.col("run_neg") - neg / 2)
-    caught = F.col("P") - F.col("run_pos") + pos
-    raised = caught + F.col("N") - F.col("run_neg") + neg
-    result = running.join(F.broadcast(totals), group).groupBy(group).agg(
-        F.first("P").alias("positives"),
-        F.first("N").alias("negatives"),
-        F.sum(beaten).alias("_beaten"),
-        F.sum(pos * caught / F.nullif(raised, F.lit(0))).alias("_precision"),
-    ).select(
+    raised = F.col("run_pos") + F.col("run_neg")
+    result = running.groupBy(group).agg(
+        F.max("run_pos").alias("positives"),
+        F.max("run_neg").alias("negatives"),
+        F.sum(pos * (F.col("run_neg") - neg / 2)).alias("_outranked"),
+        F.sum(F.try_divide(pos * F.col("run_pos"), raised)).alias("_precision"),
+    )
+    pairs = F.col("positives").cast("double") * F.col("negatives")
+    result = result.select(
         group, "positives", "negatives",
-        F.try_divide("_beaten", F.col("positives").cast("double") * F.col("negatives")).alias("roc_auc"),
+        F.try_divide(pairs - F.col("_outranked"), pairs).alias("roc_auc"),
         F.try_divide("_precision", "positives").alias("average_precision"),
     )
     return result if by else result.drop("_all")

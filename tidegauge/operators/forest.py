@@ -139,7 +139,7 @@ def train_risk_model(
         if cross_validate and total >= config.fold_min_rows:
             folds = pool.submit(lambda: cv_auc(split, config, keys, total).first())
         model = fit_forest(split.filter(~F.col("is_test")), config, features, total)
-        metrics = evaluate_model(split.filter("is_test"), model, config)
+        metrics = evaluate_model(split.filter("is_test"), model, config, total)
         metrics["cv_auc_mean"], metrics["cv_auc_std"] = folds.result() if folds else (metrics["roc_auc"], 0.0)
     metrics.update(positive_rate=positive_share, train_rows=total - metrics["test_rows"], feature_cols=features)
     if metrics["roc_auc"] is not None and metrics["roc_auc"] < LOW_AUC:
@@ -147,26 +147,26 @@ def train_risk_model(
     return TrainedRisk(model, metrics, feature_importance(model, features))
 
 
-def evaluate_model(test: DataFrame, model: PipelineModel, config: RiskConfig) -> dict[str, Any]:
-    """Ranking metrics, confusion matrix and class report on held-out rows."""
+def evaluate_model(test: DataFrame, model: PipelineModel, config: RiskConfig, rows: int) -> dict[str, Any]:
+    """Ranking metrics, confusion matrix and class report on held-out rows, at most ``rows``."""
     scored = score_rows(test, model).select(
         F.col(config.label).alias("label"),
         F.col("risk_probability").alias("score"),
         F.col("risk_label").alias("predicted"),
     )
     scored = materialize(scored, "risk-test")
-    ranking = evaluate.ranking_metrics(scored).first()
+    ranking = evaluate.ranking_metrics(scored, at_most=rows).first()
     counted = evaluate.confusion_counts(scored)
     cells = counted.first()
     counted = test.sparkSession.createDataFrame([cells], counted.schema)
-    rows = sum(cells)
+    tested = sum(cells)
     return {
         "roc_auc": ranking.roc_auc,
         "average_precision": ranking.average_precision,
-        "accuracy": (cells.tn + cells.tp) / rows if rows else None,
+        "accuracy": (cells.tn + cells.tp) / tested if tested else None,
         "confusion_matrix": [[cells.tn, cells.fp], [cells.fn, cells.tp]],
         "classification_report": [r.asDict() for r in evaluate.class_report(counted).collect()],
-        "test_rows": rows,
+        "test_rows": tested,
     }
 
 
@@ -187,7 +187,7 @@ def cv_auc(
         scored = score_rows(folded.filter(F.col("fold") == fold), model).select(
             F.col(config.label).alias("label"), F.col("risk_probability").alias("score")
         )
-        return evaluate.ranking_metrics(scored).first().roc_auc
+        return evaluate.ranking_metrics(scored, at_most=rows).first().roc_auc
 
     with ThreadPoolExecutor(CONCURRENT_FITS) as pool:
         found = [(auc,) for auc in pool.map(held_out_auc, range(config.folds))]

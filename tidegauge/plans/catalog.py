@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidegauge.functions.expressions import nan_to_null
 from tidegauge.operators import drift, evaluate, features, forest, quality, risk, rollup, runs, serving, star, validate
 from tidegauge.plans import pipeline
-from tidegauge.schema import BRONZE_EVENT, RAW_EVENT, RISK_FEATURES, STREAM_EVENT
+from tidegauge.schema import RAW_EVENT, RISK_FEATURES, STREAM_EVENT
 from tidegauge.session import configure, materialize, shared_path
 from tidegauge.sources import layers, raw, reports
 from tidegauge.sources.telemetry import DRIFT_SPLIT, keyed_events, raw_text, telemetry
