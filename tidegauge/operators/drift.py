@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegauge.functions.expressions import null_if_nan, percent_text, psi_severity, rows_from
@@ -102,17 +102,17 @@ def drift_psi(
     ranges = wide.agg(*[F.array(F.min(m), F.max(m)).alias(m) for m in kept]).first()
     edges = psi_edges({m: tuple(ranges[m]) for m in kept if ranges[m][0] is not None}, bins)
 
-    values = _long(wide, kept)
-    index = F.lit(0)
-    for metric, cuts in edges.items():
-        place = sum(((F.col("value") >= F.lit(cut)).cast("int") for cut in cuts), F.lit(0))
-        index = F.when(F.col("metric") == metric, place).otherwise(index)
-    counts = values.groupBy("metric", index.alias("bin")).agg(
+    def place(metric: str) -> Column:
+        inner = sum(((F.col(metric) >= F.lit(cut)).cast("int") for cut in edges.get(metric, [])), F.lit(0))
+        return F.when(F.col(metric).isNotNull(), inner).alias(metric)
+
+    # Binned while wide, so that the unpivoted rows carry small integers only.
+    binned = wide.select("side", *[place(m) for m in kept]).unpivot("side", kept, "metric", "bin")
+    counts = binned.filter(F.col("bin").isNotNull()).groupBy("metric", "bin").agg(
         F.count_if(F.col("side") == 0).alias("base"), F.count_if(F.col("side") == 1).alias("now")
     )
 
-    spark = baseline.sparkSession
-    grid = spark.createDataFrame(
+    grid = baseline.sparkSession.createDataFrame(
         [(i, m, b, bool(edges.get(m))) for i, m in enumerate(kept, 1) for b in range(bins)],
         "position int, metric string, bin int, varies boolean",
     )
@@ -121,10 +121,10 @@ def drift_psi(
     def smoothed(count: str, total: str) -> Column:
         return (F.col(count) + PSI_EPSILON) / (F.col(total) + PSI_EPSILON * bins)
 
-    totals = full.groupBy("metric").agg(F.sum("base").alias("base_rows"), F.sum("now").alias("now_rows"))
-    shares = full.join(F.broadcast(totals), "metric").withColumns({
-        "p_base": smoothed("base", "base_rows"), "p_now": smoothed("now", "now_rows")
-    })
+    bins_of_metric = Window.partitionBy("metric")
+    shares = full.withColumns({
+        "base_rows": F.sum("base").over(bins_of_metric), "now_rows": F.sum("now").over(bins_of_metric)
+    }).withColumns({"p_base": smoothed("base", "base_rows"), "p_now": smoothed("now", "now_rows")})
     term = (F.col("p_now") - F.col("p_base")) * F.log(F.col("p_now") / F.col("p_base"))
     usable = F.col("varies") & (F.col("base_rows") > 0) & (F.col("now_rows") > 0)
     scored = shares.groupBy("position", "metric").agg(

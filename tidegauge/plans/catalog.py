@@ -1,7 +1,8 @@
 """Every operator as a named query over the given tables: ``name -> (spark, sf_dir) -> DataFrame``.
 
-Column names and values match ``oracles.py``. Means are rounded to six digits on both sides,
-since the order of a parallel sum is free; plain row arithmetic is compared as it is.
+Column names and values match ``oracles.py``. Means are rounded on both sides, since the order of a
+parallel sum is free: to six digits, or to twelve where the summed values are small multiples of
+one half and the sum is exact in any order. Plain row arithmetic is compared as it is.
 """
 
 from __future__ import annotations
@@ -38,8 +39,8 @@ def draw(key: Column, seed: int = 0) -> Column:
     return ((key + seed) % MODULUS * FACTOR) % MODULUS
 
 
-def rounded(df: DataFrame, *names: str) -> DataFrame:
-    return df.withColumns({n: F.round(n, 6) for n in names})
+def rounded(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
+    return df.withColumns({n: F.round(n, digits) for n in names})
 
 
 def no_zone(df: DataFrame, *names: str) -> DataFrame:
@@ -305,7 +306,8 @@ def validate_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both stages pass; the roll-up of the validated events comes out."""
     events = validate.validate_schema(raw_text(spark, sf_dir), "raw")
     days = rollup.agg_daily(events)
-    return rounded(validate.validate_schema(days, "processed").select(*validate.PROCESSED_REQUIRED), "crash_rate")
+    passed = validate.validate_schema(days, "processed").select(*validate.PROCESSED_REQUIRED)
+    return rounded(passed, "crash_rate", digits=12)
 
 
 # ---- data quality ------------------------------------------------------------------------
@@ -417,7 +419,8 @@ def transform_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def agg_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(rollup.agg_daily(dirty(spark, sf_dir)), "avg_latency", "crash_rate", "avg_feedback", "avg_error_count")
+    days = rollup.agg_daily(dirty(spark, sf_dir))
+    return rounded(rounded(days, "avg_latency"), "crash_rate", "avg_feedback", "avg_error_count", digits=12)
 
 
 _DAILY_MEANS = ["avg_latency", "crash_rate", "avg_feedback", "avg_error_count", "avg_session_duration"]

@@ -261,7 +261,7 @@ SQL["fully_null_columns"] = with_(TELEMETRY, union_all([
 ]))
 SQL["validate_schema"] = with_(DIRTY, """
 SELECT feature_name, COALESCE(strftime(TRY_CAST("timestamp" AS TIMESTAMP), '%Y-%m-%d'), 'NaT') AS date,
-       ROUND(AVG(crash_flag), 6) AS crash_rate, COUNT(user_id) AS usage_count
+       ROUND(AVG(crash_flag), 12) AS crash_rate, COUNT(user_id) AS usage_count
 FROM dirty WHERE feature_name IS NOT NULL GROUP BY ALL""")
 
 # ---- data quality ------------------------------------------------------------------------
@@ -367,8 +367,8 @@ SELECT COUNT(*) AS rows, CAST(SUM({spike_flags()}) AS BIGINT) AS anomalies FROM
 
 SQL["agg_daily"] = with_(DIRTY, """
 SELECT feature_name, COALESCE(strftime(TRY_CAST("timestamp" AS TIMESTAMP), '%Y-%m-%d'), 'NaT') AS date,
-       ROUND(AVG(latency_ms), 6) AS avg_latency, ROUND(AVG(crash_flag), 6) AS crash_rate, ROUND(AVG(feedback_score), 6) AS avg_feedback,
-       COUNT(user_id) AS usage_count, ROUND(AVG(error_count), 6) AS avg_error_count
+       ROUND(AVG(latency_ms), 6) AS avg_latency, ROUND(AVG(crash_flag), 12) AS crash_rate, ROUND(AVG(feedback_score), 12) AS avg_feedback,
+       COUNT(user_id) AS usage_count, ROUND(AVG(error_count), 12) AS avg_error_count
 FROM dirty WHERE feature_name IS NOT NULL GROUP BY ALL""")
 SQL["silver_daily"] = with_(DIRTY, f"""
 SELECT {SILVER_DAILY_COLUMNS}
