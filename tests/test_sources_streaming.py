@@ -128,6 +128,20 @@ def test_csv_fallback(spark, events, tmp_path):
     assert layers.read_bronze(spark, str(tmp_path / "lake")).count() == 2
 
 
+def test_csv_steps_in_for_a_missing_connector_or_an_empty_topic(spark, events, tmp_path, monkeypatch):
+    lake, csv = str(tmp_path / "lake"), str(tmp_path / "csv")
+    layers.export_csv(events({}), csv)
+    assert stream.ingest_topic_or_csv(spark, "nowhere:1", lake, str(tmp_path / "cp0"), csv) == "csv"
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    monkeypatch.setattr(stream, "kafka_source", lambda *a: stream.file_source(spark, str(inbox)))
+    assert stream.ingest_topic_or_csv(spark, "any", lake, str(tmp_path / "cp"), csv) == "csv"
+    assert layers.read_bronze(spark, lake).count() == 2
+    (inbox / "1.json").write_text(event(1))
+    assert stream.ingest_topic_or_csv(spark, "any", lake, str(tmp_path / "cp"), csv) == "stream"
+    assert layers.read_bronze(spark, lake).count() == 2 and layers.read_bronze_stream(spark, lake).count() == 1
+
+
 def test_shared_folder_is_required_on_a_cluster(spark, monkeypatch):
     class Conf:
         def get(self, key, default=None):

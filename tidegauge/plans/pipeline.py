@@ -62,7 +62,7 @@ def run(spark: SparkSession, csv_path: str, config: PipelineConfig, baseline_eve
 
 def _save_report(spark: SparkSession, config: PipelineConfig, report: dict[str, Any], started: float) -> None:
     report["runtime_seconds"] = round(time.time() - started, 2)
-    row = spark.range(1).select(*[F.lit(v).alias(k) for k, v in report.items()])
+    row = spark.range(1).select(*[_figure(v).alias(k) for k, v in report.items()])
     reports.json_report_sink(reports.stamped(row), config.at("reports/run_report"))
 
 
@@ -174,10 +174,15 @@ def _run(spark: SparkSession, csv_path: str, config: PipelineConfig, baseline_ev
     return RunResult(report, scored, quality_results, drift_report, trained.importance, attribution)
 
 
+def _figure(value: Any) -> Column:
+    """A literal; a figure that could not be computed is a null number."""
+    return F.lit(None).cast("double") if value is None else F.lit(value)
+
+
 def _save_metrics(spark: SparkSession, metrics: dict[str, Any], path: str) -> None:
     lines = metrics["classification_report"]
     report = F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in line.items()]) for line in lines])
-    figures = [F.lit(v).alias(k) for k, v in metrics.items() if k != "classification_report"]
+    figures = [_figure(v).alias(k) for k, v in metrics.items() if k != "classification_report"]
     row = spark.range(1).select(*figures, report.alias("classification_report"))
     reports.json_report_sink(reports.stamped(row), path)
 

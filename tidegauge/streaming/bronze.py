@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import logging
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,10 +62,11 @@ def stamp(events: DataFrame, source: str) -> DataFrame:
     })
 
 
-def stream_bronze_sink(values: DataFrame, lake: str, checkpoint: str, source: str = "kafka_consumer") -> None:
-    """Drain what the source holds into Bronze, then stop. A rerun continues at the checkpoint.
+def stream_bronze_sink(values: DataFrame, lake: str, checkpoint: str, source: str = "kafka_consumer") -> bool:
+    """Drain what the source holds into Bronze, then stop; tell whether anything arrived.
 
-    The file sink commits each micro-batch once, so a retried batch leaves no second copy.
+    A rerun continues at the checkpoint. The file sink commits each micro-batch once, so a
+    retried batch leaves no second copy.
     """
     query = (stamp(parse_events(values), source).writeStream
              .format("parquet").partitionBy("date").outputMode("append")
@@ -72,6 +74,7 @@ def stream_bronze_sink(values: DataFrame, lake: str, checkpoint: str, source: st
              .trigger(availableNow=True)
              .start(f"{lake}/{BRONZE_STREAM}"))
     query.awaitTermination()
+    return any(progress["numInputRows"] for progress in query.recentProgress)
 
 
 def csv_fallback(spark: SparkSession, csv_path: str, lake: str) -> None:
@@ -79,6 +82,30 @@ def csv_fallback(spark: SparkSession, csv_path: str, lake: str) -> None:
     bronze_append(read_raw_csv(spark, csv_path), lake, csv_path)
 
 
+def ingest_topic_or_csv(
+    spark: SparkSession,
+    servers: str,
+    lake: str,
+    checkpoint: str,
+    csv_path: str,
+    topic: str = TOPIC,
+    max_messages: int = MAX_MESSAGES,
+) -> str:
+    """Drain the topic; load the CSV instead when there is no Kafka connector or nothing arrives.
+
+    Returns which of the two was used.
+    """
+    try:
+        values = kafka_source(spark, servers, topic, max_messages)
+        if stream_bronze_sink(values, lake, checkpoint):
+            return "stream"
+        logger.info("no events on %s, loading %s", topic, csv_path)
+    except AnalysisException as error:
+        logger.warning("cannot read from Kafka, loading %s: %s", csv_path, error.getCondition())
+    csv_fallback(spark, csv_path, lake)
+    return "csv"
+
+
 def kafka_records(events: DataFrame) -> DataFrame:
     """key = feature name (one feature stays in one partition), value = the event as JSON."""
     return events.select(F.col("feature_name").alias("key"), F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
