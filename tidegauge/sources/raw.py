@@ -137,14 +137,17 @@ def profile_raw(df: DataFrame) -> DataFrame:
         *[F.count(c).alias(f"n_{c}") for c in means],
         F.min("timestamp").alias("first_timestamp"),
         F.max("timestamp").alias("last_timestamp"),
-    ).withColumn("is_total", F.lit(False))
-    overall = per_feature.agg(
+    )
+    # Each grouped row also counts towards the total; the table itself is read once.
+    both = per_feature.withColumn("is_total", F.explode(F.array(F.lit(False), F.lit(True))))
+    feature = F.when(~F.col("is_total"), F.col("feature_name")).alias("feature_name")
+    summed = both.groupBy("is_total", feature).agg(
         F.sum("rows").alias("rows"),
         *[F.sum(c).alias(c) for c in parts],
         F.min("first_timestamp").alias("first_timestamp"),
         F.max("last_timestamp").alias("last_timestamp"),
-    ).withColumns({"is_total": F.lit(True), "feature_name": F.lit(None).cast("string")})
-    return per_feature.unionByName(overall).select(
+    )
+    return summed.select(
         "is_total", "feature_name", "rows",
         *[F.try_divide(f"sum_{c}", f"n_{c}").alias(name) for c, name in means.items()],
         "first_timestamp", "last_timestamp",
