@@ -65,14 +65,15 @@ def test_first_shares_per_class(spark):
 def test_sample_is_exact_in_size_and_repeatable(spark, n):
     df = spark.range(200, numPartitions=5)
     key = F.xxhash64("id", F.lit(42))
-    first = sorted(r.id for r in sample_n(df, n, key).collect())
+    first = sorted(r.id for r in sample_n(df, n, key, direct_rows=10).collect())
     again = sorted(r.id for r in sample_n(df.repartition(3), n, key).collect())
     assert len(first) == min(n, 200) and first == again
 
 
 def test_sample_with_tied_keys(spark):
     df = spark.range(100).withColumn("key", F.col("id") % 2)
-    assert sample_n(df, 30, F.col("key")).count() == 30
+    assert sample_n(df, 30, F.col("key"), direct_rows=10).count() == 30
+    assert sample_n(df, 80, F.col("key"), direct_rows=10).filter("key = 0").count() == 50
 
 
 @pytest.mark.parametrize("buckets", [2, 8, 50])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegauge.functions.expressions import clip, nan_to_null
-from tidegauge.functions.selection import order_statistics
+from tidegauge.functions.selection import DIRECT_ROWS, order_statistics
 from tidegauge.schema import RAW_EVENT, RAW_EVENT_TEXT
 
 
@@ -35,19 +35,22 @@ def drop_incomplete(df: DataFrame, columns: Sequence[str] = ("event_time", "user
     return df.dropna(subset=list(columns))
 
 
-def sample_n(df: DataFrame, n: int, order: Column) -> DataFrame:
+def sample_n(df: DataFrame, n: int, order: Column, direct_rows: int = DIRECT_ROWS) -> DataFrame:
     """Exactly ``min(n, rows)`` rows without replacement: those with the smallest ``order``.
 
     ``order`` is a reproducible pseudo-random key, e.g. ``xxhash64(id, seed)``. The n-th
     smallest key is found by counting, after which the sample is a plain filter; nothing is
-    sorted or gathered. Only rows that tie with that key are cut by ``limit``.
+    sorted or gathered. Only rows that tie with that key are cut by ``limit``. A table of at
+    most ``direct_rows`` rows is simply ordered.
     """
     total = df.agg(F.count(order)).first()[0]
     if n >= total:
         return df
     if n <= 0:
         return df.limit(0)
-    cut = order_statistics(df, [(order, n - 1, total)])[0]
+    if total <= direct_rows:
+        return df.filter(order.isNotNull()).orderBy(order).limit(n)
+    cut = order_statistics(df, [(order, n - 1, total)], direct_rows)[0]
     under, ties = df.agg(F.count_if(order < F.lit(cut)), F.count_if(order == F.lit(cut))).first()
     if under + ties == n:
         return df.filter(order <= F.lit(cut))
