@@ -128,15 +128,15 @@ def _run(spark: SparkSession, csv_path: str, config: PipelineConfig, baseline_ev
     reports.json_report_sink(reports.stamped(quality_report), config.at("reports/data_quality"))
     _gates(seen.row, events.columns)
 
-    layers.silver_overwrite(features.engineer_features(events, seen.scale), config.lake, "events")
-    today = spark.range(1).select(layers.today()).first()[0]
+    today = spark.range(1).select(layers.today()).first()[0]  # one processing day, also past midnight
+    layers.silver_overwrite(features.engineer_features(events, seen.scale), config.lake, "events", today)
     silver = layers.read_silver(spark, config.lake, "events", today)
     days = layers.materialize_table(rollup.agg_daily(silver), config.at("gold/feature_days"))
     validate.validate_schema(days, "processed")
 
     labelled = risk.risk_target(days, config.risk)
     trained = forest.train_risk_model(labelled, config.risk)
-    layers.silver_overwrite(forest.score_rows(labelled, trained.model), config.lake, "scored")
+    layers.silver_overwrite(forest.score_rows(labelled, trained.model), config.lake, "scored", today)
     scored = layers.read_silver(spark, config.lake, "scored", today).drop("_processing_date")
 
     model_path = config.at(f"models/risk-{int(time.time() * 1000)}")
