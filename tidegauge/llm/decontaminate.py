@@ -97,14 +97,14 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP3_SQL = r"""
 WITH item_words AS (
     SELECT item_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                                                      '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS words
+                                                      '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words
     FROM benchmark WHERE text IS NOT NULL),
 item_windows AS (
     SELECT DISTINCT item_id, array_to_string(words[i:i + 9], ' ') AS win, least(len(words), 10) AS n
     FROM (SELECT item_id, words, unnest(range(1, greatest(len(words) - 8, 2))) AS i FROM item_words WHERE len(words) > 0)),
 doc_words AS (
     SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                                                     '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS words
+                                                     '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words
     FROM documents),
 doc_windows AS (
     SELECT doc_id, i, n, array_to_string(words[i:i + n - 1], ' ') AS win

@@ -72,15 +72,15 @@ WITH lines AS (
     SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i
     FROM documents WHERE text IS NOT NULL),
 filled AS (
-    SELECT doc_id, i, line, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS at
+    SELECT doc_id, i, line, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS place
     FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
 windows AS (
-    SELECT doc_id, at, line AS a, lead(line, 1) OVER w AS b, lead(line, 2) OVER w AS c
-    FROM filled WINDOW w AS (PARTITION BY doc_id ORDER BY at)),
+    SELECT doc_id, place, line AS a, lead(line, 1) OVER w AS b, lead(line, 2) OVER w AS c
+    FROM filled WINDOW w AS (PARTITION BY doc_id ORDER BY place)),
 later AS (
-    SELECT doc_id, at FROM windows WHERE c IS NOT NULL
-    QUALIFY row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, at) > 1),
-gone AS (SELECT DISTINCT f.doc_id, f.i FROM later l JOIN filled f ON f.doc_id = l.doc_id AND f.at BETWEEN l.at AND l.at + 2),
+    SELECT doc_id, place FROM windows WHERE c IS NOT NULL
+    QUALIFY row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, place) > 1),
+gone AS (SELECT DISTINCT f.doc_id, f.i FROM later l JOIN filled f ON f.doc_id = l.doc_id AND f.place BETWEEN l.place AND l.place + 2),
 kept AS (
     SELECT l.doc_id, count(*) AS n_lines, count(g.i) AS n_removed,
            coalesce(string_agg(CASE WHEN g.i IS NULL THEN l.line END, chr(10) ORDER BY l.i), '') AS kept_text

@@ -118,7 +118,7 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP4_SQL = r"""
 WITH docs AS (
-    SELECT doc_id, source, coalesce(len(list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), x -> x <> '')), 0)::BIGINT AS size
+    SELECT doc_id, source, coalesce(len(list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '')), 0)::BIGINT AS size
     FROM documents),
 sources AS (
     SELECT source, sum(size)::BIGINT AS source_size,

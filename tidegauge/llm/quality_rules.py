@@ -12,13 +12,14 @@ overall rate; repeated rows count as often as they occur; an empty table gives a
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import BLANK_CLASS, BLANKS, blank_words, broadcast_if, is_small, table
+from tidegauge.llm.common import BLANKS, blank_words, broadcast_if, is_small, table
 from tidegauge.session import materialize
 
-SYMBOLS = "#*$%&|<>"
+NOT_SYMBOL = "[^#*$%&|<>]+"
+NOT_BLANK = r"[^\x20\x09-\x0D]+"
 WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -27,39 +28,42 @@ HOST_LIMIT = 0.5
 BROADCAST_HOSTS = 100_000
 
 
-def repeated_words(words: Column, window: int = WINDOW) -> Column:
-    """Words in windows found twice or more in ``words``.
+def with_repeated_words(rows: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``rows`` (with ``words``) and ``n_repeat_words``: words in windows found twice or more in their text.
 
     Window hashes are sorted with their positions only in texts that repeat one; gaps between the
-    sorted positions of repeated windows then add up to the covered words.
+    sorted positions of repeated windows then add up to the covered words. Every step is a column of
+    its own, so that no lambda holds an array expression to be evaluated again per element.
     """
-    starts = F.sequence(F.lit(0), F.size(words) - window)
-    hashes = F.transform(starts, lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(window)]))
-    order = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    last = F.size(order) - 1
-    repeated = F.filter(order, lambda x, i: (
-        ((i > 0) & (F.get(order, i - 1)["h"] == x["h"])) | ((i < last) & (F.get(order, i + 1)["h"] == x["h"]))))
+    starts = F.sequence(F.lit(0), F.size("words") - window)
+    hashes = F.transform(starts, lambda i: F.xxhash64(*[F.get(F.col("words"), i + k) for k in range(window)]))
+    hashed = rows.withColumn("hashes", F.when(F.size("words") > window, hashes))
+    sorted_ = hashed.withColumn("sorted", F.when(
+        F.size(F.array_distinct("hashes")) < F.size("hashes"),
+        F.sort_array(F.transform("hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
+    near = lambda i, d: F.get(F.col("sorted"), i + d)["h"]
+    repeated = F.filter("sorted", lambda x, i: near(i, 1).eqNullSafe(x["h"]) | ((i > 0) & near(i, -1).eqNullSafe(x["h"])))
     at = F.sort_array(F.transform(repeated, lambda x: x["i"]))
-    covered = F.aggregate(at, F.struct(F.lit(0).alias("n"), F.lit(-window).alias("end")), lambda acc, p: F.struct(
+    covered = F.aggregate("at", F.struct(F.lit(0).alias("n"), F.lit(-window).alias("end")), lambda acc, p: F.struct(
         (acc["n"] + F.least(F.lit(window), p + window - acc["end"])).alias("n"), (p + window).alias("end")),
         lambda acc: acc["n"])
-    has = F.size(F.array_distinct(hashes)) < F.size(hashes)
-    return F.when((F.size(words) > window) & has, covered).otherwise(0)
+    found = sorted_.withColumn("at", F.when(F.col("sorted").isNotNull(), at))
+    return found.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long")).drop("hashes", "sorted", "at")
 
 
 def rule_figures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
     """``doc_id, host`` and the figures the rules look at, a row per input row."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    lines = F.filter(F.split(text, "\n"), lambda line: F.length(F.btrim(line, F.lit(BLANKS))) > 0)
-    others = f"[^{SYMBOLS}]+"
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(host_col).cast("string").alias("host"), text.alias("text"),
-                       blank_words(text).alias("words"), lines.alias("lines")).select(
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(host_col).cast("string").alias("host"), text.alias("text"))
+    lines = F.filter(F.split("text", "\n"), lambda line: F.length(F.btrim(line, F.lit(BLANKS))) > 0)
+    blanks = F.length(F.regexp_replace("text", NOT_BLANK, ""))
+    return with_repeated_words(rows.withColumns({"words": blank_words(F.col("text")), "lines": lines})).select(
         "doc_id", "host",
         F.size("words").cast("long").alias("n_words"),
-        (F.length("text") - F.length(F.regexp_replace("text", f"{BLANK_CLASS[:-1].replace('[', '[^')}]+", ""))).cast("long").alias("word_chars"),
-        F.length(F.regexp_replace("text", others, "")).cast("long").alias("n_symbols"),
+        (F.length("text") - blanks).cast("long").alias("word_chars"),
+        F.length(F.regexp_replace("text", NOT_SYMBOL, "")).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        repeated_words(F.col("words")).cast("long").alias("n_repeat_words"),
+        "n_repeat_words",
     ).withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
 
 
@@ -96,8 +100,8 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP7_SQL = r"""
 WITH docs AS (
     SELECT doc_id, source AS host, coalesce(text, '') AS text,
-           list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS words,
-           list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+           list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+           list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
     FROM documents),
 starts AS (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS i FROM docs WHERE len(words) >= 5),
 windows AS (SELECT doc_id, i, array_to_string(words[i:i + 4], ' ') AS w FROM starts),
@@ -105,7 +109,7 @@ repeated AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w) AS c FROM
 hit AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM repeated WHERE c > 1) GROUP BY doc_id),
 figures AS (
     SELECT d.doc_id, d.host, len(words)::BIGINT AS n_words,
-           coalesce(list_sum(list_transform(words, x -> length(x))), 0)::BIGINT AS word_chars,
+           coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
            length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
            (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
            coalesce(h.n, 0)::BIGINT AS n_repeat_words
