@@ -52,7 +52,9 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", t
         covered.alias("c"), F.col("d.id").eqNullSafe(F.col("c.id")) & (F.col("d.hash") == F.col("c.hash")), "left"
     ).select("d.row", "d.text", F.split("d.text", "\n").alias("lines"), "c.at")
     places = F.filter(F.transform("lines", lambda line, i: F.when(F.length(F.btrim(line, F.lit(BLANKS))) > 0, i)), lambda i: i.isNotNull())
-    gone = F.array_distinct(F.flatten(F.transform("at", lambda a: F.transform(F.sequence(a, a + (window - 1)), lambda i: F.get(F.col("places"), i)))))
+    # Two references to a column keep the optimizer from writing its expression into a lambda.
+    covers = F.transform("at", lambda a: F.transform(F.sequence(a, a + (window - 1)), lambda i: F.get(F.col("places"), i)))
+    gone = F.when(F.col("places").isNotNull(), F.array_distinct(F.flatten(covers)))
     staying = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
     cut = F.array_join(F.transform(staying, lambda i: F.get(F.col("lines"), i)), "\n")
     return both.withColumn("places", F.when(F.col("at").isNotNull(), places)).withColumn("gone", gone).select(

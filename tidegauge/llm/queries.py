@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from tidegauge.llm import decontaminate, line_dedup, mixing, quality_rules
+from tidegauge.llm import decontaminate, language_id, line_dedup, mixing, quality_rules, warc
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op3_decontaminate": decontaminate.op3_decontaminate,
     "op4_mixing": mixing.op4_mixing,
+    "op5_warc": warc.op5_warc,
     "op7_quality_rules": quality_rules.op7_quality_rules,
+    "op10_language_id": language_id.op10_language_id,
 }
 
 SQL = {
