@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tidegauge.llm import decontaminate, language_id, line_dedup, mixing, quality_rules, warc
+from tidegauge.llm import decontaminate, language_id, line_dedup, mixing, quality_rules, suffix_dedup, warc
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
+    "op2_suffix_dedup": suffix_dedup.op2_suffix_dedup,
     "op3_decontaminate": decontaminate.op3_decontaminate,
     "op4_mixing": mixing.op4_mixing,
     "op5_warc": warc.op5_warc,
