@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidegauge.llm import decontaminate, language_id, line_dedup, mixing, quality_rules, suffix_dedup, warc
+from tidegauge.llm import decontaminate, language_id, line_dedup, mixing, ngram_join, quality_rules, suffix_dedup, warc
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_decontaminate": decontaminate.op3_decontaminate,
     "op4_mixing": mixing.op4_mixing,
     "op5_warc": warc.op5_warc,
+    "op6_ngram_join": ngram_join.op6_ngram_join,
     "op7_quality_rules": quality_rules.op7_quality_rules,
     "op10_language_id": language_id.op10_language_id,
 }
