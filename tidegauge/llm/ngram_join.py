@@ -5,7 +5,8 @@ their numeric order is the global order, rarest first (counts of 2**16 hash buck
 documents). Documents with equal sets collapse into one set with members. Two sets that link share a
 token of their prefixes, so:
 
-1. prefix tokens that only one set has are dropped; every other token is a bucket of sets;
+1. prefix tokens that only one set has are dropped; every other token is a bucket of sets for each
+   size class, and a set is in its own class and the next;
 2. a bucket is led by its smallest set, and all members of the buckets with one leader form a group;
    equal pairs of leader and member collapse, so that near copies meet once and not once per token;
 3. a group's sets are fetched into a prefix tree of ordered tokens. A query walks it sharing the
@@ -288,14 +289,19 @@ def classes(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT, group_byt
     ranks = bucket_ranks(rows, gram)
     named = materialize(rows.mapInArrow(
         _sets(ranks, gram, percent), f"id {id_type}, hash long, set_id binary, n long, prefix array<bigint>"), "gram-sets")
-    distinct = materialize(named.where("n > 0").groupBy("set_id").agg(
-        F.min(F.struct("id", "hash")).alias("place"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-        .withColumn("node", F.xxhash64("set_id")), "distinct-sets")
-    tokens = distinct.select("node", "n", F.explode("prefix").alias("token"))
-    common = materialize(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("sets"), F.min("node").alias("center"))
-                         .where("sets > 1").select("token", "center"), "common-tokens")
-    buckets = materialize(tokens.join(common, "token"), "token-buckets")
+    # Equal sets share a node: where least and largest node of a token differ, two sets have it.
+    tokens = named.select(F.xxhash64("set_id").alias("node"), "n", F.explode("prefix").alias("token"))
+    shared = lambda rows, key: materialize(rows.groupBy(key).agg(F.min("node").alias("center"), F.max("node").alias("last")).where(
+        "center <> last").drop("last"), f"common-{key}")
+    # Sets that link differ by less than a size class, so both are in the class of the larger.
+    size_class = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / (percent - 1)))
+    sized = tokens.join(shared(tokens, "token").drop("center"), "token").select(
+        "token", "node", "n", F.explode(F.array(size_class, size_class + 1)).alias("class"))
+    sized = materialize(sized.select(F.xxhash64("token", "class").alias("bucket"), "node", "n").distinct(), "sized-buckets")
+    buckets = materialize(sized.join(shared(sized, "bucket"), "bucket"), "buckets")
     pairs = materialize(buckets.where("node <> center").select("center", "node").distinct(), "tree-pairs")
+    places = named.where("n > 0").groupBy("set_id").agg(F.min(F.struct("id", "hash")).alias("place"), F.max("n").alias("n"))
+    distinct = places.withColumn("node", F.xxhash64("set_id"))
     needed = pairs.select("node").unionByName(pairs.select(F.col("center").alias("node"))).distinct()
     chosen = materialize(distinct.select("node", "set_id", "n", "place").join(needed, "node"), "tree-sets")
     packed = rows.mapInArrow(_pack, f"id {id_type}, hash long, packed binary")
@@ -324,15 +330,15 @@ def _apart(buckets: DataFrame, labels: DataFrame, chosen: DataFrame, percent: in
     for partners.
     """
     named = chosen.select("node", "set_id").join(labels.select(F.col("node").alias("set_id"), "label"), "set_id", "left")
-    rows = materialize(buckets.select("token", "node", "n").join(
+    rows = materialize(buckets.select("bucket", "node", "n").join(
         named.select("node", F.coalesce("label", "set_id").alias("label")), "node"), "labelled-buckets")
-    main = rows.groupBy("token", "label").agg(F.count(F.lit(1)).alias("sets")).groupBy("token").agg(
+    main = rows.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("sets")).groupBy("bucket").agg(
         F.max(F.struct("sets", "label")).alias("main"), F.count(F.lit(1)).alias("labels")).where("labels > 1")
-    main = materialize(main.select("token", F.col("main.label").alias("main")), "main-components")
-    rows = materialize(rows.join(main, "token"), "mixed-buckets")
+    main = materialize(main.select("bucket", F.col("main.label").alias("main")), "main-components")
+    rows = materialize(rows.join(main, "bucket"), "mixed-buckets")
     few, all_ = rows.where("label <> main").alias("x"), rows.alias("y")
     x, y = F.col("x.n"), F.col("y.n")
-    pairs = few.join(all_, (F.col("x.token") == F.col("y.token")) & (F.col("x.label") != F.col("y.label"))
+    pairs = few.join(all_, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.label") != F.col("y.label"))
                      & (100 * F.least(x, y) >= percent * F.greatest(x, y))
                      & ((F.col("y.label") == F.col("y.main")) | (F.col("x.node") < F.col("y.node"))))
     return pairs.select(F.col("x.node").alias("center"), F.col("y.node").alias("node")).distinct()

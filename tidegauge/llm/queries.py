@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidegauge.llm import decontaminate, language_id, line_dedup, mixing, ngram_join, quality_rules, suffix_dedup, warc
+from tidegauge.llm import decontaminate, language_id, license_scan, line_dedup, mixing, ngram_join, quality_rules, suffix_dedup, token_counts, warc
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -12,6 +12,8 @@ QUERIES = {
     "op5_warc": warc.op5_warc,
     "op6_ngram_join": ngram_join.op6_ngram_join,
     "op7_quality_rules": quality_rules.op7_quality_rules,
+    "op8_token_counts": token_counts.op8_token_counts,
+    "op9_license_scan": license_scan.op9_license_scan,
     "op10_language_id": language_id.op10_language_id,
 }
 
@@ -20,4 +22,5 @@ SQL = {
     "op3_decontaminate": decontaminate.OP3_SQL,
     "op4_mixing": mixing.OP4_SQL,
     "op7_quality_rules": quality_rules.OP7_SQL,
+    "op9_license_scan": license_scan.OP9_SQL,
 }
