@@ -5,8 +5,9 @@ their numeric order is the global order, rarest first (counts of 2**16 hash buck
 documents). Documents with equal sets collapse into one set with members. Two sets that link share a
 token of their prefixes, so:
 
-1. prefix tokens that only one set has are dropped; every other token is a bucket of sets for each
-   size class, and a set is in its own class and the next;
+1. prefix tokens that only one set has are dropped, and sets with fewer tokens left than linked
+   sets must share (prefixes are longer than for one token); every other token is a bucket of sets for
+   each size class, and a set is in its own class and the next;
 2. a bucket is led by its smallest set, and all members of the buckets with one leader form a group;
    equal pairs of leader and member collapse, so that near copies meet once and not once per token;
 3. a group's sets are fetched into a prefix tree of ordered tokens. A query walks it sharing the
@@ -44,6 +45,8 @@ from tidegauge.session import materialize
 
 GRAM = 4
 PERCENT = 85
+#: The share of a set by which its prefix is longer than one common token needs.
+MORE_PERCENT = 2
 BUCKETS = 1 << 16
 BLOCK = 1 << 20
 GROUP_BYTES = 1 << 22
@@ -151,7 +154,7 @@ def _sets(ranks: np.ndarray, gram: int, percent: int):
                 n = len(tokens)
                 names.append(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest())
                 sizes.append(n)
-                prefixes.append(tokens[:n - -(-percent * n // 100) + 1 if n else 0].view(np.int64))
+                prefixes.append(tokens[:n - -(-percent * n // 100) + 1 + MORE_PERCENT * n // 100 if n else 0].view(np.int64))
             lengths = pa.array(np.cumsum([0, *map(len, prefixes)]).astype(np.int32), pa.int32())
             values = pa.array(np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64), pa.int64())
             yield pa.RecordBatch.from_arrays(
@@ -289,15 +292,20 @@ def classes(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT, group_byt
     ranks = bucket_ranks(rows, gram)
     named = materialize(rows.mapInArrow(
         _sets(ranks, gram, percent), f"id {id_type}, hash long, set_id binary, n long, prefix array<bigint>"), "gram-sets")
-    # Equal sets share a node: where least and largest node of a token differ, two sets have it.
-    tokens = named.select(F.xxhash64("set_id").alias("node"), "n", F.explode("prefix").alias("token"))
-    shared = lambda rows, key: materialize(rows.groupBy(key).agg(F.min("node").alias("center"), F.max("node").alias("last")).where(
-        "center <> last").drop("last"), f"common-{key}")
+    tokens = named.select(F.explode("prefix").alias("token"), F.xxhash64("set_id").alias("node"), "n")
+    common = materialize(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("token"), "common-tokens")
+    common = materialize(tokens.join(common, "token").distinct(), "common-rows")
+    # Sets that link share as many tokens as the smaller one's prefix is longer, and one; it has at least percent of the tokens.
+    least = 1 + F.floor(MORE_PERCENT * F.ceil(percent * F.col("n") / 100) / 100)
+    able = materialize(common.groupBy("node").agg(F.count(F.lit(1)).alias("tokens"), F.max("n").alias("n")).where(
+        F.col("tokens") >= least).select("node"), "able-sets")
     # Sets that link differ by less than a size class, so both are in the class of the larger.
     size_class = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / (percent - 1)))
-    sized = tokens.join(shared(tokens, "token").drop("center"), "token").select(
-        "token", "node", "n", F.explode(F.array(size_class, size_class + 1)).alias("class"))
-    sized = materialize(sized.select(F.xxhash64("token", "class").alias("bucket"), "node", "n").distinct(), "sized-buckets")
+    sized = common.join(able, "node").select("token", "node", "n", F.explode(F.array(size_class, size_class + 1)).alias("class"))
+    # Equal sets share a node: where least and largest node of a bucket differ, two sets have it.
+    shared = lambda rows, key: materialize(rows.groupBy(key).agg(F.min("node").alias("center"), F.max("node").alias("last")).where(
+        "center <> last").drop("last"), f"common-{key}")
+    sized = materialize(sized.select(F.xxhash64("token", "class").alias("bucket"), "node", "n"), "sized-buckets")
     buckets = materialize(sized.join(shared(sized, "bucket"), "bucket"), "buckets")
     pairs = materialize(buckets.where("node <> center").select("center", "node").distinct(), "tree-pairs")
     places = named.where("n > 0").groupBy("set_id").agg(F.min(F.struct("id", "hash")).alias("place"), F.max("n").alias("n"))
