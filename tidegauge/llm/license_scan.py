@@ -9,9 +9,9 @@ With ``BANDS`` bands of one row, a Jaccard similarity of J is retrieved with pro
 A retrieved template matches where the window holds at least 80 % of its distinct shingles.
 
 A window's least value can only equal a template's if the window holds that very shingle. Documents'
-shingles are therefore joined with those of the templates first, in place and without a shuffle (the
-templates are broadcast when a count proves them few, else the join shuffles), and windows are built
-around what matches; the others could retrieve nothing.
+shingles are therefore compared with those of the templates first, in place and without a shuffle
+when a count proves the templates few (else by a join), and windows are built around what matches;
+the others could retrieve nothing.
 
 Defined cases: null and empty texts and texts of fewer than five words match nothing; a template of
 fewer than five words has no shingle and is never found; equal template rows count once, one id with
@@ -30,7 +30,8 @@ from tidegauge.session import materialize
 SHINGLE = 5
 BANDS = 64
 MIN_CONTAINMENT = 0.8
-BROADCAST_SHINGLES = 200_000
+#: Template shingles up to which documents are searched in place; beyond, places join by shuffle.
+LITERAL_SHINGLES = 20_000
 
 #: Notices of public licenses (fixed values); any table of template_id, text can take their place.
 TEMPLATES = [
@@ -82,24 +83,57 @@ def template_shingles(templates: DataFrame) -> DataFrame:
     return rows.select("template_id", F.xxhash64("shingles").alias("template"), "shingles", span.alias("span")).distinct()
 
 
+def _starts(pos: Column, span: Column | int) -> Column:
+    """A place lies in the window that starts at the multiple of the span before it, and in the one before that."""
+    start = pos - pos % span
+    return F.array(start, F.greatest(start - span, F.lit(0)))
+
+
+def _inside(span: Column, start: Column) -> Column:
+    return F.array_distinct(F.slice("shingles", start.cast("int") + 1, 2 * span))
+
+
+def _windows_in_place(rows: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """``id, hash, span, start, inside`` around the places that hold a template's shingle.
+
+    The dictionary, proven small, is a literal in 256 parts by hash; arrays never leave their row.
+    """
+    spans: dict[int, list[list[int]]] = {}
+    for row in dictionary.collect():
+        spans.setdefault(row["span"], [[] for _ in range(256)])[row["shingle"] % 256].append(row["shingle"])
+    empty = F.array().cast("array<struct<span:int,start:int>>")
+    found = [empty]
+    for span, parts in sorted(spans.items()):
+        known = F.array(*[F.array(*map(F.lit, part)).cast("array<bigint>") for part in parts])
+        at = F.filter(F.sequence(F.lit(0), F.size("shingles") - 1), lambda i, known=known: F.array_contains(
+            F.get(known, F.pmod(F.get("shingles", i), F.lit(256)).cast("int")), F.get("shingles", i)))
+        starts = F.array_distinct(F.flatten(F.transform(at, lambda i, span=span: _starts(i, F.lit(span)))))
+        found.append(F.transform(starts, lambda s, span=span: F.struct(F.lit(span).alias("span"), s.alias("start"))))
+    held = rows.where(F.size("shingles") > 0).withColumn("held", F.flatten(F.array(*found))).where(F.size("held") > 0)
+    windows = F.transform("held", lambda w: F.struct(w["span"].alias("span"), w["start"].alias("start"), _inside(w["span"], w["start"]).alias("inside")))
+    return held.select("id", "hash", F.explode(windows).alias("w")).select("id", "hash", "w.span", "w.start", "w.inside").dropDuplicates(
+        ["id", "hash", "span", "start"])
+
+
+def _windows_by_join(rows: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """The same for a dictionary of any size: places join it by shuffle, and their windows the documents."""
+    places = rows.select("id", "hash", F.posexplode("shingles").alias("pos", "shingle")).join(dictionary, "shingle")
+    held = places.select("id", "hash", "span", F.explode(_starts(F.col("pos"), F.col("span"))).alias("start")).distinct()
+    held = materialize(held, "license-places")
+    joined = rows.dropDuplicates(["id", "hash"]).alias("r").join(held.alias("h"), F.col("r.id").eqNullSafe(F.col("h.id")) & (F.col("r.hash") == F.col("h.hash")))
+    return joined.select("r.id", "r.hash", "h.span", "h.start", _inside(F.col("h.span"), F.col("h.start")).alias("inside"))
+
+
 def scan(docs: DataFrame, templates: DataFrame, containment: float = MIN_CONTAINMENT, bands: int = BANDS,
          id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """Matches ``id, hash, template_id, first_word, n_words, containment`` and the keyed documents ``id, hash, n_words``."""
     keyed = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("hash", text_hash(F.col("text")))
     known = materialize(template_shingles(templates), "license-templates")
-    dictionary = known.select("span", F.explode("shingles").alias("shingle")).distinct()
-    small = is_small(known.select(F.explode("shingles")), BROADCAST_SHINGLES)
-    rows = keyed.select("id", "hash", F.col("text"), lower_words(F.col("text")).alias("words"))
+    rows = keyed.select("id", "hash", lower_words(F.col("text")).alias("words"))
     rows = with_shingles(rows, "words", "shingles").select("id", "hash", "shingles")
-    placed = rows.select("id", "hash", "shingles", F.posexplode("shingles").alias("pos", "shingle"))
-    hits = placed.join(broadcast_if(dictionary, small), "shingle")
-    # A place lies in the window that starts at the multiple of the span before it, and in the one before that.
-    start = F.floor(F.col("pos") / F.col("span")) * F.col("span")
-    starts = F.array_distinct(F.array(start, F.greatest(start - F.col("span"), F.lit(0))))
-    windows = hits.select("id", "hash", "span", "shingles", F.explode(starts).alias("start"))
-    windows = windows.select("id", "hash", "span", "start", F.array_distinct(
-        F.slice("shingles", (F.col("start") + 1).cast("int"), 2 * F.col("span"))).alias("inside"))
-    windows = materialize(windows.dropDuplicates(["id", "hash", "span", "start"]), "license-windows")
+    dictionary = known.select("span", F.explode("shingles").alias("shingle")).distinct()
+    small = is_small(dictionary, LITERAL_SHINGLES)
+    windows = materialize(_windows_in_place(rows, dictionary) if small else _windows_by_join(rows, dictionary), "license-windows")
     # The bands: a row per window (or template) and band, joined on band, span and least value.
     signature = lambda column: F.posexplode(F.array(*[_least(F.col(column), k) for k in range(bands)])).alias("band", "least")
     ours = known.select("template_id", "template", "span", "shingles", signature("shingles"))

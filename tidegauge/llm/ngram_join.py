@@ -5,11 +5,12 @@ their numeric order is the global order, rarest first (counts of 2**16 hash buck
 documents). Documents with equal sets collapse into one set with members. Two sets that link share a
 token of their prefixes, so:
 
-1. prefix tokens that only one set has are dropped, and sets with fewer tokens left than linked
-   sets must share (prefixes are longer than for one token); every other token is a bucket of sets for
-   each size class, and a set is in its own class and the next;
-2. a bucket is led by its smallest set, and all members of the buckets with one leader form a group;
-   equal pairs of leader and member collapse, so that near copies meet once and not once per token;
+1. prefix tokens that only one set has are dropped; every other token is a bucket of sets for each
+   size class, and a set is in its own class and the next. Prefixes are longer than one common token
+   needs, so that linked sets share several;
+2. buckets of few sets give pairs, which must share enough buckets; a larger bucket is led by its
+   smallest set, and the members of the buckets with one leader form its group. Equal pairs of leader and member
+   collapse, so that near copies meet once and not once per token;
 3. a group's sets are fetched into a prefix tree of ordered tokens. A query walks it sharing the
    overlap of common paths and leaves a subtree when the tokens that remain cannot reach the bound.
    Sets that are linked already are not compared again: a group gives a spanning forest of its
@@ -47,6 +48,8 @@ GRAM = 4
 PERCENT = 85
 #: The share of a set by which its prefix is longer than one common token needs.
 MORE_PERCENT = 2
+#: Sets of a bucket whose pairs are counted one by one.
+FEW = 8
 BUCKETS = 1 << 16
 BLOCK = 1 << 20
 GROUP_BYTES = 1 << 22
@@ -295,19 +298,7 @@ def classes(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT, group_byt
     tokens = named.select(F.explode("prefix").alias("token"), F.xxhash64("set_id").alias("node"), "n")
     common = materialize(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("token"), "common-tokens")
     common = materialize(tokens.join(common, "token").distinct(), "common-rows")
-    # Sets that link share as many tokens as the smaller one's prefix is longer, and one; it has at least percent of the tokens.
-    least = 1 + F.floor(MORE_PERCENT * F.ceil(percent * F.col("n") / 100) / 100)
-    able = materialize(common.groupBy("node").agg(F.count(F.lit(1)).alias("tokens"), F.max("n").alias("n")).where(
-        F.col("tokens") >= least).select("node"), "able-sets")
-    # Sets that link differ by less than a size class, so both are in the class of the larger.
-    size_class = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / (percent - 1)))
-    sized = common.join(able, "node").select("token", "node", "n", F.explode(F.array(size_class, size_class + 1)).alias("class"))
-    # Equal sets share a node: where least and largest node of a bucket differ, two sets have it.
-    shared = lambda rows, key: materialize(rows.groupBy(key).agg(F.min("node").alias("center"), F.max("node").alias("last")).where(
-        "center <> last").drop("last"), f"common-{key}")
-    sized = materialize(sized.select(F.xxhash64("token", "class").alias("bucket"), "node", "n"), "sized-buckets")
-    buckets = materialize(sized.join(shared(sized, "bucket"), "bucket"), "buckets")
-    pairs = materialize(buckets.where("node <> center").select("center", "node").distinct(), "tree-pairs")
+    pairs, led = _candidates(common, percent)
     places = named.where("n > 0").groupBy("set_id").agg(F.min(F.struct("id", "hash")).alias("place"), F.max("n").alias("n"))
     distinct = places.withColumn("node", F.xxhash64("set_id"))
     needed = pairs.select("node").unionByName(pairs.select(F.col("center").alias("node"))).distinct()
@@ -319,7 +310,7 @@ def classes(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT, group_byt
     sized = chosen.select("node", "n")
     links, split = _tree_links(pairs, sets, sized, percent, group_bytes)
     if split.limit(1).count():
-        apart = materialize(_apart(buckets.join(split, "center", "left_semi"), components(links), chosen, percent), "pairs-apart")
+        apart = materialize(_apart(led.join(split, "center", "left_semi"), components(links), chosen, percent), "pairs-apart")
         more, _ = _tree_links(apart, sets, sized, percent, 1 << 40)
         links = links.unionByName(more)
     labels = components(links).withColumnRenamed("node", "set_id")
@@ -331,6 +322,41 @@ def classes(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT, group_byt
     return linked.unionByName(alone)
 
 
+def _candidates(common: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs ``center, node`` that meet in a tree, and the buckets ``bucket, node, n, center`` that have a leader.
+
+    ``common`` has the common prefix tokens: ``token, node, n``. Sets that link share at least as many
+    of them as the smaller one's prefix is longer, and one. Buckets of few sets give their pairs, which
+    are counted; a pair that its count, with all large buckets of either set, cannot bring to that
+    number goes. Pairs that only meet in large buckets are found by the buckets' leaders, among sets
+    that are in enough large buckets.
+    """
+    # Sets that link differ by less than a size class, so both are in the class of the larger.
+    size_class = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / (percent - 1)))
+    sized = common.select("token", "node", "n", F.explode(F.array(size_class, size_class + 1)).alias("class"))
+    sized = sized.select(F.xxhash64("token", "class").alias("bucket"), "class", "node", "n")
+    sizes = materialize(sized.groupBy("bucket").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1"), "bucket-sizes")
+    buckets = materialize(sized.join(sizes, "bucket"), "buckets")
+    large = buckets.where(F.col("sets") > FEW).drop("sets")
+    often = materialize(large.groupBy("node", "class").agg(F.count(F.lit(1)).alias("often"), F.max("n").alias("n")), "large-buckets-of-sets")
+    few = buckets.where(F.col("sets") <= FEW).join(often.drop("n"), ["node", "class"], "left")
+    member = F.struct("node", "n", F.coalesce("often", F.lit(0)).alias("often"))
+    groups = few.groupBy("bucket", "class").agg(F.sort_array(F.collect_list(member)).alias("sets"))
+    each = F.flatten(F.transform("sets", lambda x, i: F.transform(
+        F.slice("sets", i + 2, F.size("sets")), lambda y: F.struct(x.alias("x"), y.alias("y")))))
+    met = groups.select("class", F.explode(each).alias("p")).select("class", "p.x", "p.y")
+    least, most = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
+    met = met.where(100 * least >= percent * most).groupBy(F.col("x.node").alias("center"), F.col("y.node").alias("node"), "class").agg(
+        F.count(F.lit(1)).alias("tokens"), F.max(F.least("x.often", "y.often")).alias("more"), F.max(least).alias("n"))
+    near = met.where(F.col("tokens") + F.col("more") >= 1 + F.floor(MORE_PERCENT * F.col("n") / 100)).select("center", "node")
+    able = often.where(F.col("often") >= 1 + F.floor(MORE_PERCENT * F.ceil(percent * F.col("n") / 100) / 100)).select("node", "class")
+    led = materialize(large.join(able, ["node", "class"]), "large-buckets")
+    leaders = led.groupBy("bucket").agg(F.min("node").alias("center"))
+    led = materialize(led.join(leaders, "bucket").select("bucket", "node", "n", "center"), "led-buckets")
+    pairs = near.unionByName(led.where("node <> center").select("center", "node"))
+    return materialize(pairs.distinct(), "tree-pairs"), led
+
+
 def _apart(buckets: DataFrame, labels: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
     """``center, node``: pairs of a bucket in different components that lengths allow to link.
 
