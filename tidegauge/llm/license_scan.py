@@ -98,18 +98,22 @@ def _windows_in_place(rows: DataFrame, dictionary: DataFrame) -> DataFrame:
 
     The dictionary, proven small, is a literal in 256 parts by hash; arrays never leave their row.
     """
-    spans: dict[int, list[list[int]]] = {}
-    for row in dictionary.collect():
-        spans.setdefault(row["span"], [[] for _ in range(256)])[row["shingle"] % 256].append(row["shingle"])
+    listed = dictionary.collect()
+    spans = sorted({row["span"] for row in listed})
+    parts: list[list[Column]] = [[] for _ in range(256)]
+    for shingle in sorted({row["shingle"] for row in listed}):
+        parts[shingle % 256].append(F.lit(shingle))
+    known = F.array(*[F.array(*part).cast("array<bigint>") for part in parts])
+    part = lambda i: F.get(known, F.pmod(F.get("shingles", i), F.lit(256)).cast("int"))
+    at = F.filter(F.sequence(F.lit(0), F.size("shingles") - 1), lambda i: F.array_contains(part(i), F.get("shingles", i)))
+    places = rows.where(F.size("shingles") > 0).withColumn("at", at).where(F.size("at") > 0)
+
+    def held_by(span: int) -> Column:
+        starts = F.array_distinct(F.flatten(F.transform("at", lambda i: _starts(i, F.lit(span)))))
+        return F.transform(starts, lambda start: F.struct(F.lit(span).alias("span"), start.alias("start")))
+
     empty = F.array().cast("array<struct<span:int,start:int>>")
-    found = [empty]
-    for span, parts in sorted(spans.items()):
-        known = F.array(*[F.array(*map(F.lit, part)).cast("array<bigint>") for part in parts])
-        at = F.filter(F.sequence(F.lit(0), F.size("shingles") - 1), lambda i, known=known: F.array_contains(
-            F.get(known, F.pmod(F.get("shingles", i), F.lit(256)).cast("int")), F.get("shingles", i)))
-        starts = F.array_distinct(F.flatten(F.transform(at, lambda i, span=span: _starts(i, F.lit(span)))))
-        found.append(F.transform(starts, lambda s, span=span: F.struct(F.lit(span).alias("span"), s.alias("start"))))
-    held = rows.where(F.size("shingles") > 0).withColumn("held", F.flatten(F.array(*found))).where(F.size("held") > 0)
+    held = places.withColumn("held", F.flatten(F.array(empty, *map(held_by, spans))))
     windows = F.transform("held", lambda w: F.struct(w["span"].alias("span"), w["start"].alias("start"), _inside(w["span"], w["start"]).alias("inside")))
     return held.select("id", "hash", F.explode(windows).alias("w")).select("id", "hash", "w.span", "w.start", "w.inside").dropDuplicates(
         ["id", "hash", "span", "start"])
