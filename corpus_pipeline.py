@@ -31,11 +31,10 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later occurrences of three-line windows are cut; a document that loses all its lines goes."""
+    """Later occurrences of three-line windows are cut; what is left of a text may be empty."""
     cut = line_dedup.dedup_lines(docs)
     whole = F.col("n_removed") == 0
     length = F.length("kept_text").cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None
-    kept = cut.where(whole | (F.length(F.btrim("kept_text")) > 0))
     columns = []
     for name in docs.columns:
         column = F.col("row")[name]
@@ -44,12 +43,12 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         elif name == "n_chars":
             column = F.when(whole, column).otherwise(length)
         columns.append(column.alias(name))
-    return kept.select(*columns)
+    return cut.select(*columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies stays: the one with the smallest id."""
-    return ngram_join.dedup(docs)
+    """Documents that line dedup has emptied go; of each class of near copies the smallest id stays."""
+    return ngram_join.dedup(docs.where(F.length(F.btrim("text")) > 0))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -35,7 +35,7 @@ def item_windows(items: DataFrame, window: int, id_col: str, text_col: str) -> D
     words = items.select(F.col(id_col).cast("string").alias("item_id"), alnum_words(ascii_lower(F.col(text_col))).alias("words"))
     starts = F.sequence(F.lit(1), F.greatest(F.size("words") - (window - 1), F.lit(1)))
     each = F.transform(starts, lambda i: F.slice(F.col("words"), i, window))
-    return words.where(F.size("words") > 0).select("item_id", F.explode(each).alias("win")).distinct()
+    return words.where(F.size("words") > 0).select("item_id", F.explode_outer(each).alias("win")).distinct()
 
 
 def _rarest(windows: DataFrame, counts: DataFrame) -> DataFrame:

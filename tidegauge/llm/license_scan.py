@@ -106,7 +106,8 @@ def _windows_in_place(rows: DataFrame, dictionary: DataFrame) -> DataFrame:
     known = F.array(*[F.array(*part).cast("array<bigint>") for part in parts])
     part = lambda i: F.get(known, F.pmod(F.get("shingles", i), F.lit(256)).cast("int"))
     at = F.filter(F.sequence(F.lit(0), F.size("shingles") - 1), lambda i: F.array_contains(part(i), F.get("shingles", i)))
-    places = rows.where(F.size("shingles") > 0).withColumn("at", at).where(F.size("at") > 0)
+    # No filter on these arrays: the optimizer would write them, as expressions, into each other's lambdas.
+    places = rows.withColumn("at", F.when(F.size("shingles") > 0, at))
 
     def held_by(span: int) -> Column:
         starts = F.array_distinct(F.flatten(F.transform("at", lambda i: _starts(i, F.lit(span)))))
@@ -115,13 +116,13 @@ def _windows_in_place(rows: DataFrame, dictionary: DataFrame) -> DataFrame:
     empty = F.array().cast("array<struct<span:int,start:int>>")
     held = places.withColumn("held", F.flatten(F.array(empty, *map(held_by, spans))))
     windows = F.transform("held", lambda w: F.struct(w["span"].alias("span"), w["start"].alias("start"), _inside(w["span"], w["start"]).alias("inside")))
-    return held.select("id", "hash", F.explode(windows).alias("w")).select("id", "hash", "w.span", "w.start", "w.inside").dropDuplicates(
+    return held.select("id", "hash", F.explode_outer(windows).alias("w")).where("w IS NOT NULL").select("id", "hash", "w.span", "w.start", "w.inside").dropDuplicates(
         ["id", "hash", "span", "start"])
 
 
 def _windows_by_join(rows: DataFrame, dictionary: DataFrame) -> DataFrame:
     """The same for a dictionary of any size: places join it by shuffle, and their windows the documents."""
-    places = rows.select("id", "hash", F.posexplode("shingles").alias("pos", "shingle")).join(dictionary, "shingle")
+    places = rows.select("id", "hash", F.posexplode_outer("shingles").alias("pos", "shingle")).join(dictionary, "shingle")
     held = places.select("id", "hash", "span", F.explode(_starts(F.col("pos"), F.col("span"))).alias("start")).distinct()
     held = materialize(held, "license-places")
     joined = rows.dropDuplicates(["id", "hash"]).alias("r").join(held.alias("h"), F.col("r.id").eqNullSafe(F.col("h.id")) & (F.col("r.hash") == F.col("h.hash")))

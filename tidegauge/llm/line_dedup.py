@@ -31,7 +31,8 @@ def _windows(docs: DataFrame, window: int) -> DataFrame:
     part = lambda i: [F.get(F.col("filled"), i + k) for k in range(window)]
     each = F.transform(F.sequence(F.lit(0), F.size("filled") - window), lambda i: F.struct(
         F.xxhash64(*part(i)).alias("h1"), F.xxhash64(F.lit(window), *reversed(part(i))).alias("h2"), i.alias("at")))
-    return lines.select("id", "hash", F.explode(each).alias("w")).select("w.h1", "w.h2", "id", "hash", "w.at")
+    # An outer explode: for an inner one the optimizer adds a filter with "filled" written into the lambda.
+    return lines.select("id", "hash", F.explode_outer(each).alias("w")).where("w IS NOT NULL").select("w.h1", "w.h2", "id", "hash", "w.at")
 
 
 def removed_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
