@@ -192,7 +192,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     rows = rows.withColumn("_order", F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.col(text_col)), 1))
     # Twice the rows wanted, by hash, so that what tasks offer to the driver does not grow with their number.
     share = min(1.0, 2 * limit / max(rows.count(), 1))
-    few = rows.where(F.col("_order") <= int(share * ((1 << 63) - 1)))
+    few = rows.where(F.col("_order") <= min(int(share * (1 << 63)), (1 << 63) - 1))
     # A text's first part is enough for a bounded sample; prediction reads whole texts.
     sample = few.select(F.col("_order").alias("o"), F.substring(F.col(text_col), 1, 4 * WINDOW * SAMPLE_WINDOWS).alias("t"),
                         F.col(lang_col).alias("l")).orderBy("o", "t", "l").limit(limit).collect()
