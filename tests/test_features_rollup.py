@@ -139,10 +139,12 @@ def test_high_risk_owners_uses_a_strict_limit(spark):
     assert [(r.feature_id, r.owner_team) for r in star.high_risk_owners(fact, dim).collect()] == [("b", "y")]
 
 
-def test_broadcast_hint_only_for_a_counted_side(spark):
-    plan = lambda df: df._jdf.queryExecution().logical().toString()
-    assert "broadcast" in plan(star.broadcast_if_small(spark.range(10), 10)).lower()
-    assert "broadcast" not in plan(star.broadcast_if_small(spark.range(11), 10)).lower()
+def test_a_null_day_comes_last(spark):
+    rows = [("f", None, 900.0, 0.0), ("f", "2025-01-01", 100.0, 0.0), ("f", "2025-01-02", 200.0, 0.0)]
+    days = spark.createDataFrame(rows, "feature_name string, event_date string, avg_latency double, crash_rate double")
+    found = {r.event_date: r for r in rollup.add_rolling_stats(days).collect()}
+    assert found["2025-01-01"].rolling_7d_avg_latency == 100.0 and found["2025-01-01"].latency_dod_change is None
+    assert (found["2025-01-02"].latency_dod_change, found[None].recency_rank) == (100.0, 1)
 
 
 def test_slo_counts_days(spark):

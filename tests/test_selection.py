@@ -87,3 +87,16 @@ def test_running_totals_match_a_plain_cumsum(spark, buckets):
         for _, v, n in [r for r in rows if r[0] == group]:
             total += n
             assert found[group, v] == total
+
+
+def test_both_ways_interpolate_alike(spark):
+    values = [((i * 7919) % 2003) / 37 for i in range(2000)]
+    df = column(spark, values)
+    shares = [0.01, 0.25, 0.333, 0.75, 0.95, 0.99]
+    assert selection.exact_quantiles(df, {"x": shares}, direct_rows=10) == selection.exact_quantiles(df, {"x": shares})
+
+
+def test_sample_takes_rows_without_a_key_last(spark):
+    df = spark.createDataFrame([(i, i if i < 5 else None) for i in range(10)], "id long, key long")
+    assert sample_n(df, 5, F.col("key")).filter("key IS NULL").count() == 0 and sample_n(df, 5, F.col("key")).count() == 5
+    assert sample_n(df, 7, F.col("key")).count() == 7 and sample_n(df, 12, F.col("key")).count() == 10

@@ -123,3 +123,17 @@ def test_latency_gate_is_strict(events):
 def test_profile_without_latency(spark):
     row = quality.data_profile(spark.range(3)).first()
     assert (row.row_count, row.column_count, row["columns"]) == (3, 1, ["id"])
+
+
+def test_text_nan_is_no_value(spark, events):
+    df = events(*[{"user_id": f"u{i}"} for i in range(10)]).withColumn("latency_ms", F.when(F.col("user_id") < "u3", "NaN").otherwise("200"))
+    seen = validate.measured(df).first()
+    assert (seen.present_latency_ms, seen.outside_latency_ms, seen.coerced_latency_ms) == (7, 0, 0)
+    validate.validate_schema(df)
+
+
+def test_unicode_blanks_are_no_feature_name(spark, events):
+    df = events({"feature_name": "\u00a0"}, {})
+    assert [r.passed for r in quality.suite_rows(quality.expectations(df), df.agg(*[
+        c.alias(n) for n, c in quality.suite_measures(quality.expectations(df)).items()]), quality.duplicate_count(df)
+    ).filter("expectation = 'expect_feature_name_not_null_or_empty'").collect()] == [False]

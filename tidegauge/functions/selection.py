@@ -176,7 +176,9 @@ def exact_quantiles(
                 continue
             low, high = next(answers), next(answers)
             position = share * (count - 1)
-            result[column].append(low + (high - low) * (position - math.floor(position)))
+            # The same operations as the built-in percentile, so that both ways agree to the last digit.
+            between = (math.ceil(position) - position) * low + (position - math.floor(position)) * high
+            result[column].append(low if low == high or position == math.floor(position) else between)
     return result
 
 

@@ -110,7 +110,7 @@ def _feature_name() -> Expectation:
     name = F.col("feature_name")
     return Expectation(
         "expect_feature_name_not_null_or_empty",
-        {"dq_name_nulls": F.count_if(name.isNull()), "dq_name_blanks": F.count_if(name.rlike(r"^\s*$"))},
+        {"dq_name_nulls": F.count_if(name.isNull()), "dq_name_blanks": F.count_if(name.rlike(r"(?U)^\s*$"))},
         (nulls == 0) & (blanks == 0),
         F.format_string("Null feature names: %d, Empty: %d", nulls, blanks),
     )

@@ -51,8 +51,8 @@ def silver_quality_score(daily: DataFrame) -> DataFrame:
 
 
 def trailing_mean(value: str, rows: int, key: str, order: str) -> Column:
-    """Mean of the current and the ``rows - 1`` preceding rows; gaps in days are not filled."""
-    return F.avg(value).over(Window.partitionBy(key).orderBy(order).rowsBetween(1 - rows, 0))
+    """Mean of the current and the ``rows - 1`` preceding rows; gaps in days are not filled, a null day is last."""
+    return F.avg(value).over(Window.partitionBy(key).orderBy(F.col(order).asc_nulls_last()).rowsBetween(1 - rows, 0))
 
 
 def add_rolling_stats(daily: DataFrame, key: str = "feature_name", order: str = "event_date") -> DataFrame:
@@ -60,7 +60,7 @@ def add_rolling_stats(daily: DataFrame, key: str = "feature_name", order: str =
 
     The rank counts back from the last row, so every window shares one sort order.
     """
-    ordered = Window.partitionBy(key).orderBy(order)
+    ordered = Window.partitionBy(key).orderBy(F.col(order).asc_nulls_last())
     whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     recency = F.count(F.lit(1)).over(whole) - F.row_number().over(ordered) + 1
     return daily.withColumns({

@@ -67,8 +67,11 @@ def risk_recommendations(features: DataFrame) -> DataFrame:
 
 
 def feature_deep_dive(features: DataFrame, name: str) -> DataFrame:
-    """The card of one feature; older and newer column names are both accepted."""
-    return features.filter(F.col("feature_name") == name).limit(1).select(
+    """The card of one feature, of its last day if rows are days; older and newer column names are both accepted."""
+    day = next((c for c in ("event_date", "date") if c in features.columns), None)
+    rows = features.filter(F.col("feature_name") == name)
+    rows = rows.orderBy(F.col(day).desc_nulls_last()) if day else rows
+    return rows.limit(1).select(
         "feature_name",
         first_present(features, "risk_probability").alias("risk_probability"),
         risk_tier(first_present(features, "risk_probability")).alias("risk_tier"),

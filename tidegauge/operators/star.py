@@ -11,7 +11,6 @@ from tidegauge.operators.rollup import trailing_mean
 
 FACT_KEY = ("feature_id", "event_date")
 DIMENSION_KEY = ("feature_id",)
-BROADCAST_ROWS = 100_000
 
 
 def fact_feature_metrics(days: DataFrame, risk_score: Column, anomaly_flag: Column) -> DataFrame:
@@ -43,11 +42,6 @@ def key_violations(df: DataFrame, key: Sequence[str]) -> DataFrame:
     )
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting that ``df`` stays within ``limit`` rows."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
-
-
 def fact_rolling_latency(fact: DataFrame) -> DataFrame:
     return fact.select(
         "feature_id", "event_date",
@@ -63,7 +57,7 @@ def high_risk_owners(fact: DataFrame, dimension: DataFrame, threshold: float = 0
     """
     risky = fact.groupBy("feature_id").agg(F.avg("risk_score").alias("avg_risk")).filter(F.col("avg_risk") > threshold)
     owners = dimension.select("feature_id", "owner_team").distinct()
-    return risky.join(broadcast_if_small(owners), "feature_id").select("feature_id", "owner_team", "avg_risk")
+    return risky.join(owners, "feature_id").select("feature_id", "owner_team", "avg_risk")
 
 
 def risk_by_attribute(fact: DataFrame, dimension: DataFrame, attribute: str) -> DataFrame:
@@ -73,7 +67,7 @@ def risk_by_attribute(fact: DataFrame, dimension: DataFrame, attribute: str) ->
         F.count("risk_score").alias("_scored"),
         F.count(F.lit(1)).alias("_days"),
     )
-    joined = per_feature.join(broadcast_if_small(dimension.select("feature_id", attribute)), "feature_id")
+    joined = per_feature.join(dimension.select("feature_id", attribute), "feature_id")
     return joined.groupBy(attribute).agg(
         F.count(F.lit(1)).alias("features"),
         F.sum("_days").alias("feature_days"),

@@ -37,10 +37,12 @@ def check_required_columns(df: DataFrame, stage: str) -> None:
 
 
 def _as_number(df: DataFrame, name: str, prefix: str = "") -> Column:
-    value = F.col(prefix + name)
-    if isinstance(df.schema[name].dataType, T.NumericType):
+    """The column as a number; NaN, as a value or as text, is null."""
+    kind, value = df.schema[name].dataType, F.col(prefix + name)
+    if isinstance(kind, T.NumericType) and not isinstance(kind, (T.DoubleType, T.FloatType)):
         return value
-    return value.try_cast("double")
+    number = value if isinstance(kind, T.NumericType) else value.try_cast("double")
+    return F.when(~F.isnan(number), number)
 
 
 def coerce_numeric(df: DataFrame) -> DataFrame:
@@ -62,7 +64,8 @@ def measures(df: DataFrame, stage: str = "raw", prefix: str = "") -> dict[str, C
     if stage == "raw":
         for name in NUMERIC_COLUMNS:
             if name in df.columns:
-                lost = F.col(prefix + name).isNotNull() & _as_number(df, name, prefix).isNull()
+                given = F.col(prefix + name)
+                lost = given.isNotNull() & (F.lower(given.cast("string")) != "nan") & _as_number(df, name, prefix).isNull()
                 found[f"coerced_{name}"] = F.count_if(lost)
         for name, (low, high) in VALUE_RANGES.items():
             if name in df.columns:

@@ -21,12 +21,17 @@ BRONZE_BATCH = "bronze/batch"
 BRONZE_STREAM = "bronze/stream"
 
 
+def utc_now() -> Column:
+    """The present as a UTC wall-clock time, whatever the session's zone."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz"))
+
+
 def today() -> Column:
-    return F.date_format(F.current_timestamp(), "yyyy-MM-dd")
+    return F.date_format(utc_now(), "yyyy-MM-dd")
 
 
 def ingest_time() -> Column:
-    return F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+    return F.date_format(utc_now(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
 
 
 def bronze_append(df: DataFrame, lake: str, source: str, ingested_at: str | None = None) -> None:
@@ -105,8 +110,11 @@ def silver_overwrite(df: DataFrame, lake: str, dataset: str, day: str | None = N
         .partitionBy("_processing_date").parquet(f"{lake}/silver/{dataset}"))
 
 
-def read_silver(spark: SparkSession, lake: str, dataset: str, day: str | None = None) -> DataFrame:
-    rows = spark.read.parquet(f"{lake}/silver/{dataset}")
+def read_silver(spark: SparkSession, lake: str, dataset: str, day: str | None = None,
+                schema: T.StructType | None = None) -> DataFrame:
+    """A Silver dataset; ``schema`` names its columns where files of different runs may differ."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    rows = reader.parquet(f"{lake}/silver/{dataset}")
     return rows if day is None else rows.filter(F.col("_processing_date") == day)
 
 

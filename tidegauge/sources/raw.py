@@ -41,11 +41,13 @@ def sample_n(df: DataFrame, n: int, order: Column, direct_rows: int = DIRECT_ROW
     ``order`` is a reproducible pseudo-random key, e.g. ``xxhash64(id, seed)``. The n-th
     smallest key is found by counting, after which the sample is a plain filter; nothing is
     sorted or gathered. Only rows that tie with that key are cut by ``limit``. A table of at
-    most ``direct_rows`` rows is simply ordered.
+    most ``direct_rows`` rows is simply ordered. Rows without a key come last.
     """
-    total = df.agg(F.count(order)).first()[0]
-    if n >= total:
+    total, rows = df.agg(F.count(order), F.count(F.lit(1))).first()
+    if n >= rows:
         return df
+    if n >= total:
+        return df.filter(order.isNotNull()).unionAll(df.filter(order.isNull()).limit(n - total))
     if n <= 0:
         return df.limit(0)
     if total <= direct_rows:

@@ -7,8 +7,9 @@ source works on any streaming frame with a ``value`` column, such as a file stre
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,7 +21,6 @@ from tidegauge.sources.raw import read_raw_csv
 logger = logging.getLogger(__name__)
 
 TOPIC = "feature-telemetry-events"  # fixed value: topic name
-MAX_MESSAGES = 500  # fixed value: messages per trigger
 CORRUPT = "_corrupt_record"
 
 _PARSED = T.StructType([*STREAM_EVENT.fields, T.StructField(CORRUPT, T.StringType())])
@@ -30,15 +30,19 @@ def kafka_source(
     spark: SparkSession,
     servers: str,
     topic: str = TOPIC,
-    max_messages: int = MAX_MESSAGES,
+    max_messages: int | None = None,
 ) -> DataFrame:
-    """JSON values of a topic from its earliest offset. The checkpoint holds the offsets."""
-    return (spark.readStream.format("kafka")
-            .option("kafka.bootstrap.servers", servers)
-            .option("subscribe", topic)
-            .option("startingOffsets", "earliest")
-            .option("maxOffsetsPerTrigger", max_messages)
-            .load()
+    """JSON values of a topic from its earliest offset. The checkpoint holds the offsets.
+
+    ``max_messages`` bounds a micro-batch; without it a batch takes what there is.
+    """
+    reader = (spark.readStream.format("kafka")
+              .option("kafka.bootstrap.servers", servers)
+              .option("subscribe", topic)
+              .option("startingOffsets", "earliest"))
+    if max_messages:
+        reader = reader.option("maxOffsetsPerTrigger", max_messages)
+    return (reader.load()
             .select(F.col("value").cast("string").alias("value")))
 
 
@@ -89,19 +93,23 @@ def ingest_topic_or_csv(
     checkpoint: str,
     csv_path: str,
     topic: str = TOPIC,
-    max_messages: int = MAX_MESSAGES,
+    max_messages: int | None = None,
 ) -> str:
-    """Drain the topic; load the CSV instead when there is no Kafka connector or nothing arrives.
+    """Drain the topic; load the CSV instead when the broker cannot be reached or nothing arrives.
 
     Returns which of the two was used.
     """
+    return drain_or_csv(lambda: kafka_source(spark, servers, topic, max_messages), spark, lake, checkpoint, csv_path)
+
+
+def drain_or_csv(source: Callable[[], DataFrame], spark: SparkSession, lake: str, checkpoint: str, csv_path: str) -> str:
+    """Drain any source of JSON values; load the CSV when it is missing, fails or has nothing."""
     try:
-        values = kafka_source(spark, servers, topic, max_messages)
-        if stream_bronze_sink(values, lake, checkpoint):
+        if stream_bronze_sink(source(), lake, checkpoint):
             return "stream"
-        logger.info("no events on %s, loading %s", topic, csv_path)
-    except AnalysisException as error:
-        logger.warning("cannot read from Kafka, loading %s: %s", csv_path, error.getCondition())
+        logger.info("no events, loading %s", csv_path)
+    except (AnalysisException, StreamingQueryException) as error:
+        logger.warning("cannot read the stream, loading %s: %s", csv_path, error.getCondition())
     csv_fallback(spark, csv_path, lake)
     return "csv"
 
