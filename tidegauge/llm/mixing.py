@@ -47,7 +47,8 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, cap
         .withColumn("capped", F.coalesce(F.sum("most").over(before), F.lit(0.0)))
         .withColumn("capped_weight", F.coalesce(F.sum("weight").over(before), F.lit(0.0)))
         .withColumn("level", (F.col("total") - F.col("capped")) / (F.col("weights") - F.col("capped_weight")))
-        .withColumn("level", F.min(F.when(F.col("ratio") > F.col("level"), F.col("level"))).over(everything))
+        # The first source below its cap has the level; those after it would subtract caps that are not reached.
+        .withColumn("level", F.max(F.when(F.col("ratio") > F.col("level"), F.col("level"))).over(everything))
     )
     target = F.when(F.col("ratio") > F.col("level"), F.col("weight") * F.col("level")).otherwise(F.col("most"))
     return steps.select("source", "source_size", target.alias("target"))
@@ -131,7 +132,7 @@ levels AS (
               / (sum(weight) OVER ()
                - coalesce(sum(weight) OVER (ORDER BY ratio, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS level
     FROM caps),
-solved AS (SELECT *, min(CASE WHEN ratio > level THEN level END) OVER () AS final FROM levels),
+solved AS (SELECT *, max(CASE WHEN ratio > level THEN level END) OVER () AS final FROM levels),
 targets AS (SELECT source, source_size, CASE WHEN ratio > final THEN weight * final ELSE most END AS target FROM solved),
 ranked AS (
     SELECT d.doc_id, d.size, t.source_size, t.target,
