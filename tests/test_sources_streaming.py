@@ -7,6 +7,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tidegauge import session
+from tidegauge.operators.validate import ValidationError
 from tidegauge.schema import RAW_EVENT, STREAM_EVENT
 from tidegauge.sources import layers, raw, reports
 from tidegauge.streaming import bronze as stream
@@ -23,6 +24,33 @@ def test_csv_reading(spark, tmp_path):
         raw.read_raw_csv(spark, str(tmp_path / "none.csv"))
 
 
+def test_csv_by_name_with_further_columns_and_odd_values(spark, tmp_path):
+    path, lake = tmp_path / "raw.csv", str(tmp_path / "lake")
+    path.write_text("timestamp,region,user_id,feature_name,latency_ms,crash_flag,error_count,feedback_score,session_duration\n"
+                    "2025-01-01 00:00:00,eu,u1,search,n/a,1.0,2,oops,NaN\n"
+                    "2025-01-01 01:00:00,us,u2,NULL,5,0.5,NA,4,3\n")
+    rows = raw.read_raw_csv(spark, str(path)).orderBy("timestamp").collect()
+    assert [r.user_id for r in rows] == ["u1", "u2"] and [r.region for r in rows] == ["eu", "us"]
+    assert [r.crash_flag for r in rows] == [1, None] and [r.latency_ms for r in rows] == [None, 5.0]
+    assert rows[1].feature_name is None and rows[1].error_count is None and rows[0].session_duration is None
+    stream.csv_fallback(spark, str(path), lake)
+    kept = layers.read_bronze(spark, lake, typed=False, further=["region"]).orderBy("timestamp").collect()
+    assert [r.feedback_score for r in kept] == ["oops", "4"] and [r.crash_flag for r in kept] == ["1.0", "0.5"]
+    assert [r.region for r in kept] == ["eu", "us"]
+    assert layers.read_bronze(spark, lake).dtypes[2] == ("session_duration", "double")
+
+
+def test_files_with_other_headers_and_missing_columns_are_refused(spark, tmp_path):
+    folder = tmp_path / "two"
+    folder.mkdir()
+    (folder / "a.csv").write_text("user_id,feature_name\nu,f\n")
+    (folder / "b.csv").write_text("feature_name,user_id\nf,u\n")
+    with pytest.raises(Exception, match="header"):
+        raw.read_raw_csv(spark, str(folder)).collect()
+    with pytest.raises(ValidationError, match="missing required columns"):
+        stream.csv_fallback(spark, str(folder / "a.csv"), str(tmp_path / "lake"))
+
+
 def test_union_fills_missing_columns(spark):
     a, b = spark.createDataFrame([(1, 2)], "x int, y int"), spark.createDataFrame([(3, 4)], "y int, z int")
     assert sorted(raw.union_files([a, b]).collect(), key=str) == [(1, 2, None), (None, 3, 4)]
@@ -139,7 +167,8 @@ def test_csv_steps_in_for_a_missing_connector_or_an_empty_topic(spark, events, t
     assert layers.read_bronze(spark, lake).count() == 2
     (inbox / "1.json").write_text(event(1))
     assert stream.ingest_topic_or_csv(spark, "any", lake, str(tmp_path / "cp"), csv) == "stream"
-    assert layers.read_bronze(spark, lake).count() == 2 and layers.read_bronze_stream(spark, lake).count() == 1
+    assert layers.read_bronze(spark, lake).count() == 3 and layers.read_bronze_stream(spark, lake).count() == 1
+    assert layers.read_bronze(spark, lake).filter("_source = 'kafka_consumer'").first().latency_ms == 2.5
 
 
 def test_shared_folder_is_required_on_a_cluster(spark, monkeypatch):

@@ -3,9 +3,10 @@
 Spark's ``percentile`` keeps every distinct value of the column in one task, which does not
 hold for an event-grain metric. Here a mergeable sketch proposes an interval around the wanted
 rank and a counting pass proves on which side the rank lies, so the interval shrinks by orders
-of magnitude per round. Only when at most ``DIRECT_ROWS`` rows are left inside are they sorted
-in one place. Each round is two map-side aggregations; the rows themselves are never shuffled,
-and a value that fills a third of the table becomes an interval end and drops out.
+of magnitude per round. When no more rows are left inside than a sketch keeps apart, the sketch
+names the value itself and the same count proves it, so there is one way for every size. Each
+round is two map-side aggregations; the rows themselves are never shuffled or gathered, and a
+value that fills a third of the table becomes an interval end and drops out.
 """
 
 from __future__ import annotations
@@ -19,10 +20,12 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-DIRECT_ROWS = 250_000
-SKETCH_ACCURACY = 5_000
+SKETCH_ACCURACY = 10_000
 SKETCH_GROUPS = 32
+MAX_CLASSES = 1_000
+LOWER_HALF = 2**32 - 1
 
 
 @dataclass
@@ -50,54 +53,74 @@ class _Search:
         self.answer, self.done = answer, True
 
 
-def order_statistics(
-    df: DataFrame,
-    wanted: Sequence[tuple[Column, int, int]],
-    direct_rows: int = DIRECT_ROWS,
-) -> list[Any]:
-    """Values at the given ranks. ``wanted`` holds (expression, rank from 0, non-null count)."""
-    columns: dict[int, tuple[str, Column]] = {}
-    searches = []
-    for expression, rank, count in wanted:
+def order_statistics(df: DataFrame, wanted: Sequence[tuple[Column, int, int]]) -> list[Any]:
+    """Values at the given ranks. ``wanted`` holds (expression, rank from 0, non-null count).
+
+    Sketches hold doubles, in which a long such as a row hash loses its last digits. Longs are
+    therefore searched by their upper half first, then by the lower half among equals.
+    """
+    for _, rank, count in wanted:
         if not 0 <= rank < count:
             raise ValueError(f"rank {rank} is outside 0..{count - 1}")
+    distinct = list({id(e): e for e, _, _ in wanted}.values())
+    types = df.select([e.alias(f"v{i}") for i, e in enumerate(distinct)]).schema.fields
+    long = {id(e) for e, field in zip(distinct, types) if isinstance(field.dataType, T.LongType)}
+    upper = {i: F.shiftright(e, 32) for i, e in ((id(e), e) for e in distinct) if i in long}
+    found = _search(df, [(upper.get(id(e), e), rank, count) for e, rank, count in wanted])
+    halves = [(n, e, upper[id(e)], rank) for n, (e, rank, _) in enumerate(wanted) if id(e) in long]
+    if halves:
+        parts = [part for n, _, half, _ in halves for part in (
+            F.count_if(half < F.lit(found[n])).alias(f"under{n}"), F.count_if(half == F.lit(found[n])).alias(f"at{n}"))]
+        seen = df.agg(*parts).first()
+        rests = _search(df, [
+            (F.when(half == F.lit(found[n]), e.bitwiseAND(F.lit(LOWER_HALF))), rank - seen[f"under{n}"], seen[f"at{n}"])
+            for n, e, half, rank in halves
+        ])
+        for (n, _, _, _), rest in zip(halves, rests):
+            found[n] = (found[n] << 32) + rest
+    return found
+
+
+def _search(df: DataFrame, wanted: Sequence[tuple[Column, int, int]]) -> list[Any]:
+    columns: dict[int, tuple[str, Column]] = {}
+    searches: dict[tuple[str, int], _Search] = {}
+    for expression, rank, count in wanted:
         name, _ = columns.setdefault(id(expression), (f"v{len(columns)}", expression))
-        searches.append(_Search(name, rank, count))
+        searches.setdefault((name, rank), _Search(name, rank, count))
     values = df.select([expression.alias(name) for name, expression in columns.values()])
-    todo = searches
+    todo = list(searches.values())
     while todo:
-        _advance(values, todo, direct_rows)
+        rows = values.filter(reduce(or_, [s.within() for s in todo]))
+        _narrow(rows, _propose(rows, todo))
         todo = [s for s in todo if not s.done]
-    return [s.answer for s in searches]
+    return [searches[columns[id(expression)][0], rank].answer for expression, rank, _ in wanted]
 
 
-def _advance(values: DataFrame, todo: list[_Search], direct_rows: int) -> None:
-    rows = values.filter(reduce(or_, [s.within() for s in todo]))
-    small = [s for s in todo if s.inside <= direct_rows]
-    large = [s for s in todo if s.inside > direct_rows]
-    if small:
-        sorted_inside = [F.sort_array(F.collect_list(F.when(s.within(), F.col(s.column)))) for s in small]
-        found = rows.agg(*[F.get(a, s.rank).alias(f"p{i}") for i, (s, a) in enumerate(zip(small, sorted_inside))]).first()
-        for i, search in enumerate(small):
-            search.settle(found[i])
-    if large:
-        _narrow(rows, _propose(rows, large))
+def _fits(search: _Search) -> bool:
+    """Whether a sketch of this accuracy still keeps all rows inside apart."""
+    return 2 * search.inside < SKETCH_ACCURACY
 
 
 def _propose(rows: DataFrame, searches: list[_Search]) -> list[tuple[_Search, Any, Any]]:
     """Two values that should enclose each wanted rank.
 
     Sketches are merged in a few groups of tasks, not all in one place; the middle proposal of
-    the groups is taken. A poor proposal costs a round, never a wrong answer.
+    the groups is taken. What fits a sketch whole goes into one, which then knows the value. A
+    poor proposal costs a round, never a wrong answer.
     """
     sketches = []
     for i, search in enumerate(searches):
-        share, margin = search.rank / search.inside, 2 / SKETCH_ACCURACY
+        # The middle of the rank's own step; the sketch answers with the value of that step.
+        share = (search.rank + 0.5) / search.inside
+        margin = 0.0 if _fits(search) else 2 / SKETCH_ACCURACY
         ends = [max(0.0, share - margin), min(1.0, share + margin)]
         inside = F.when(search.within(), F.col(search.column))
         sketches.append(F.percentile_approx(inside, ends, SKETCH_ACCURACY).alias(f"p{i}"))
-    group = (F.spark_partition_id() % SKETCH_GROUPS).alias("_group")
-    found = rows.groupBy(group).agg(*sketches).drop("_group").collect()
+    if all(_fits(search) for search in searches):
+        found = rows.agg(*sketches).collect()
+    else:
+        group = (F.spark_partition_id() % SKETCH_GROUPS).alias("_group")
+        found = rows.groupBy(group).agg(*sketches).drop("_group").collect()
     proposals = []
     for i, search in enumerate(searches):
         ends = [row[i] for row in found if row[i] is not None]
@@ -139,25 +162,16 @@ def exact_quantiles(
     df: DataFrame,
     wanted: Mapping[str, Sequence[float]],
     expressions: Mapping[str, Column] | None = None,
-    at_most: int | None = None,
-    direct_rows: int = DIRECT_ROWS,
+    counts: Mapping[str, int] | None = None,
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles per name; nulls and NaN are skipped, none left gives None.
 
-    A name is a column of ``df`` unless ``expressions`` defines it. A table of at most
-    ``direct_rows`` rows goes through the built-in ``percentile``; a caller that knows such a
-    bound passes it as ``at_most`` and saves the count.
+    A name is a column of ``df`` unless ``expressions`` defines it. A caller that knows how many
+    values are neither null nor NaN passes these ``counts`` and saves a pass.
     """
     source = {c: (expressions or {}).get(c, F.col(c)).cast("double") for c in wanted}
     clean = {c: F.when(~F.isnan(value), value) for c, value in source.items()}
-    if at_most is None or at_most > direct_rows:
-        counted = df.agg(*[F.count(v).alias(c) for c, v in clean.items()]).first().asDict()
-        at_most = max(counted.values())
-    if at_most <= direct_rows:
-        built_in = [F.percentile(v, [float(p) for p in wanted[c]]).alias(c) for c, v in clean.items()]
-        found = df.agg(*built_in).first()
-        return {c: list(found[c]) if found[c] is not None else [None] * len(wanted[c]) for c in wanted}
-
+    counted = counts or df.agg(*[F.count(v).alias(c) for c, v in clean.items()]).first().asDict()
     requests: list[tuple[Column, int, int]] = []
     for column, shares in wanted.items():
         count = counted[column]
@@ -165,7 +179,7 @@ def exact_quantiles(
             for share in shares:
                 position = share * (count - 1)
                 requests += [(clean[column], rank, count) for rank in (math.floor(position), math.ceil(position))]
-    answers = iter(order_statistics(df, requests, direct_rows))
+    answers = iter(order_statistics(df, requests))
     result: dict[str, list[float | None]] = {}
     for column, shares in wanted.items():
         count = counted[column]
@@ -176,15 +190,18 @@ def exact_quantiles(
                 continue
             low, high = next(answers), next(answers)
             position = share * (count - 1)
-            # The same operations as the built-in percentile, so that both ways agree to the last digit.
+            # The same operations as the built-in percentile, so that both agree to the last digit.
             between = (math.ceil(position) - position) * low + (position - math.floor(position)) * high
             result[column].append(low if low == high or position == math.floor(position) else between)
     return result
 
 
 def group_counts(df: DataFrame, by: str) -> dict[Any, int]:
-    """Rows per non-null value of a column with few values."""
-    return {row[0]: row[1] for row in df.filter(F.col(by).isNotNull()).groupBy(by).count().collect()}
+    """Rows per non-null value of a label; a column with over ``MAX_CLASSES`` values is refused."""
+    counts = df.filter(F.col(by).isNotNull()).groupBy(by).count().limit(MAX_CLASSES + 1).collect()
+    if len(counts) > MAX_CLASSES:
+        raise ValueError(f"'{by}' has over {MAX_CLASSES} values; it is no class label")
+    return {row[0]: row[1] for row in counts}
 
 
 def first_shares(
@@ -193,7 +210,6 @@ def first_shares(
     order: Column,
     shares: Sequence[float],
     counts: Mapping[Any, int] | None = None,
-    direct_rows: int = DIRECT_ROWS,
 ) -> dict[Any, list[Any]]:
     """Per value of ``by``, the ``order`` value that closes the first round(share * count) rows.
 
@@ -208,5 +224,5 @@ def first_shares(
         sizes[value] = [min(count, math.floor(share * count + 0.5)) for share in shares]
         member = F.when(F.col(by) == F.lit(value), order)
         requests += [(member, size - 1, count) for size in sizes[value] if size]
-    answers = iter(order_statistics(df, requests, direct_rows) if requests else [])
+    answers = iter(order_statistics(df, requests) if requests else [])
     return {value: [next(answers) if size else None for size in wanted] for value, wanted in sizes.items()}

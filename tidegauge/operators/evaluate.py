@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions.expressions import rows_from
 from tidegauge.functions.running import running_totals
-from tidegauge.functions.selection import DIRECT_ROWS
 from tidegauge.session import materialize
 
 
@@ -17,13 +16,11 @@ def ranking_metrics(
     score: str = "score",
     by: str | None = None,
     buckets: int | None = None,
-    at_most: int | None = None,
 ) -> DataFrame:
     """``by`` (or one row), positives, negatives, roc_auc, average_precision.
 
     Equal scores are counted first, so ties share a threshold and count half in the AUC. Both
-    metrics then come from one running total over the distinct scores. ``at_most`` is a known
-    bound on the rows; a small one saves writing the counted scores.
+    metrics then come from one running total over the distinct scores, which are written once.
     """
     group = by or "_all"
     rows = scored if by else scored.withColumn("_all", F.lit(1))
@@ -31,9 +28,8 @@ def ranking_metrics(
     counted = rows.filter(F.col(score).isNotNull()).groupBy(group, (-F.col(score)).alias("_depth")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
-    if at_most is None or at_most > DIRECT_ROWS:
-        counted = materialize(counted, "scores")
-    running = running_totals(counted, "_depth", ["pos", "neg"], by=group, buckets=buckets, at_most=at_most)
+    counted = materialize(counted, "scores")
+    running = running_totals(counted, "_depth", ["pos", "neg"], by=group, buckets=buckets)
     pos, neg = F.col("pos"), F.col("neg")
     raised = F.col("run_pos") + F.col("run_neg")
     result = running.groupBy(group).agg(

@@ -33,10 +33,16 @@ class EventScale:
     @classmethod
     def of(cls, df: DataFrame) -> EventScale:
         """``df`` must already be free of unparseable timestamps."""
-        longest, rows = df.agg(F.max("session_duration"), F.count(F.lit(1))).first()
-        p95 = exact_quantiles(df, {"latency_ms": [ANOMALY_QUANTILE]}, at_most=rows)["latency_ms"][0]
+        latency = F.col("latency_ms")
+        longest, known = df.agg(F.max("session_duration"), F.count(F.when(~F.isnan(latency), latency))).first()
+        p95 = exact_quantiles(df, {"latency_ms": [ANOMALY_QUANTILE]}, counts={"latency_ms": known})["latency_ms"][0]
         return cls.from_figures(p95, longest)
 
+    @classmethod
+    def of_sessions(cls, df: DataFrame) -> EventScale:
+        """The longest session alone; the latency limit stays unknown."""
+        return cls.from_figures(None, df.agg(F.max("session_duration")).first()[0])
+
     @classmethod
     def from_figures(cls, latency_p95: float | None, longest_session: float | None) -> EventScale:
         """A missing or non-positive longest session counts as 1."""

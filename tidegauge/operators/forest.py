@@ -7,6 +7,7 @@ import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 from typing import Any
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -33,7 +34,6 @@ from tidegauge.sources.raw import sample_n
 
 logger = logging.getLogger(__name__)
 
-ROWS_PER_TASK = 50_000
 CONCURRENT_FITS = 5
 LOW_AUC = 0.60  # fixed value: below this a training run warns
 BACKGROUND_ROWS = 20
@@ -71,21 +71,20 @@ def _cleaned(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select([finite_or_zero(F.col(c)).alias(c) for c in columns])
 
 
-def fit_forest(train: DataFrame, config: RiskConfig, features: Sequence[str], rows: int) -> PipelineModel:
+def fit_forest(train: DataFrame, config: RiskConfig, features: Sequence[str]) -> PipelineModel:
     """Fit clean → scale → assemble → forest as one savable pipeline, with balanced classes.
 
-    ``train`` is read by several jobs, so pass a written table. ``rows`` is an upper bound of
-    its size.
+    ``train`` is read by several jobs, so pass a written table. Its partitions decide the
+    bootstrap draws.
     """
     ensure_checkpoint_dir(train.sparkSession)
-    scaling = robust_scaling(_cleaned(train, features), tuple(features), at_most=rows)
+    scaling = robust_scaling(_cleaned(train, features), tuple(features))
     forest = _Forest(
         featuresCol="risk_features", labelCol=config.label, weightCol="class_weight",
         numTrees=config.trees, maxDepth=config.depth, minInstancesPerNode=config.min_leaf, seed=config.seed,
-        cacheNodeIds=rows > ROWS_PER_TASK,
     )
     assembler = VectorAssembler(inputCols=[f"scaled_{c}" for c in features], outputCol="risk_features")
-    weighted = with_class_weight(train, config.label).coalesce(max(1, math.ceil(rows / ROWS_PER_TASK)))
+    weighted = with_class_weight(train, config.label)
     return Pipeline(stages=[_clean_and_scale(scaling), assembler, forest]).fit(weighted)
 
 
@@ -137,9 +136,9 @@ def train_risk_model(
     with ThreadPoolExecutor(1) as pool:  # cross-validation overlaps with the main fit
         folds = None
         if cross_validate and total >= config.fold_min_rows:
-            folds = pool.submit(lambda: cv_auc(split, config, keys, total).first())
-        model = fit_forest(split.filter(~F.col("is_test")), config, features, total)
-        metrics = evaluate_model(split.filter("is_test"), model, config, total)
+            folds = pool.submit(lambda: cv_auc(split, config, keys).first())
+        model = fit_forest(split.filter(~F.col("is_test")), config, features)
+        metrics = evaluate_model(split.filter("is_test"), model, config)
         metrics["cv_auc_mean"], metrics["cv_auc_std"] = folds.result() if folds else (metrics["roc_auc"], 0.0)
     metrics.update(positive_rate=positive_share, train_rows=total - metrics["test_rows"], feature_cols=features)
     if metrics["roc_auc"] is not None and metrics["roc_auc"] < LOW_AUC:
@@ -147,15 +146,15 @@ def train_risk_model(
     return TrainedRisk(model, metrics, feature_importance(model, features))
 
 
-def evaluate_model(test: DataFrame, model: PipelineModel, config: RiskConfig, rows: int) -> dict[str, Any]:
-    """Ranking metrics, confusion matrix and class report on held-out rows, at most ``rows``."""
+def evaluate_model(test: DataFrame, model: PipelineModel, config: RiskConfig) -> dict[str, Any]:
+    """Ranking metrics, confusion matrix and class report on held-out rows."""
     scored = score_rows(test, model).select(
         F.col(config.label).alias("label"),
         F.col("risk_probability").alias("score"),
         F.col("risk_label").alias("predicted"),
     )
     scored = materialize(scored, "risk-test")
-    ranking = evaluate.ranking_metrics(scored, at_most=rows).first()
+    ranking = evaluate.ranking_metrics(scored).first()
     counted = evaluate.confusion_counts(scored)
     cells = counted.first()
     counted = test.sparkSession.createDataFrame([cells], counted.schema)
@@ -174,24 +173,22 @@ def cv_auc(
     labelled: DataFrame,
     config: RiskConfig = RiskConfig(),
     keys: Sequence[str] = ("feature_name", "date"),
-    rows: int | None = None,
 ) -> DataFrame:
     """One row: mean and population deviation of the AUC over stratified folds."""
     features = usable_features(labelled, config)
-    rows = rows or labelled.count()
     order = row_order(config.seed + 1, *keys)
     folded = materialize(stratified_folds(labelled, config.label, order, config.folds), "risk-folds")
 
-    def held_out_auc(fold: int) -> float | None:
-        model = fit_forest(folded.filter(F.col("fold") != fold), config, features, rows)
-        scored = score_rows(folded.filter(F.col("fold") == fold), model).select(
-            F.col(config.label).alias("label"), F.col("risk_probability").alias("score")
+    def held_out(fold: int) -> DataFrame:
+        model = fit_forest(folded.filter(F.col("fold") != fold), config, features)
+        return score_rows(folded.filter(F.col("fold") == fold), model).select(
+            "fold", F.col(config.label).alias("label"), F.col("risk_probability").alias("score")
         )
-        return evaluate.ranking_metrics(scored, at_most=rows).first().roc_auc
 
     with ThreadPoolExecutor(CONCURRENT_FITS) as pool:
-        found = [(auc,) for auc in pool.map(held_out_auc, range(config.folds))]
-    return labelled.sparkSession.createDataFrame(found, "roc_auc double").agg(
+        scored = reduce(DataFrame.unionAll, pool.map(held_out, range(config.folds)))
+    # All folds are ranked together, each within itself.
+    return evaluate.ranking_metrics(scored, by="fold").agg(
         F.avg("roc_auc").alias("cv_auc_mean"), F.stddev_pop("roc_auc").alias("cv_auc_std")
     )
 

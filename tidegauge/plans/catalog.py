@@ -396,7 +396,7 @@ def error_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def session_quality_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = dirty_parsed(spark, sf_dir)
-    return features.add_session_quality(parsed, features.EventScale.of(parsed)).select("event_id", "session_quality_index")
+    return features.add_session_quality(parsed, features.EventScale.of_sessions(parsed)).select("event_id", "session_quality_index")
 
 
 @query

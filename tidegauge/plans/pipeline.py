@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tidegauge.functions.expressions import nan_to_null, wall_time
 from tidegauge.functions.selection import exact_quantiles
 from tidegauge.operators import drift, features, forest, quality, risk, rollup, runs, validate
-from tidegauge.schema import BRONZE_TEXT, RAW_EVENT
+from tidegauge.schema import RAW_EVENT
 from tidegauge.sources import layers, reports
 from tidegauge.sources.raw import read_raw_csv
 
@@ -66,14 +66,19 @@ def _save_report(spark: SparkSession, config: PipelineConfig, report: dict[str,
     reports.json_report_sink(reports.stamped(row), config.at("reports/run_report"))
 
 
-def ingest(spark: SparkSession, csv_path: str, lake: str) -> DataFrame:
-    """Append the CSV to Bronze as text and return exactly the rows of this load."""
+def ingest(spark: SparkSession, csv_path: str, lake: str) -> tuple[DataFrame, str]:
+    """Append the CSV to Bronze as text; return exactly the rows of this load, and its stamp."""
     stamp = spark.range(1).select(layers.ingest_time()).first()[0]
     raw = read_raw_csv(spark, csv_path, typed=False)
     validate.check_required_columns(raw, "raw")
     layers.bronze_append(raw, lake, csv_path, ingested_at=stamp)
-    loaded = layers.read_bronze(spark, lake, date=stamp[:10], schema=BRONZE_TEXT)
-    return loaded.filter(F.col("_ingested_at") == stamp).select(*RAW_EVENT.fieldNames())
+    return bronze_load(spark, lake, stamp), stamp
+
+
+def bronze_load(spark: SparkSession, lake: str, stamp: str) -> DataFrame:
+    """The raw columns, as text, of the rows that one load brought."""
+    rows = layers.read_bronze(spark, lake, date=stamp[:10], typed=False)
+    return rows.filter(F.col("_ingested_at") == stamp).select(*RAW_EVENT.fieldNames())
 
 
 @dataclass
@@ -96,30 +101,33 @@ def measure(raw: DataFrame) -> Measured:
     both = typed(raw.withColumn("text", F.struct(*raw.columns)))
     events = both.drop("text")
     moment = wall_time(events, "timestamp")
+    parsed = F.when(moment.isNotNull(), F.col("latency_ms"))
     aggregates: dict[str, Column] = {
         **validate.measures(raw, "raw", "text."),
         **rollup.baseline_measures(),
         **quality.suite_measures(quality.expectations(events)),
         **{f"nulls_{c}": F.avg(F.col(c).isNull().cast("int")) for c in events.columns},
+        "known_p99": F.count("latency_ms"),
+        "known_p95": F.count(parsed),
         "longest_session": F.max(F.when(moment.isNotNull(), F.col("session_duration"))),
     }
     frame = both.agg(*[c.alias(n) for n, c in aggregates.items()])
     row = frame.first()
     validate.verdict(row.asDict(), "raw")
 
-    parsed = F.when(moment.isNotNull(), F.col("latency_ms"))
     wanted = {"p99": [0.99], "p95": [features.ANOMALY_QUANTILE]}
-    ranks = exact_quantiles(events, wanted, {"p99": F.col("latency_ms"), "p95": parsed}, at_most=row["rows"])
+    counts = {"p99": row.known_p99, "p95": row.known_p95}
+    ranks = exact_quantiles(events, wanted, {"p99": F.col("latency_ms"), "p95": parsed}, counts)
     scale = features.EventScale.from_figures(ranks["p95"][0], row.longest_session)
     return Measured(row.asDict(), spark.createDataFrame([row], frame.schema), scale, ranks["p99"][0])
 
 
 def _run(spark: SparkSession, csv_path: str, config: PipelineConfig, baseline_events: DataFrame | None) -> RunResult:
-    raw = ingest(spark, csv_path, config.lake)
+    raw, load = ingest(spark, csv_path, config.lake)
     events = typed(raw)
     seen = measure(raw)
 
-    drift_report = _drift_step(spark, config, events, seen, baseline_events)
+    drift_report = _drift_step(spark, config, events, seen, baseline_events, load)
     quality_results = quality.suite_rows(
         quality.expectations(events, p99=seen.p99), seen.frame, quality.duplicate_count(events)
     )
@@ -150,11 +158,17 @@ def _run(spark: SparkSession, csv_path: str, config: PipelineConfig, baseline_ev
         ]
         attribution = trained.importance.limit(0)
         if config.attribution:
-            names = trained.metrics["feature_cols"]
-            attribution = small(forest.mean_abs_attribution(scored, trained.model, features=names))
+            try:
+                names = trained.metrics["feature_cols"]
+                attribution = small(forest.mean_abs_attribution(scored, trained.model, features=names))
+            except Exception:  # the run stands without it
+                logger.warning("attribution failed, going on without it", exc_info=True)
         for output in outputs:
             output.result()
-    runs.log_training_run(spark, config.at("runs"), trained.metrics, config.risk, model_path, "auto_run")
+    try:
+        runs.log_training_run(spark, config.at("runs"), trained.metrics, config.risk, model_path, "auto_run")
+    except Exception:  # the run stands without its log entry
+        logger.warning("the run could not be logged", exc_info=True)
 
     quality_row, drift_row = quality_report.first(), drift_report.first()
     totals = scored.agg(F.count(F.lit(1)), F.count_if(F.col("risk_probability") > 0.5)).first()
@@ -193,18 +207,25 @@ def _drift_step(
     events: DataFrame,
     seen: Measured,
     baseline_events: DataFrame | None,
+    load: str,
 ) -> DataFrame:
-    """First run: save the baseline and report nothing. Later: compare and save the report."""
-    path = config.at("reports/baseline_stats")
+    """First run: save the baseline, with the Bronze load it came from, and report nothing.
+
+    Later: compare means with the baseline and distributions (PSI, KS) with the rows of that load,
+    or with ``baseline_events`` where given; save the report.
+    """
+    path, origin = config.at("reports/baseline_stats"), config.at("reports/baseline_load")
     current = seen.frame.select(*rollup.baseline_measures())
     baseline = reports.baseline_read(spark, path)
     if baseline is None:
+        reports.json_report_sink(spark.range(1).select(F.lit(load).alias("ingested_at")), origin)
         reports.save_baseline(current, path)
         return drift.empty_drift_report(current)
     changes = drift.drift_pct_change(current.select(*drift.MEANS), baseline, config.drift_threshold)
-    psi = ks = None
-    if baseline_events is not None:
-        psi, ks = drift.drift_psi(baseline_events, events), drift.drift_ks(baseline_events, events)
+    if baseline_events is None:
+        stamp = spark.read.schema("ingested_at string").json(origin).first()[0]
+        baseline_events = typed(bronze_load(spark, config.lake, stamp))
+    psi, ks = drift.drift_psi(baseline_events, events), drift.drift_ks(baseline_events, events)
     report = drift.drift_report(changes, psi, ks, config.drift_threshold)
     report = small(report)
     reports.json_report_sink(reports.stamped(report), config.at("reports/data_drift"))

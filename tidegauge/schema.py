@@ -32,6 +32,12 @@ VALUE_RANGES = {
     "error_count": (0, 1_000),
 }
 
+# The words that stand for a missing value in a raw CSV.
+MISSING_WORDS = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
+    "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+]
+
 RAW_EVENT_TEXT = T.StructType([T.StructField(f.name, T.StringType()) for f in RAW_EVENT])
 
 INGEST_COLUMNS = [
@@ -39,7 +45,7 @@ INGEST_COLUMNS = [
     T.StructField("_source", T.StringType()),
 ]
 _BATCH_COLUMNS = [*INGEST_COLUMNS, T.StructField("_layer", T.StringType()), T.StructField("date", T.StringType())]
-BRONZE_EVENT = T.StructType([*RAW_EVENT.fields, *_BATCH_COLUMNS])
+# Bronze holds raw columns as they came, as text; further columns of a load are kept beside them.
 BRONZE_TEXT = T.StructType([*RAW_EVENT_TEXT.fields, *_BATCH_COLUMNS])
 STREAM_BRONZE_EVENT = T.StructType([
     *STREAM_EVENT.fields,

@@ -8,6 +8,7 @@ Layout below a lake root: ``bronze/batch`` (append, one partition per ingest day
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -15,7 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegauge.schema import BRONZE_EVENT, STREAM_BRONZE_EVENT
+from tidegauge.schema import BRONZE_TEXT, STREAM_BRONZE_EVENT
+from tidegauge.sources.raw import text_frame, typed_raw
 
 BRONZE_BATCH = "bronze/batch"
 BRONZE_STREAM = "bronze/stream"
@@ -35,11 +37,11 @@ def ingest_time() -> Column:
 
 
 def bronze_append(df: DataFrame, lake: str, source: str, ingested_at: str | None = None) -> None:
-    """Append raw rows unchanged, plus ingest metadata, to today's Bronze partition.
+    """Append raw rows, all columns as text, plus ingest metadata, to today's Bronze partition.
 
     ``ingested_at`` (ISO time) lets the caller find the rows of this load again.
     """
-    stamped = df.withColumns({
+    stamped = text_frame(df).withColumns({
         "_ingested_at": F.lit(ingested_at) if ingested_at else ingest_time(),
         "_source": F.lit(source),
         "_layer": F.lit("bronze"),
@@ -62,14 +64,25 @@ def read_bronze(
     spark: SparkSession,
     lake: str,
     date: str | None = None,
-    schema: T.StructType = BRONZE_EVENT,
+    typed: bool = True,
+    further: Sequence[str] = (),
 ) -> DataFrame:
-    """All batch Bronze rows, or one ``date`` partition (pruned before any file is opened).
+    """All Bronze rows, of files and of the stream, or one ``date`` partition (pruned before any
+    file is opened).
 
-    A column that an older file lacks is null in its rows.
+    ``typed=False`` gives the raw columns as the text they came as. ``further`` names columns
+    beyond the raw ones. A column that a load lacks is null in its rows; stream values that are
+    no event are left to ``read_bronze_stream``.
     """
-    rows = read_or_empty(spark, f"{lake}/{BRONZE_BATCH}", schema)
-    return rows if date is None else rows.filter(F.col("date") == date)
+    schema = T.StructType([*BRONZE_TEXT.fields[:-1], *[T.StructField(c, T.StringType()) for c in further],
+                           BRONZE_TEXT.fields[-1]])
+    batch = read_or_empty(spark, f"{lake}/{BRONZE_BATCH}", schema)
+    events = read_bronze_stream(spark, lake).filter(F.col("_corrupt_record").isNull())
+    given = {"_layer": F.lit("bronze"), **{c: F.col(c).cast("string") for c in events.columns}}
+    streamed = events.select([given.get(c, F.lit(None).cast("string")).alias(c) for c in schema.fieldNames()])
+    rows = batch.select(*schema.fieldNames()).unionAll(streamed)
+    rows = rows if date is None else rows.filter(F.col("date") == date)
+    return typed_raw(rows) if typed else rows
 
 
 def read_bronze_stream(spark: SparkSession, lake: str, date: str | None = None) -> DataFrame:
@@ -153,5 +166,5 @@ def layer_inventory(spark: SparkSession, lake: str) -> DataFrame:
 
 
 def last_ingested(spark: SparkSession, lake: str) -> DataFrame:
-    """Latest ingest stamp in Bronze; null when nothing was ingested."""
-    return read_bronze(spark, lake).agg(F.max("_ingested_at").alias("last_ingested"))
+    """Latest ingest stamp in Bronze, of files or stream; null when nothing was ingested."""
+    return read_bronze(spark, lake, typed=False).agg(F.max("_ingested_at").alias("last_ingested"))

@@ -8,19 +8,36 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegauge.functions.expressions import clip, nan_to_null
-from tidegauge.functions.selection import DIRECT_ROWS, order_statistics
-from tidegauge.schema import RAW_EVENT, RAW_EVENT_TEXT
+from tidegauge.functions.expressions import clip
+from tidegauge.functions.selection import order_statistics
+from tidegauge.schema import MISSING_WORDS, RAW_EVENT
 
 
 def read_raw_csv(spark: SparkSession, path: str, typed: bool = True) -> DataFrame:
-    """Header CSV of raw events. A missing path is an ``AnalysisException``.
+    """Header CSV of raw events, by column name in any order; further columns are kept as text.
 
+    The names come from the header and every file must agree with them, else reading fails.
+    A missing path is an ``AnalysisException``. Words for missing values become null.
     ``typed=False`` keeps every column as text, so that validation can count what it coerces.
     """
-    schema = RAW_EVENT if typed else RAW_EVENT_TEXT
-    rows = spark.read.schema(schema).option("header", True).csv(path)
-    return nan_to_null(rows)
+    named = spark.read.option("header", True).csv(path).schema
+    rows = spark.read.schema(named).option("header", True).option("enforceSchema", False).csv(path)
+    rows = rows.select([
+        F.when(~F.col(f"`{c}`").isin(MISSING_WORDS), F.col(f"`{c}`")).alias(c) for c in rows.columns
+    ])
+    return typed_raw(rows) if typed else rows
+
+
+def typed_raw(rows: DataFrame) -> DataFrame:
+    """The raw columns of a text frame with their types; what does not parse is null."""
+    casts = {}
+    for field in RAW_EVENT:
+        if field.name in rows.columns and field.dataType != T.StringType():
+            number = F.col(field.name).try_cast("double")
+            number = F.when(~F.isnan(number), number)
+            whole = F.when(number == F.floor(number), number).try_cast("int")  # "1.0" is an int with gaps
+            casts[field.name] = number if field.dataType == T.DoubleType() else whole
+    return rows.withColumns(casts)
 
 
 def union_files(frames: Sequence[DataFrame]) -> DataFrame:
@@ -35,28 +52,29 @@ def drop_incomplete(df: DataFrame, columns: Sequence[str] = ("event_time", "user
     return df.dropna(subset=list(columns))
 
 
-def sample_n(df: DataFrame, n: int, order: Column, direct_rows: int = DIRECT_ROWS) -> DataFrame:
+def sample_n(df: DataFrame, n: int, order: Column) -> DataFrame:
     """Exactly ``min(n, rows)`` rows without replacement: those with the smallest ``order``.
 
     ``order`` is a reproducible pseudo-random key, e.g. ``xxhash64(id, seed)``. The n-th
     smallest key is found by counting, after which the sample is a plain filter; nothing is
-    sorted or gathered. Only rows that tie with that key are cut by ``limit``. A table of at
-    most ``direct_rows`` rows is simply ordered. Rows without a key come last.
+    sorted or gathered. Only rows that tie with that key are ordered, by their content, so a rerun
+    draws the same ones. Rows without a key come last.
     """
+    def some(ties: DataFrame, wanted: int) -> DataFrame:
+        return ties.orderBy(F.to_json(F.struct(*[F.col(f"`{c}`") for c in ties.columns]))).limit(wanted)
+
     total, rows = df.agg(F.count(order), F.count(F.lit(1))).first()
     if n >= rows:
         return df
     if n >= total:
-        return df.filter(order.isNotNull()).unionAll(df.filter(order.isNull()).limit(n - total))
+        return df.filter(order.isNotNull()).unionAll(some(df.filter(order.isNull()), n - total))
     if n <= 0:
         return df.limit(0)
-    if total <= direct_rows:
-        return df.filter(order.isNotNull()).orderBy(order).limit(n)
-    cut = order_statistics(df, [(order, n - 1, total)], direct_rows)[0]
+    cut = order_statistics(df, [(order, n - 1, total)])[0]
     under, ties = df.agg(F.count_if(order < F.lit(cut)), F.count_if(order == F.lit(cut))).first()
     if under + ties == n:
         return df.filter(order <= F.lit(cut))
-    return df.filter(order < F.lit(cut)).unionAll(df.filter(order == F.lit(cut)).limit(n - under))
+    return df.filter(order < F.lit(cut)).unionAll(some(df.filter(order == F.lit(cut)), n - under))
 
 
 # Category prefixes (checked in this order), first words, and fallback names.

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidegauge.operators.validate import check_required_columns
 from tidegauge.schema import STREAM_EVENT
 from tidegauge.sources.layers import BRONZE_STREAM, bronze_append, ingest_time, today
 from tidegauge.sources.raw import read_raw_csv
@@ -83,7 +84,9 @@ def stream_bronze_sink(values: DataFrame, lake: str, checkpoint: str, source: st
 
 def csv_fallback(spark: SparkSession, csv_path: str, lake: str) -> None:
     """Batch-load a raw CSV into Bronze when the stream has nothing."""
-    bronze_append(read_raw_csv(spark, csv_path), lake, csv_path)
+    raw = read_raw_csv(spark, csv_path, typed=False)
+    check_required_columns(raw, "raw")
+    bronze_append(raw, lake, csv_path)
 
 
 def ingest_topic_or_csv(
