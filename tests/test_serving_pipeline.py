@@ -81,7 +81,9 @@ def test_run_twice(spark, lake):
     assert second.report["rows_ingested"] == 1000 and second.report["drift_detected"]
     assert layers.read_bronze(spark, config.lake).count() == 2000
     assert second.scored.count() == 150  # Silver holds this day once
-    assert read_report(lake, "data_drift")["alerts"][0].startswith("latency_ms_mean drifted by")
+    alerts = read_report(lake, "data_drift")["alerts"]
+    assert alerts[0].startswith("latency_ms_mean drifted by")
+    assert any("PSI" in a for a in alerts) and any("KS" in a for a in alerts)  # against the rows of the first load
 
 
 def test_failed_run_is_reported_and_raised(spark, lake, tmp_path):

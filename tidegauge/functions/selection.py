@@ -137,12 +137,16 @@ def _narrow(rows: DataFrame, narrowing: list[tuple[_Search, Any, Any]]) -> None:
         counts += [
             F.count_if(inside & (value < F.lit(left))).alias(f"under{i}"),
             F.count_if(inside & (value == F.lit(left))).alias(f"left{i}"),
-            F.count_if(inside & (value > F.lit(left)) & (value < F.lit(right))).alias(f"between{i}"),
-            F.count_if(inside & (value == F.lit(right)) & F.lit(left != right)).alias(f"right{i}"),
         ]
-    seen = rows.agg(*counts).first()
-    for i, (search, left, right) in enumerate(narrowing):
-        under, at_left, between, at_right = seen[4 * i:4 * i + 4]
+        if left != right:
+            counts += [
+                F.count_if(inside & (value > F.lit(left)) & (value < F.lit(right))).alias(f"between{i}"),
+                F.count_if(inside & (value == F.lit(right))).alias(f"right{i}"),
+            ]
+    seen = iter(rows.agg(*counts).first())
+    for search, left, right in narrowing:
+        under, at_left = next(seen), next(seen)
+        between, at_right = (next(seen), next(seen)) if left != right else (0, 0)
         above = search.inside - under - at_left - between - at_right
         if search.rank < under:
             search.high, search.inside = left, under

