@@ -15,7 +15,7 @@ def flag(condition: Column) -> Column:
 
 
 def null_if_nan(value: Column) -> Column:
-    return F.when(~F.isnan(value), value)
+    return F.nanvl(value, F.lit(None).cast("double"))
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
@@ -29,7 +29,7 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 
 def finite_or_zero(value: Column) -> Column:
     value = value.cast("double")
-    return F.when(value.isNull() | F.isnan(value) | (F.abs(value) == float("inf")), 0.0).otherwise(value)
+    return F.when(F.abs(value) < float("inf"), value).otherwise(0.0)
 
 
 def clip(value: Column, low: float, high: float) -> Column:
