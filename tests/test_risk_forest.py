@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 from datetime import datetime
+from itertools import combinations
 
 import pytest
 from pyspark.sql import functions as F
@@ -177,30 +178,46 @@ def test_training_refuses_too_little(days):
         forest.train_risk_model(labelled.drop(*RISK_FEATURES[1:]), SMALL)
 
 
-def test_attribution_is_additive(spark, days, trained):
+def shapley_by_hand(leaves, place):
+    """All coalitions of a row at ``place``; features outside one follow the leaf's share."""
+    players = range(len(place))
+
+    def worth(inside):
+        return sum(leaf.value * math.prod(
+            float(leaf[f"low{j}"] < place[j] <= leaf[f"high{j}"]) if j in inside else leaf[f"share{j}"] for j in players
+        ) for leaf in leaves)
+
+    coalitions = [frozenset(c) for size in players for c in combinations(players, size)]
+    known = {c: worth(c) for c in [*coalitions, frozenset(players)]}
+    n = len(place)
+    return known[frozenset()], [
+        sum(math.factorial(len(c)) * math.factorial(n - len(c) - 1) / math.factorial(n) * (known[c | {j}] - known[c])
+            for c in coalitions if j not in c)
+        for j in players
+    ]
+
+
+def test_attribution_matches_all_coalitions(spark, days, trained):
     features = list(SMALL.features)
     few = days.filter("date IN ('day-000', 'day-050', 'day-150', 'day-199')")
-    phis = forest.row_attribution(few, trained.model, ["date"], features, background=3).collect()
-    drawn = forest.sample_n(risk.clean_features(few).select("date", *features), 3, F.xxhash64("date"))
-    base = forest.score_rows(drawn, trained.model).agg(F.avg("risk_probability")).first()[0]
+    phis = {r.date: r for r in forest.row_attribution(few, trained.model, ["date"], features).collect()}
+    leaves = forest.forest_leaves(trained.model, len(features)).collect()
+    assert sum(math.prod(leaf[f"share{j}"] for j in range(5)) for leaf in leaves) == pytest.approx(SMALL.trees)
     own = {r.date: r.risk_probability for r in forest.score_rows(few, trained.model).collect()}
     assert len(phis) == 4
-    for row in phis:
-        assert sum(row[f"phi_{c}"] for c in features) == pytest.approx(own[row.date] - base, abs=1e-9)
+    for row in trained.model.stages[0].transform(few).collect():
+        base, expected = shapley_by_hand(leaves, [row[f"scaled_{c}"] for c in features])
+        found = [phis[row.date][f"phi_{c}"] for c in features]
+        assert found == pytest.approx(expected, abs=1e-9)
+        assert base + sum(found) == pytest.approx(own[row.date], abs=1e-9)
 
 
 def test_mean_attribution_is_sorted(days, trained):
-    rows = forest.mean_abs_attribution(days.filter("date LIKE '%0'"), trained.model, background=4).collect()
+    rows = forest.mean_abs_attribution(days.filter("date LIKE '%0'"), trained.model).collect()
     values = [r.mean_abs_attribution for r in rows]
     assert len(rows) == 5 and values == sorted(values, reverse=True) and values[0] > 0
 
 
-def test_coalition_weights_sum_up():
-    weights = forest._coalition_weights(3)
-    assert all(math.isclose(sum(w), 0.0, abs_tol=1e-12) for w in weights)
-    assert all(math.isclose(sum(x for x in w if x > 0), 1.0) for w in weights)
-
-
 def test_run_log_and_best_model(spark, days, trained, tmp_path):
     table = str(tmp_path / "runs")
     assert runs.load_best_model(spark, table) is None

@@ -15,7 +15,7 @@ def flag(condition: Column) -> Column:
 
 
 def null_if_nan(value: Column) -> Column:
-    return F.nanvl(value, F.lit(None).cast("double"))
+    return F.nanvl(value, F.lit(None))
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:

@@ -190,7 +190,7 @@ def exact_quantiles(
     """
     source = {c: (expressions or {}).get(c, F.col(c)).cast("double") for c in wanted}
     names = {c: f"v{i}" for i, c in enumerate(wanted)}
-    clean = df.select([F.nanvl(value, F.lit(None).cast("double")).alias(names[c]) for c, value in source.items()])
+    clean = df.select([F.nanvl(value, F.lit(None)).alias(names[c]) for c, value in source.items()])
     requests: list[tuple[str, int, int]] = []
     with scratch(clean, "ranked-values") as values:
         counted = counts or values.agg(*[F.count(name).alias(c) for c, name in names.items()]).first().asDict()

@@ -4,17 +4,19 @@ from __future__ import annotations
 
 import logging
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
+from operator import mul
 from typing import Any
 
+from numpy.polynomial.legendre import leggauss
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.functions.expressions import finite_or_zero, rows_from
@@ -29,14 +31,12 @@ from tidegauge.operators.risk import (
     warn_on_weak_label,
     with_class_weight,
 )
-from tidegauge.session import ensure_checkpoint_dir, materialize
-from tidegauge.sources.raw import sample_n
+from tidegauge.session import ensure_checkpoint_dir, materialize, remove_folder, shared_path
 
 logger = logging.getLogger(__name__)
 
 CONCURRENT_FITS = 5
 LOW_AUC = 0.60  # fixed value: below this a training run warns
-BACKGROUND_ROWS = 20
 
 
 class _ForestModel(RandomForestClassificationModel):
@@ -200,54 +200,87 @@ def feature_importance(model: PipelineModel, features: Sequence[str]) -> DataFra
     return SparkSession.active().createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
 
 
-def _coalition_weights(players: int) -> list[list[float]]:
-    """Per feature, the Shapley coefficient of each coalition (bit mask) value."""
-    share = [
-        math.factorial(s) * math.factorial(players - s - 1) / math.factorial(players) for s in range(players)
-    ]
-    return [
-        [
-            share[mask.bit_count() - 1] if mask >> j & 1 else -share[mask.bit_count()]
-            for mask in range(2 ** players)
-        ]
-        for j in range(players)
-    ]
-
-
-def row_attribution(
-    df: DataFrame,
-    model: PipelineModel,
-    keys: Sequence[str],
-    features: Sequence[str],
-    background: int = BACKGROUND_ROWS,
-) -> DataFrame:
-    """Exact interventional Shapley values of the class-1 probability: ``phi_<feature>`` per row.
+def forest_leaves(model: PipelineModel, players: int) -> DataFrame:
+    """A row per leaf: ``value``, its part of the class-1 probability, and per feature position the
+    scaled values that reach it, ``low < x <= high``, and ``share``, the part of the training
+    weight that the splits on this feature send its way.
 
-    Each row is scored under every coalition of features, the other features taken from a
-    small fixed background sample, so the work per row is background * 2**features forest
-    evaluations. Meant for the feature-day grain. ``keys`` identify a row.
+    At most trees * 2**depth rows, whatever the size of the data; the fitted forest itself is as large.
     """
+    spark = SparkSession.active()
+    path = shared_path(spark, "forest-nodes")
+    model.stages[-1].write().save(path)
+    trees: dict[int, dict[int, Row]] = {}
+    for row in spark.read.parquet(f"{path}/data").select("treeID", "nodeData").toLocalIterator():
+        trees.setdefault(row.treeID, {})[row.nodeData.id] = row.nodeData
+    remove_folder(spark, path)
+    leaves = [leaf for nodes in trees.values() for leaf in _leaves(nodes, players, len(trees))]
+    fields = [f"{name}{j} double" for name in ("low", "high", "share") for j in range(players)]
+    return spark.createDataFrame(leaves, ", ".join(["value double", *fields]))
+
+
+def _leaves(nodes: dict[int, Row], players: int, trees: int) -> Iterator[tuple[float, ...]]:
+    todo = [(nodes[0], (-math.inf,) * players, (math.inf,) * players, (1.0,) * players)]
+    while todo:
+        node, low, high, share = todo.pop()
+        weight = sum(node.impurityStats)
+        if node.leftChild < 0:
+            yield (node.impurityStats[1] / weight / trees, *low, *high, *share)
+            continue
+        at, (threshold,) = node.split.featureIndex, node.split.leftCategoriesOrThreshold
+        for child in (nodes[node.leftChild], nodes[node.rightChild]):
+            part = share[at] * sum(child.impurityStats) / weight
+            left = child.id == node.leftChild
+            todo.append((
+                child,
+                low if left else _with(low, at, max(low[at], threshold)),
+                _with(high, at, min(high[at], threshold)) if left else high,
+                _with(share, at, part),
+            ))
+
+
+def _with(values: tuple[float, ...], at: int, value: float) -> tuple[float, ...]:
+    return (*values[:at], value, *values[at + 1:])
+
+
+def row_attribution(df: DataFrame, model: PipelineModel, keys: Sequence[str], features: Sequence[str]) -> DataFrame:
+    """Exact Shapley values of the class-1 probability: ``phi_<feature>`` per row.
+
+    A feature outside a coalition follows both sides of its splits in proportion to the training
+    weight, as tree explainers do, so no background rows are needed and a row's values add up to
+    its probability less the forest's mean. A leaf is then a product over the features, whose
+    Shapley values are integrals over [0, 1] of a polynomial of degree features - 1; as many
+    Gauss points as half the features give these exactly.
+
+    Every row meets every leaf, so the work per row is bounded by the model. Meant for the
+    feature-day grain. ``keys`` identify a row.
+    """
+    positions = range(len(features))
     clean = df.select(*keys, *[finite_or_zero(F.col(c)).alias(c) for c in features])
-    drawn = sample_n(clean, background, F.xxhash64(*keys)).select(*features).collect()
-    others = F.explode(F.array(*[F.struct(*[F.lit(float(v)).alias(c) for c, v in zip(features, row)]) for row in drawn]))
-    masks = F.explode(F.sequence(F.lit(0), F.lit(2 ** len(features) - 1)))
+    scaled = model.stages[0].transform(clean).select(*keys, *[f"scaled_{c}" for c in features])
     # Partitioned by key before the rows multiply: the sum per key then needs no second shuffle.
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    mixed = clean.repartition(tasks, *keys).withColumn("_other", others).withColumn("_mask", masks)
-
-    def taken(position: int, name: str) -> Column:
-        own = F.col("_mask").bitwiseAND(F.lit(1 << position)) != 0
-        return F.when(own, F.col(name)).otherwise(F.col(f"_other.{name}")).alias(name)
-
-    mixed = mixed.select(*keys, "_mask", *[taken(i, c) for i, c in enumerate(features)])
-    scored = score_rows(mixed, model)
-
-    def contribution(coefficients: list[float]) -> Column:
-        weight = F.get(F.array(*[F.lit(w) for w in coefficients]), F.col("_mask"))
-        return F.sum(weight * F.col("risk_probability")) / len(drawn)
+    met = scaled.repartition(tasks, *keys).crossJoin(F.broadcast(forest_leaves(model, len(features))))
+    reached = [
+        (F.col(f"scaled_{c}") > F.col(f"low{j}")) & (F.col(f"scaled_{c}") <= F.col(f"high{j}"))
+        for j, c in enumerate(features)
+    ]
+    points, weights = leggauss((len(features) + 1) // 2)
+
+    def blend(j: int, point: float) -> Column:
+        outside = F.col(f"share{j}") * (1 - point)
+        return F.when(reached[j], outside + point).otherwise(outside)
+
+    def contribution(j: int) -> Column:
+        own = F.when(reached[j], 1.0).otherwise(0.0) - F.col(f"share{j}")
+        integral = sum(
+            (reduce(mul, [blend(k, (1 + float(x)) / 2) for k in positions if k != j], F.lit(float(w) / 2))
+             for x, w in zip(points, weights)),
+            F.lit(0.0),
+        )
+        return F.sum(F.col("value") * own * integral)
 
-    weights = _coalition_weights(len(features))
-    return scored.groupBy(*keys).agg(*[contribution(w).alias(f"phi_{c}") for c, w in zip(features, weights)])
+    return met.groupBy(*keys).agg(*[contribution(j).alias(f"phi_{c}") for j, c in enumerate(features)])
 
 
 def mean_abs_attribution(
@@ -255,10 +288,9 @@ def mean_abs_attribution(
     model: PipelineModel,
     keys: Sequence[str] = ("feature_name", "date"),
     features: Sequence[str] = RiskConfig().features,
-    background: int = BACKGROUND_ROWS,
 ) -> DataFrame:
     """feature, mean_abs_attribution by falling value."""
-    phis = row_attribution(df, model, keys, features, background)
+    phis = row_attribution(df, model, keys, features)
     means = phis.agg(*[F.avg(F.abs(f"phi_{c}")).alias(c) for c in features])
     return rows_from(means, [
         F.struct(F.lit(c).alias("feature"), F.col(c).alias("mean_abs_attribution")) for c in features

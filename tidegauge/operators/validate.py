@@ -42,7 +42,7 @@ def _as_number(df: DataFrame, name: str, prefix: str = "") -> Column:
     if isinstance(kind, T.NumericType) and not isinstance(kind, (T.DoubleType, T.FloatType)):
         return value
     number = value if isinstance(kind, T.NumericType) else value.try_cast("double")
-    return F.nanvl(number, F.lit(None).cast("double"))
+    return F.nanvl(number, F.lit(None))
 
 
 def coerce_numeric(df: DataFrame) -> DataFrame:
