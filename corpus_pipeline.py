@@ -20,6 +20,8 @@ from tidegauge.session import materialize
 #: Mean probability of the predicted language below which a document is rejected; of four even
 #: languages a text in none of them gets about 0.25 to 0.4, prose in one of them over 0.5.
 MIN_LANGUAGE_SCORE = 0.4
+#: Near copies share this percentage of their distinct runs of so many words, or more.
+COPY_GRAM, COPY_PERCENT = 5, 80
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +50,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that line dedup has emptied go; of each class of near copies the smallest id stays."""
-    return ngram_join.dedup(docs.where(F.length(F.btrim("text")) > 0))
+    return ngram_join.dedup(docs.where(F.length(F.btrim("text")) > 0), gram=COPY_GRAM, percent=COPY_PERCENT)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
