@@ -37,3 +37,14 @@ class TestNearCopies:
         got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()]
         want = copies_left(rows)
         assert sorted(got) == sorted(want) and len(want) == 18 + 6
+
+    def test_null_and_repeated_ids(self, spark):
+        text = lambda k: " ".join(f"w{k}x{i}" for i in range(30))
+        rows = [(None, text(0)), (None, text(1)), (None, text(2)), (7, text(3)), (7, text(4)), (8, text(4)),
+                (None, text(5)), (9, text(5)), (None, text(6)), (None, text(6) + " more"), (None, "\n"), (None, "\t\n"), (None, "\t\n")]
+        docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], DOC).repartition(3)
+        got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()]
+        sure = [*rows[:5], rows[7], *rows[10:]]  # a row without words is near no other
+        either = [row for row in got if row not in sure]
+        assert sorted((r for r in got if r in sure), key=str) == sorted(sure, key=str)
+        assert len(either) == 1 and either[0] in rows[8:10]

@@ -289,6 +289,16 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def classes(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT, group_bytes: int = GROUP_BYTES,
             id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, hash, n_shingles, component_id``, a row per row of ``docs``."""
+    labelled = _labelled(docs, gram, percent, group_bytes, id_col, text_col)
+    least = materialize(labelled.where(F.col("label").isNotNull()).groupBy("label").agg(F.min("id").alias("component_id")), "class-ids")
+    linked = labelled.where(F.col("label").isNotNull()).join(least, "label").select("id", "hash", F.col("n").alias("n_shingles"), "component_id")
+    alone = labelled.where(F.col("label").isNull()).select("id", "hash", F.col("n").alias("n_shingles"), F.col("id").alias("component_id"))
+    return linked.unionByName(alone)
+
+
+def _labelled(docs: DataFrame, gram: int, percent: int, group_bytes: int = GROUP_BYTES,
+              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id, hash, n, label``, a row per row of ``docs``; rows of a class share a label, which a row without words has not."""
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).alias("id"), text_hash(text).alias("hash"), F.coalesce(text, F.lit("")).cast("binary").alias("data"))
     id_type = rows.schema["id"].dataType.simpleString()
@@ -314,12 +324,8 @@ def classes(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT, group_byt
         more, _ = _tree_links(apart, sets, sized, percent, 1 << 40)
         links = links.unionByName(more)
     labels = components(links).withColumnRenamed("node", "set_id")
-    labelled = materialize(named.select("id", "hash", "n", "set_id").join(labels, "set_id", "left").select(
+    return materialize(named.select("id", "hash", "n", "set_id").join(labels, "set_id", "left").select(
         "id", "hash", "n", F.when(F.col("n") > 0, F.coalesce("label", "set_id")).alias("label")), "labelled")
-    least = materialize(labelled.where(F.col("label").isNotNull()).groupBy("label").agg(F.min("id").alias("component_id")), "class-ids")
-    linked = labelled.where(F.col("label").isNotNull()).join(least, "label").select("id", "hash", F.col("n").alias("n_shingles"), "component_id")
-    alone = labelled.where(F.col("label").isNull()).select("id", "hash", F.col("n").alias("n_shingles"), F.col("id").alias("component_id"))
-    return linked.unionByName(alone)
 
 
 def _candidates(common: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -379,9 +385,11 @@ def _apart(buckets: DataFrame, labels: DataFrame, chosen: DataFrame, percent: in
 
 
 def dedup(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT) -> DataFrame:
-    """The documents of ``docs`` that name their class: one document of each class stays."""
-    found = classes(docs, gram, percent)
-    keep = found.where(F.col("id").eqNullSafe(F.col("component_id"))).groupBy("id").agg(F.min("hash").alias("hash"))
+    """One document of each class of ``docs``, that of the smallest id and hash (a null id last), and all without words."""
+    labelled = _labelled(docs, gram, percent)
+    first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "hash")).alias("first")
+    named = labelled.where(F.col("label").isNotNull()).groupBy("label").agg(first).select("first.id", "first.hash")
+    keep = named.unionByName(labelled.where(F.col("label").isNull()).select("id", "hash").distinct())
     keyed = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), text_hash(F.col("text")).alias("hash"))
     kept = keyed.alias("d").join(keep.alias("k"), F.col("d.id").eqNullSafe(F.col("k.id")) & (F.col("d.hash") == F.col("k.hash")), "left_semi")
     return kept.select("row.*")
