@@ -264,6 +264,48 @@ class TestNgramJoin:
                 if 100 * both >= 85 * (len(sets[i]) + len(sets[j]) - both):
                     assert find(i) == find(j)
 
+    @pytest.mark.parametrize("unlike", [2, 1])
+    def test_hot_bucket_of_sets_apart_is_never_paired(self, spark, monkeypatch, unlike):
+        """One text whose last words occur nowhere else: all sets share their buckets, and with two such words none link."""
+        rnd, count, bytes_, written = random.Random(5), 150, 3000, {}
+        base = [f"w{i}" for i in range(23 - unlike)]
+        rows = [(i, " ".join([*base, *(f"x{i}y{k}" for k in range(unlike))])) for i in range(count)]
+        rows += [(count + i, " ".join(f"w{rnd.randrange(500)}" for _ in range(30))) for i in range(50)]
+        # Two of the hot bucket that link by a long common text behind it, and longer ones that link with neither.
+        tail = [f"t{i}" for i in range(60)]
+        rows += [(len(rows) + i, " ".join([*base, *tail, *(f"z{i}q{k}" for k in range(i))])) for i in range(4)]
+        write = ngram_join.materialize
+
+        def spy(frame, name):
+            written.setdefault(name, []).append(write(frame, name))
+            return written[name][-1]
+
+        monkeypatch.setattr(ngram_join, "materialize", spy)
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+        got = {r["id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.classes(docs, group_bytes=bytes_).collect()}
+        assert got == self.brute(rows)
+        assert "cells-apart" in written  # the group was dealt
+        for name, frames in written.items():
+            assert sum(f.count() for f in frames) < 30 * len(rows), name
+        sizes = written["ordered-sets"][0].select("node", (F.length("tokens")).alias("b"))
+        for name in ("tree-rows", "block-rows"):
+            for frame in written.get(name, []):
+                largest = frame.join(sizes, "node").groupBy("center", "part").agg(F.sum("b").alias("b")).agg(F.max("b")).first()[0]
+                assert (largest or 0) < 2 * bytes_
+
+    def test_blocks_hold_every_pair_apart(self, spark):
+        rnd = random.Random(6)
+        rows = [(c, 100 * c + i, 20, rnd.randrange(4), False) for c in range(3) for i in range(60)]
+        rows = [(c, i, n, k, k > 0) for c, i, n, k, _ in rows]
+        cells = spark.createDataFrame(rows, "center long, node long, n long, known long, other boolean")
+        blocks, total = ngram_join._blocks(cells, 3000)
+        held, found = defaultdict(set), blocks.collect()
+        for r in found:
+            held[r["center"], r["part"]].add(r["node"])
+        assert total == 160 * len(found) and max(map(len, held.values())) * 160 < 2 * 3000
+        pairs = {frozenset((x[1], y[1])) for x in rows for y in rows if x[0] == y[0] and x[3] != y[3]}
+        assert all(any(pair <= block for block in held.values()) for pair in pairs)
+
     def test_components(self, spark):
         links = [(1, 2), (2, 3), (3, 4), (4, 5), (10, 11), (12, 11), (7, 7), (20, 9), (9, 20)]
         got = {r["node"]: r["label"] for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}

@@ -16,8 +16,11 @@ token of their prefixes, so:
    Sets that are linked already are not compared again: a group gives a spanning forest of its
    links, never all pairs;
 4. a group of more than ``group_bytes`` is dealt to several trees, each with the leader; after the
-   components so far are known, pairs in its buckets that are still apart meet in trees of their own,
-   so nothing is lost;
+   components so far are known, the sets of its buckets that are still apart meet again. Of two sets
+   that link, the bucket of their first common token has both at places from which enough tokens
+   follow; that bounds the size of a set's partners, so a bucket is split into cells by size that
+   hold a smaller and a larger set each. Cells of more than ``group_bytes`` are compared block by
+   block, every tree within that bound; pairs are never written;
 5. components of the links, by alternating stars, give each document its class.
 
 Joins read written tables, so adaptive execution can split hot keys. The driver holds the 2**16
@@ -167,8 +170,11 @@ def _sets(ranks: np.ndarray, gram: int, percent: int):
     return run
 
 
-def trie_links(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[int, int]]:
-    """A spanning forest of the links among ``sets`` (ordered tokens), by one walk of their tree per set."""
+def trie_links(sets: list[np.ndarray], percent: int = PERCENT, known: list | None = None) -> list[tuple[int, int]]:
+    """A spanning forest of the links among ``sets`` (ordered tokens), by one walk of their tree per set.
+
+    Sets of equal ``known`` (not None) are linked already.
+    """
     order = sorted(range(len(sets)), key=lambda i: sets[i].astype(">u8").tobytes())
     ordered = [sets[i] for i in order]
     sizes = np.array([len(s) for s in ordered])
@@ -198,11 +204,14 @@ def trie_links(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[int
             i = parent[i]
         return i
 
-    links = []
+    first: dict = {}
+    for i, j in enumerate(order if known else []):
+        if known[j] is not None:
+            parent[i] = first.setdefault(known[j], i)
+    links, roots = [], len({find(i) for i in range(len(ordered))})
     for i, query in enumerate(ordered):
         size = len(query)
-        roots = {find(j) for j in range(len(ordered))}
-        if len(roots) == 1:
+        if roots == 1:
             break
         stack = [(i + 1, len(ordered), 0, 0, 0)] if i + 1 < len(ordered) else []
         while stack:
@@ -226,6 +235,7 @@ def trie_links(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[int
             if hi - lo == 1:
                 if 100 * overlap >= percent * (size + int(sizes[lo]) - overlap):
                     parent[find(lo)] = find(i)
+                    roots -= 1
                     links.append((order[i], order[lo]))
             else:
                 stack += [(a, b, deep, overlap, passed) for a, b in below]
@@ -235,14 +245,14 @@ def trie_links(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[int
 def _tree_task(percent: int):
     def run(rows: pa.Table) -> pa.Table:
         groups: dict[tuple, dict[bytes, int]] = {}
-        tokens, names = rows["tokens"], rows["set_id"].to_pylist()
+        tokens, names, known = rows["tokens"], rows["set_id"].to_pylist(), rows["known"].to_pylist()
         for i, key in enumerate(zip(rows["center"].to_pylist(), rows["part"].to_pylist(), strict=True)):
             groups.setdefault(key, {}).setdefault(names[i], i)
         a, b = [], []
         for members in groups.values():
             ids = list(members)
             sets = [np.frombuffer(tokens[members[s]].as_py(), np.uint64) for s in ids]
-            for x, y in trie_links(sets, percent):
+            for x, y in trie_links(sets, percent, [known[members[s]] for s in ids]):
                 a.append(ids[x])
                 b.append(ids[y])
         return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
@@ -258,14 +268,18 @@ def _tree_links(pairs: DataFrame, sets: DataFrame, sized: DataFrame, percent: in
     members = pairs.join(sized, "node").groupBy("center").agg((F.sum("n") * 8).alias("bytes"))
     parts = materialize(members.select("center", F.greatest(F.ceil(F.col("bytes") / group_bytes), F.lit(1)).alias("parts"), "bytes"), "tree-parts")
     total = parts.agg(F.sum("bytes")).first()[0] or 0
-    tasks = max(1, math.ceil(total / TASK_BYTES))
     dealt = pairs.join(parts, "center").select("center", "node", F.pmod(F.xxhash64("node"), F.col("parts")).alias("part"))
     leaders = parts.select("center", F.col("center").alias("node"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
-    rows = materialize(dealt.unionByName(leaders), "tree-rows")
-    filled = rows.join(sets, "node").select("center", "part", "set_id", "tokens",
+    rows = materialize(dealt.unionByName(leaders).withColumn("known", F.lit(None).cast("long")), "tree-rows")
+    return _walk(rows, sets, total, percent), parts.where("parts > 1").select("center")
+
+
+def _walk(rows: DataFrame, sets: DataFrame, total: int, percent: int) -> DataFrame:
+    """Links found in the trees ``center, part`` of ``rows`` (and ``node, known``), of ``total`` bytes together."""
+    tasks = max(1, math.ceil(total / TASK_BYTES))
+    filled = rows.join(sets, "node").select("center", "part", "set_id", "tokens", "known",
                                             F.pmod(F.xxhash64("center", "part"), F.lit(tasks)).alias("task"))
-    links = filled.groupBy("task").applyInArrow(_tree_task(percent), "a binary, b binary")
-    return materialize(links, "links"), parts.where("parts > 1").select("center")
+    return materialize(filled.groupBy("task").applyInArrow(_tree_task(percent), "a binary, b binary"), "links")
 
 
 def _fetch(ranks: np.ndarray, gram: int):
@@ -305,7 +319,7 @@ def _labelled(docs: DataFrame, gram: int, percent: int, group_bytes: int = GROUP
     ranks = bucket_ranks(rows, gram)
     named = materialize(rows.mapInArrow(
         _sets(ranks, gram, percent), f"id {id_type}, hash long, set_id binary, n long, prefix array<bigint>"), "gram-sets")
-    tokens = named.select(F.explode("prefix").alias("token"), F.xxhash64("set_id").alias("node"), "n")
+    tokens = named.select(F.posexplode("prefix").alias("pos", "token"), F.xxhash64("set_id").alias("node"), "n")
     common = materialize(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("token"), "common-tokens")
     common = materialize(tokens.join(common, "token").distinct(), "common-rows")
     pairs, led = _candidates(common, percent)
@@ -320,18 +334,18 @@ def _labelled(docs: DataFrame, gram: int, percent: int, group_bytes: int = GROUP
     sized = chosen.select("node", "n")
     links, split = _tree_links(pairs, sets, sized, percent, group_bytes)
     if split.limit(1).count():
-        apart = materialize(_apart(led.join(split, "center", "left_semi"), components(links), chosen, percent), "pairs-apart")
-        more, _ = _tree_links(apart, sets, sized, percent, 1 << 40)
-        links = links.unionByName(more)
+        apart = _apart(led.join(split, "center", "left_semi"), components(links), chosen, percent)
+        blocks, total = _blocks(apart, group_bytes)
+        links = links.unionByName(_walk(blocks, sets, total, percent))
     labels = components(links).withColumnRenamed("node", "set_id")
     return materialize(named.select("id", "hash", "n", "set_id").join(labels, "set_id", "left").select(
         "id", "hash", "n", F.when(F.col("n") > 0, F.coalesce("label", "set_id")).alias("label")), "labelled")
 
 
 def _candidates(common: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs ``center, node`` that meet in a tree, and the buckets ``bucket, node, n, center`` that have a leader.
+    """Pairs ``center, node`` that meet in a tree, and the buckets ``bucket, node, n, pos, center`` that have a leader.
 
-    ``common`` has the common prefix tokens: ``token, node, n``. Sets that link share at least as many
+    ``common`` has the common prefix tokens: ``token, node, n, pos``. Sets that link share at least as many
     of them as the smaller one's prefix is longer, and one. Buckets of few sets give their pairs, which
     are counted; a pair that its count, with all large buckets of either set, cannot bring to that
     number goes. Pairs that only meet in large buckets are found by the buckets' leaders, among sets
@@ -339,8 +353,8 @@ def _candidates(common: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """
     # Sets that link differ by less than a size class, so both are in the class of the larger.
     size_class = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / (percent - 1)))
-    sized = common.select("token", "node", "n", F.explode(F.array(size_class, size_class + 1)).alias("class"))
-    sized = sized.select(F.xxhash64("token", "class").alias("bucket"), "class", "node", "n")
+    sized = common.select("token", "node", "n", "pos", F.explode(F.array(size_class, size_class + 1)).alias("class"))
+    sized = sized.select(F.xxhash64("token", "class").alias("bucket"), "class", "node", "n", "pos")
     sizes = materialize(sized.groupBy("bucket").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1"), "bucket-sizes")
     buckets = materialize(sized.join(sizes, "bucket"), "buckets")
     large = buckets.where(F.col("sets") > FEW).drop("sets")
@@ -358,30 +372,59 @@ def _candidates(common: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     able = often.where(F.col("often") >= 1 + F.floor(MORE_PERCENT * F.ceil(percent * F.col("n") / 100) / 100)).select("node", "class")
     led = materialize(large.join(able, ["node", "class"]), "large-buckets")
     leaders = led.groupBy("bucket").agg(F.min("node").alias("center"))
-    led = materialize(led.join(leaders, "bucket").select("bucket", "node", "n", "center"), "led-buckets")
+    led = materialize(led.join(leaders, "bucket").select("bucket", "node", "n", "pos", "center"), "led-buckets")
     pairs = near.unionByName(led.where("node <> center").select("center", "node"))
     return materialize(pairs.distinct(), "tree-pairs"), led
 
 
 def _apart(buckets: DataFrame, labels: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
-    """``center, node``: pairs of a bucket in different components that lengths allow to link.
+    """``center, node, n, known, other``: the cells in which sets of a bucket meet that are not linked yet but may be.
 
-    Of two sets apart at least one is outside the bucket's largest component, so these alone look
-    for partners.
+    If the bucket's token is the first that two sets share, what follows it in either bounds their
+    overlap, and so the size of a set's partner. A set is in the cell of its own size as the smaller
+    one of a pair and in those of all sizes that its smaller partner can have. Cells are sizes, from
+    about a hundred tokens on ranges of 1 %. ``other`` tells that a set is outside the bucket's
+    largest component, as one of two sets apart is.
     """
     named = chosen.select("node", "set_id").join(labels.select(F.col("node").alias("set_id"), "label"), "set_id", "left")
-    rows = materialize(buckets.select("bucket", "node", "n").join(
-        named.select("node", F.coalesce("label", "set_id").alias("label")), "node"), "labelled-buckets")
-    main = rows.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("sets")).groupBy("bucket").agg(
-        F.max(F.struct("sets", "label")).alias("main"), F.count(F.lit(1)).alias("labels")).where("labels > 1")
-    main = materialize(main.select("bucket", F.col("main.label").alias("main")), "main-components")
-    rows = materialize(rows.join(main, "bucket"), "mixed-buckets")
-    few, all_ = rows.where("label <> main").alias("x"), rows.alias("y")
-    x, y = F.col("x.n"), F.col("y.n")
-    pairs = few.join(all_, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.label") != F.col("y.label"))
-                     & (100 * F.least(x, y) >= percent * F.greatest(x, y))
-                     & ((F.col("y.label") == F.col("y.main")) | (F.col("x.node") < F.col("y.node"))))
-    return pairs.select(F.col("x.node").alias("center"), F.col("y.node").alias("node")).distinct()
+    rows = materialize(buckets.select("bucket", "node", "n", "pos").join(
+        named.select("node", F.xxhash64(F.coalesce("label", "set_id")).alias("known")), "node"), "labelled-buckets")
+    main = rows.groupBy("bucket", "known").agg(F.count(F.lit(1)).alias("sets")).groupBy("bucket").agg(
+        F.max(F.struct("sets", "known")).alias("main"), F.count(F.lit(1)).alias("labels")).where("labels > 1")
+    main = materialize(main.select("bucket", F.col("main.known").alias("main")), "main-components")
+    cell = lambda n: F.floor(F.log(n.cast("double")) * 100)
+    n = F.col("n")
+    most = F.floor((n - F.col("pos")) * (100 + percent) / percent) - n
+    least, top = F.ceil(percent * n / 100), F.least(n, most)
+    rows = rows.join(main, "bucket").select(
+        "bucket", "node", "n", "known", (F.col("known") != F.col("main")).alias("other"), (most >= n).alias("smaller"),
+        cell(n).alias("own"), F.when(top >= least, F.sequence(cell(least), cell(top))).alias("cells"))
+    larger = rows.select("bucket", "node", "n", "known", "other", F.explode("cells").alias("cell"), F.lit(False).alias("smaller"))
+    smaller = rows.where("smaller").select("bucket", "node", "n", "known", "other", F.col("own").alias("cell"), "smaller")
+    meets = materialize(larger.unionByName(smaller).withColumn("center", F.xxhash64("bucket", "cell")), "cells-apart")
+    used = meets.groupBy("center").agg(
+        F.bool_or("smaller").alias("a"), F.bool_and("smaller").alias("b"), F.min("known").alias("x"), F.max("known").alias("y"), F.bool_or("other").alias("o"))
+    used = used.where(F.col("a") & ~F.col("b") & F.col("o") & (F.col("x") != F.col("y"))).select("center")
+    return materialize(meets.join(used, "center").select("center", "node", "n", "known", "other").distinct(), "cells-used")
+
+
+def _blocks(cells: DataFrame, group_bytes: int) -> tuple[DataFrame, int]:
+    """``center, part, node, known``: every set outside the main component of a cell shares a block with every set of it.
+
+    Both sides are dealt to parts of at most about half of ``group_bytes``; a block is a part of either. Also their bytes.
+    """
+    size = F.col("n") * 8
+    parts = lambda total: F.greatest(F.ceil(2 * total / group_bytes), F.lit(1))
+    dealt = cells.groupBy("center").agg(parts(F.sum(F.when(F.col("other"), size))).alias("down"), parts(F.sum(size)).alias("across"))
+    rows = cells.join(materialize(dealt, "cell-parts"), "center")
+    place = F.xxhash64("node", F.lit(1))
+    every = lambda count: F.explode(F.sequence(F.lit(0).cast("long"), count - 1))
+    asked = rows.where("other").withColumn("across_", every(F.col("across"))).withColumn("down_", F.pmod(place, F.col("down")))
+    met = rows.withColumn("down_", every(F.col("down"))).withColumn("across_", F.pmod(place, F.col("across")))
+    block = (F.col("down_") * F.col("across") + F.col("across_")).alias("part")
+    blocks = asked.select("center", block, "node", "known", "n").unionByName(met.select("center", block, "node", "known", "n"))
+    blocks = materialize(blocks.distinct(), "block-rows")
+    return blocks.select("center", "part", "node", "known"), blocks.agg(F.sum(size)).first()[0] or 0
 
 
 def dedup(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT) -> DataFrame:
