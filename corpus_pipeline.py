@@ -25,8 +25,10 @@ COPY_GRAM, COPY_PERCENT = 5, 80
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, or in no language that the network is sure of, go."""
+    """Documents without a letter, or in no language that the network is sure of, go; without labels only the former."""
     model = language_id.fit(table(spark, sf_dir, "documents"), usable=language_id.fold() != language_id.HELD_OUT)
+    if model is None:  # no labelled row: nothing can be judged but the letters
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     judged = language_id.predict(docs, model)
     kept = judged.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE))
     return kept.select("row.*")

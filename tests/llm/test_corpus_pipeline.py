@@ -48,3 +48,12 @@ class TestNearCopies:
         either = [row for row in got if row not in sure]
         assert sorted((r for r in got if r in sure), key=str) == sorted(sure, key=str)
         assert len(either) == 1 and either[0] in rows[8:10]
+
+
+class TestLanguage:
+    def test_without_labels_documents_pass_unjudged(self, spark, tmp_path):
+        rows = [(1, "some text", None, "a", 9), (2, "1 2 3", None, "a", 5), (3, None, None, "a", None), (None, "ein Text", None, "b", 8)]
+        docs = spark.createDataFrame(rows, DOC)
+        docs.write.parquet(f"{tmp_path}/documents.parquet")
+        kept = corpus_pipeline.identify_language(spark, docs, str(tmp_path))
+        assert kept.columns == docs.columns and {r["text"] for r in kept.collect()} == {"some text", "ein Text"}
