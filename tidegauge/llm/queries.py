@@ -2,7 +2,20 @@
 
 from __future__ import annotations
 
-from tidegauge.llm import decontaminate, language_id, license_scan, line_dedup, mixing, ngram_join, quality_rules, suffix_dedup, token_counts, warc
+from tidegauge.llm import (
+    decontaminate,
+    divergence,
+    language_id,
+    license_scan,
+    line_dedup,
+    minhash_dedup,
+    mixing,
+    ngram_join,
+    quality_rules,
+    suffix_dedup,
+    token_counts,
+    warc,
+)
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -15,6 +28,8 @@ QUERIES = {
     "op8_token_counts": token_counts.op8_token_counts,
     "op9_license_scan": license_scan.op9_license_scan,
     "op10_language_id": language_id.op10_language_id,
+    "op11_divergence": divergence.op11_divergence,
+    "op13_minhash_dedup": minhash_dedup.op13_minhash_dedup,
 }
 
 SQL = {
@@ -23,4 +38,5 @@ SQL = {
     "op4_mixing": mixing.OP4_SQL,
     "op7_quality_rules": quality_rules.OP7_SQL,
     "op9_license_scan": license_scan.OP9_SQL,
+    "op11_divergence": divergence.OP11_SQL,
 }
