@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tidegauge.llm import (
+    collocations,
     decontaminate,
     divergence,
     language_id,
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_license_scan": license_scan.op9_license_scan,
     "op10_language_id": language_id.op10_language_id,
     "op11_divergence": divergence.op11_divergence,
+    "op12_collocations": collocations.op12_collocations,
     "op13_minhash_dedup": minhash_dedup.op13_minhash_dedup,
 }
 
@@ -39,4 +41,5 @@ SQL = {
     "op7_quality_rules": quality_rules.OP7_SQL,
     "op9_license_scan": license_scan.OP9_SQL,
     "op11_divergence": divergence.OP11_SQL,
+    "op12_collocations": collocations.OP12_SQL,
 }
