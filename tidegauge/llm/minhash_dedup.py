@@ -33,6 +33,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -113,10 +114,18 @@ def _signed(gram: int):
     return run
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    pack = zstandard.ZstdCompressor(level=1)
+    for batch in batches:
+        packed = pa.array([pack.compress(value.as_py()) for value in batch.column("data")], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("hash"), packed], ["id", "hash", "packed"])
+
+
 def _fetched(gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor()
         for batch in batches:
-            sets = [gram_hashes(value.as_py(), gram) for value in batch.column("data")]
+            sets = [gram_hashes(unpack.decompress(value.as_py()), gram) for value in batch.column("packed")]
             # Half of each value is enough to compare: a chance match only delays the decision.
             short = [signature(grams).astype(np.uint16).tobytes() for grams in sets]
             yield pa.RecordBatch.from_arrays(
@@ -205,9 +214,21 @@ def _linked(percent: int):
             ids, places = list(members), list(members.values())
             sets = [np.frombuffer(rows["tokens"][i].as_py(), np.uint64) for i in places]
             signatures = [np.frombuffer(rows["signature"][i].as_py(), np.uint16) for i in places]
+            # A component's links all lead to its first name, which keeps the paths between groups short.
+            heads = {name: name for name in ids}
+
+            def head(name: bytes) -> bytes:
+                while heads[name] != name:
+                    heads[name] = name = heads[heads[name]]
+                return name
+
             for x, y in bayes_links(sets, signatures, percent, [known[i] for i in places]):
-                a.append(ids[x])
-                b.append(ids[y])
+                x, y = head(ids[x]), head(ids[y])
+                heads[max(x, y)] = min(x, y)
+            for name in ids:
+                if head(name) != name:
+                    a.append(name)
+                    b.append(head(name))
         return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
     return run
@@ -240,8 +261,10 @@ def _sets_of(groups: DataFrame, named: DataFrame, rows: DataFrame, gram: int) ->
     chosen = named.join(needed, "set_id").groupBy(F.col("set_id").alias("node")).agg(
         F.min(F.struct("id", "hash")).alias("place"), F.max("n").alias("n"))
     chosen = materialize(chosen, "minhash-sets")
-    found = rows.alias("r").join(chosen.alias("c"), F.col("r.id").eqNullSafe(F.col("c.place.id")) & (F.col("r.hash") == F.col("c.place.hash")))
-    fetched = found.select("c.node", "r.data").mapInArrow(_fetched(gram), "node binary, tokens binary, signature binary")
+    # The same plan at every size: packed texts meet the chosen places in a shuffle that can be split.
+    packed = rows.mapInArrow(_packed, f"id {rows.schema['id'].dataType.simpleString()}, hash long, packed binary").hint("merge")
+    found = packed.alias("r").join(chosen.alias("c"), F.col("r.id").eqNullSafe(F.col("c.place.id")) & (F.col("r.hash") == F.col("c.place.hash")))
+    fetched = found.select("c.node", "r.packed").mapInArrow(_fetched(gram), "node binary, tokens binary, signature binary")
     return materialize(fetched, "minhash-tokens"), chosen.select("node", "n")
 
 
