@@ -201,11 +201,12 @@ def feature_importance(model: PipelineModel, features: Sequence[str]) -> DataFra
 
 
 def forest_leaves(model: PipelineModel, players: int) -> DataFrame:
-    """A row per leaf: ``value``, its part of the class-1 probability, and per feature position the
-    scaled values that reach it, ``low < x <= high``, and ``share``, the part of the training
+    """A row per leaf: ``tree``, ``value``, its part of the class-1 probability, and per feature position
+    the scaled values that reach it, ``low < x <= high``, and ``share``, the part of the training
     weight that the splits on this feature send its way.
 
     At most trees * 2**depth rows, whatever the size of the data; the fitted forest itself is as large.
+    Reads the table of nodes that MLlib saves with a forest: ``treeID, nodeData`` as of Spark 4.
     """
     spark = SparkSession.active()
     path = shared_path(spark, "forest-nodes")
@@ -214,9 +215,30 @@ def forest_leaves(model: PipelineModel, players: int) -> DataFrame:
     for row in spark.read.parquet(f"{path}/data").select("treeID", "nodeData").toLocalIterator():
         trees.setdefault(row.treeID, {})[row.nodeData.id] = row.nodeData
     remove_folder(spark, path)
-    leaves = [leaf for nodes in trees.values() for leaf in _leaves(nodes, players, len(trees))]
+    leaves = [(tree, *leaf) for tree, nodes in trees.items() for leaf in _leaves(nodes, players, len(trees))]
     fields = [f"{name}{j} double" for name in ("low", "high", "share") for j in range(players)]
-    return spark.createDataFrame(leaves, ", ".join(["value double", *fields]))
+    return spark.createDataFrame(leaves, ", ".join(["tree int", "value double", *fields]))
+
+
+def _cuts_below(j: int, value: str, or_at: bool = False) -> Column:
+    x = F.col(value)
+    return F.size(F.filter(f"cuts{j}", lambda cut: (cut <= x) if or_at else (cut < x)))
+
+
+def leaf_cells(leaves: DataFrame, players: int) -> tuple[DataFrame, DataFrame]:
+    """The thresholds of each tree, ``tree, cuts<j>``, and its leaves by the numbers of the intervals
+    between them that reach a leaf, ``tree, value, from<j>, to<j>, share<j>``.
+
+    A threshold is the upper end of some leaf, so the ends of the leaves are all thresholds.
+    """
+    cuts = leaves.groupBy("tree").agg(*[
+        F.sort_array(F.collect_set(F.when(F.col(f"high{j}") < math.inf, F.col(f"high{j}")))).alias(f"cuts{j}")
+        for j in range(players)
+    ])
+    ends = []
+    for j in range(players):
+        ends += [_cuts_below(j, f"low{j}", True).alias(f"from{j}"), _cuts_below(j, f"high{j}").alias(f"to{j}"), F.col(f"share{j}")]
+    return cuts, leaves.join(F.broadcast(cuts), "tree").select("tree", "value", *ends)
 
 
 def _leaves(nodes: dict[int, Row], players: int, trees: int) -> Iterator[tuple[float, ...]]:
@@ -252,19 +274,23 @@ def row_attribution(df: DataFrame, model: PipelineModel, keys: Sequence[str], fe
     Shapley values are integrals over [0, 1] of a polynomial of degree features - 1; as many
     Gauss points as half the features give these exactly.
 
-    Every row meets every leaf, so the work per row is bounded by the model. Meant for the
-    feature-day grain. ``keys`` identify a row.
+    A tree cannot tell rows apart that fall between the same thresholds. Rows are therefore placed in
+    each tree's cells first, every cell that occurs meets the leaves of its own tree once, and rows
+    add up the cells they are in. The thresholds and leaves that are broadcast are at most
+    trees * 2**depth, set by the model. ``keys`` identify a row.
     """
     positions = range(len(features))
     clean = df.select(*keys, *[finite_or_zero(F.col(c)).alias(c) for c in features])
-    scaled = model.stages[0].transform(clean).select(*keys, *[f"scaled_{c}" for c in features])
-    # Partitioned by key before the rows multiply: the sum per key then needs no second shuffle.
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    met = scaled.repartition(tasks, *keys).crossJoin(F.broadcast(forest_leaves(model, len(features))))
-    reached = [
-        (F.col(f"scaled_{c}") > F.col(f"low{j}")) & (F.col(f"scaled_{c}") <= F.col(f"high{j}"))
-        for j, c in enumerate(features)
-    ]
+    scaled = model.stages[0].transform(clean).select(
+        F.struct(*keys).alias("row"), *[F.col(f"scaled_{c}").alias(f"x{j}") for j, c in enumerate(features)]
+    )
+    cuts, leaves = leaf_cells(forest_leaves(model, len(features)), len(features))
+    cell = [f"cell{j}" for j in positions]
+    trees = F.sequence(F.lit(0), F.lit(model.stages[-1].getNumTrees - 1))
+    placed = scaled.withColumn("tree", F.explode(trees)).join(F.broadcast(cuts), "tree").select("row", "tree", *[
+        _cuts_below(j, f"x{j}").alias(cell[j]) for j in positions
+    ])
+    reached = [F.col(cell[j]).between(F.col(f"from{j}"), F.col(f"to{j}")) for j in positions]
     points, weights = leggauss((len(features) + 1) // 2)
 
     def blend(j: int, point: float) -> Column:
@@ -280,7 +306,19 @@ def row_attribution(df: DataFrame, model: PipelineModel, keys: Sequence[str], fe
         )
         return F.sum(F.col("value") * own * integral)
 
-    return met.groupBy(*keys).agg(*[contribution(j).alias(f"phi_{c}") for j, c in enumerate(features)])
+    occurring = placed.select("tree", *cell).distinct().join(F.broadcast(leaves), "tree")
+    priced = occurring.groupBy("tree", *cell).agg(*[contribution(j).alias(f"phi{j}") for j in positions])
+    priced = materialize(priced, "attribution-cells")
+    summed = placed.join(priced, ["tree", *cell]).groupBy("row").agg(*[
+        F.sum(f"phi{j}").alias(f"phi_{c}") for j, c in enumerate(features)
+    ])
+    return summed.select("row.*", *[f"phi_{c}" for c in features])
+
+
+def forest_mean(model: PipelineModel, players: int) -> float:
+    """The class-1 probability with no feature known, which a row's attributions start from."""
+    share = reduce(mul, [F.col(f"share{j}") for j in range(players)])
+    return forest_leaves(model, players).agg(F.sum(F.col("value") * share)).first()[0]
 
 
 def mean_abs_attribution(
