@@ -1,11 +1,14 @@
 from __future__ import annotations
 
 import math
+from itertools import combinations
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tidegauge.functions import kolmogorov
+from tidegauge.functions.kolmogorov import lattice_p, one_sample_p, two_sample_p
 from tidegauge.operators import drift, rollup
 from tidegauge.schema import BASELINE
 from tidegauge.sources import reports
@@ -95,11 +98,63 @@ def test_ks_needs_five_rows_a_side(spark):
     assert (none.ks_statistic, none.p_value) == (0.0, 1.0)
 
 
-@pytest.mark.parametrize("scale, expected", [(0.05, 1.0), (0.5, 0.9639), (1.0, 0.2700), (1.358, 0.0500)])
-def test_p_value_series(spark, scale, expected):
-    rows = 1e12  # the correction vanishes, so scale = sqrt(rows / 2) * D
-    row = spark.range(1).select(drift.ks_p_value(F.lit(scale / math.sqrt(rows / 2)), F.lit(rows), F.lit(rows))).first()
-    assert row[0] == pytest.approx(expected, abs=2e-4)
+# The two-sample tails 90/252, 20/252 and 2/252 of five against five, and the paths of four against seven.
+@pytest.mark.parametrize("gap, m, n, expected", [(0.6, 5, 5, 90 / 252), (0.8, 5, 5, 20 / 252), (1.0, 5, 5, 2 / 252), (0.0, 5, 9, 1.0)])
+def test_exact_tails_of_two_samples(gap, m, n, expected):
+    assert two_sample_p(gap, m, n) == pytest.approx(expected, abs=1e-12)
+
+
+@pytest.mark.parametrize("m, n", [(4, 7), (5, 6), (3, 9)])
+def test_lattice_counts_every_path(m, n):
+    def share(reach):
+        hits = []
+        for steps in combinations(range(m + n), m):
+            points = [(sum(s <= t for s in steps), t + 1) for t in range(m + n)]
+            hits.append(any(abs(i * n - (t - i) * m) >= reach for i, t in points))
+        return sum(hits) / len(hits)
+
+    for reach in range(1, m * n + 1):
+        assert lattice_p(reach, m, n) == pytest.approx(share(reach), abs=1e-12)
+        assert lattice_p(reach, n, m) == pytest.approx(share(reach), abs=1e-12)
+
+
+def test_published_one_sample_value():
+    assert 1 - one_sample_p(0.274, 10) == pytest.approx(0.628479615456504, abs=1e-12)  # Marsaglia, Tsang and Wang (2003)
+
+
+@pytest.mark.parametrize("z, expected", [(0.5, 0.9639), (1.0, 0.2700), (1.358, 0.0500), (1.628, 0.0100)])
+def test_limit_distribution(z, expected):
+    assert one_sample_p(z / 1e5, 10**10) == pytest.approx(expected, abs=1e-4)
+
+
+def test_matrix_and_expansion_meet():
+    for z in np.linspace(0.4, 2.5, 12):
+        gap = z / math.sqrt(kolmogorov.MATRIX_ROWS)
+        assert kolmogorov._matrix_cdf(gap, kolmogorov.MATRIX_ROWS) == pytest.approx(
+            kolmogorov._expansion_cdf(gap, kolmogorov.MATRIX_ROWS), abs=1e-7)
+
+
+def test_far_gaps_are_certain():
+    assert two_sample_p(0.5, 5000, 5000) == 0.0
+    at = math.sqrt(kolmogorov.CERTAIN / 2 / 50)  # just under the limit the exact tail has six zeros already
+    assert lattice_p(round(at * 100 * 100), 100, 100) < 5e-7
+
+
+def test_counted_values_give_the_same_report(spark, events):
+    before = events(*[{"latency_ms": float(100 + i % 10), "feedback_score": None if i % 3 else 4.0} for i in range(60)])
+    after = events(*[{"latency_ms": float(104 + i % 12), "crash_flag": int(i % 9 == 0)} for i in range(50)])
+    counts = drift.merged_counts(drift.counted_values(before), drift.counted_values(after))
+    assert drift.psi_of_counts(counts).orderBy("position").collect() == drift.drift_psi(before, after).orderBy("position").collect()
+    assert drift.ks_of_counts(counts).collect() == drift.drift_ks(before, after).collect()
+
+
+def test_saved_values_stand_for_the_baseline(spark, events, tmp_path):
+    path = str(tmp_path / "values")
+    assert reports.baseline_values(spark, path) is None
+    values = drift.counted_values(events({"latency_ms": 5.0}, {"latency_ms": 5.0}, {"latency_ms": float("nan")}).drop("error_count"))
+    reports.save_baseline_values(values, path)
+    got = {(r.metric, r.value): r.n for r in reports.baseline_values(spark, path).collect()}
+    assert got == {("latency_ms", 5.0): 2, ("crash_flag", 0.0): 3, ("feedback_score", 4.0): 3}
 
 
 def test_report_orders_alerts_by_method(spark, events):

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from tidegauge.operators import serving
 from tidegauge.operators.risk import RiskConfig
 from tidegauge.plans import pipeline
-from tidegauge.sources import layers
+from tidegauge.sources import layers, reports
 from tidegauge.sources.raw import clip_range
 from tidegauge.sources.telemetry import telemetry
 
@@ -74,7 +75,10 @@ def test_run_twice(spark, lake):
     assert read_report(lake, "metrics")["test_rows"] == 30
     assert first.attribution.count() == 5 and first.importance.count() == 5
 
-    # The second load carries slower events: it is compared with the first one's baseline.
+    # The second load carries slower events: it is compared with the first one's baseline and its
+    # counted values, and does not look for the load that they came from.
+    assert reports.baseline_values(spark, config.at(pipeline.BASELINE_VALUES)).agg({"n": "sum"}).first()[0] == 4000
+    shutil.rmtree(lake / "lake" / "reports" / "baseline_load")
     slower = telemetry(spark, "/root/testdata/sf0.001").withColumn("latency_ms", F.least(F.lit(4999.0), F.col("latency_ms") * 2))
     layers.export_csv(slower, str(lake / "slower"))
     second = pipeline.run(spark, str(lake / "slower"), config)

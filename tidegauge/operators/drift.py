@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidegauge.functions.expressions import null_if_nan, percent_text, psi_severity, rows_from
+from tidegauge.functions.kolmogorov import two_sample_p
 from tidegauge.functions.running import running_totals
 from tidegauge.session import materialize
 
@@ -24,7 +25,6 @@ PSI_BINS = 10
 PSI_EPSILON = 1e-6
 KS_MIN_ROWS = 5
 KS_P_LIMIT = 0.05
-KS_TERMS = 100
 
 
 def current_means(df: DataFrame) -> DataFrame:
@@ -74,6 +74,26 @@ def _long(wide: DataFrame, metrics: Sequence[str]) -> DataFrame:
     return wide.unpivot("side", list(metrics), "metric", "value").filter(F.col("value").isNotNull())
 
 
+def counted_values(df: DataFrame, metrics: Sequence[str] = METRICS) -> DataFrame:
+    """metric, value, n: how often each value of a metric occurs; a metric the table lacks has no rows.
+
+    All that PSI and KS need of a table. Values are counted in each task first, so a hot value is one
+    row per task in the shuffle.
+    """
+    kept = [m for m in metrics if m in df.columns]
+    values = df.select([null_if_nan(F.col(m).cast("double")).alias(m) for m in kept]).unpivot([], kept, "metric", "value")
+    return values.filter(F.col("value").isNotNull()).groupBy("metric", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def merged_counts(baseline: DataFrame, current: DataFrame) -> DataFrame:
+    """metric, value, base, now of two tables of counted values."""
+    none = F.lit(0).cast("long")
+    both = baseline.select("metric", "value", F.col("n").alias("base"), none.alias("now")).unionAll(
+        current.select("metric", "value", none.alias("base"), F.col("n").alias("now"))
+    )
+    return both.groupBy("metric", "value").agg(F.sum("base").alias("base"), F.sum("now").alias("now"))
+
+
 def _shared(baseline: DataFrame, current: DataFrame, metrics: Sequence[str]) -> list[str]:
     return [m for m in metrics if m in baseline.columns and m in current.columns]
 
@@ -112,7 +132,23 @@ def drift_psi(
         F.count_if(F.col("side") == 0).alias("base"), F.count_if(F.col("side") == 1).alias("now")
     )
 
-    grid = baseline.sparkSession.createDataFrame(
+    return _psi_scores(counts, kept, edges, bins)
+
+
+def psi_of_counts(counts: DataFrame, metrics: Sequence[str] = METRICS, bins: int = PSI_BINS) -> DataFrame:
+    """The same from merged counts, which are read twice, so pass a written table."""
+    ends = counts.groupBy("metric").agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    edges = psi_edges({r.metric: (r.low, r.high) for r in ends.filter(F.col("metric").isin(list(metrics))).collect()}, bins)
+    place = F.lit(0)
+    for metric, cuts in edges.items():
+        inner = sum(((F.col("value") >= F.lit(cut)).cast("int") for cut in cuts), F.lit(0))
+        place = F.when(F.col("metric") == metric, inner).otherwise(place)
+    binned = counts.groupBy("metric", place.alias("bin")).agg(F.sum("base").alias("base"), F.sum("now").alias("now"))
+    return _psi_scores(binned, metrics, edges, bins)
+
+
+def _psi_scores(counts: DataFrame, kept: Sequence[str], edges: Mapping[str, Sequence[float]], bins: int) -> DataFrame:
+    grid = counts.sparkSession.createDataFrame(
         [(i, m, b, bool(edges.get(m))) for i, m in enumerate(kept, 1) for b in range(bins)],
         "position int, metric string, bin int, varies boolean",
     )
@@ -133,29 +169,13 @@ def drift_psi(
     return scored.withColumn("severity", psi_severity(F.col("psi")))
 
 
-def ks_p_value(statistic: Column, base_rows: Column, now_rows: Column) -> Column:
-    """Two-sided p from the Kolmogorov series with the usual small-sample correction.
-
-    An approximation: it agrees with exact path counting to about three digits.
-    """
-    effective = base_rows * now_rows / (base_rows + now_rows)
-    root = F.sqrt(effective)
-    scale = (root + 0.12 + 0.11 / root) * statistic
-    series = F.aggregate(
-        F.sequence(F.lit(1), F.lit(KS_TERMS)),
-        F.lit(0.0),
-        lambda total, j: total + F.when(j % 2 == 1, 1.0).otherwise(-1.0) * F.exp(-2.0 * j * j * scale * scale),
-    )
-    return F.when(scale < 0.2, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 2.0 * series)))
-
-
 def drift_ks(
     baseline: DataFrame,
     current: DataFrame,
     metrics: Sequence[str] = METRICS,
     buckets: int | None = None,
 ) -> DataFrame:
-    """metric, ks_statistic, p_value, drift_detected, note.
+    """position, metric, ks_statistic, p_value, drift_detected, note.
 
     Equal values are counted first (a hot value is one row per task before the shuffle), then
     both empirical distributions are running totals over the distinct values.
@@ -164,28 +184,33 @@ def drift_ks(
     counted = _long(_wide(baseline, current, kept), kept).groupBy("metric", "value").agg(
         F.count_if(F.col("side") == 0).alias("base"), F.count_if(F.col("side") == 1).alias("now")
     )
-    counted = materialize(counted, "ks-values")
-    running = running_totals(counted, "value", ["base", "now"], by="metric", buckets=buckets)
-    sizes = counted.groupBy("metric").agg(F.sum("base").alias("base_rows"), F.sum("now").alias("now_rows"))
+    return ks_of_counts(materialize(counted, "ks-values"), kept, buckets)
+
+
+def ks_of_counts(counts: DataFrame, metrics: Sequence[str] = METRICS, buckets: int | None = None) -> DataFrame:
+    """The same from merged counts, which are read four times, so pass a written table.
+
+    The widest gap and the two sizes, three numbers per metric, come to the driver, where p is
+    counted exactly for samples of up to 10,000 rows and to seven digits beyond.
+    """
+    running = running_totals(counts, "value", ["base", "now"], by="metric", buckets=buckets)
+    sizes = counts.groupBy("metric").agg(F.sum("base").alias("base_rows"), F.sum("now").alias("now_rows"))
     gap = F.abs(F.col("run_base") / F.col("base_rows") - F.col("run_now") / F.col("now_rows"))
-    both = (F.col("base_rows") > 0) & (F.col("now_rows") > 0)
-    widest = running.join(F.broadcast(sizes), "metric").groupBy("metric").agg(
-        F.max(F.when(both, gap)).alias("gap"),
-        F.first("base_rows").alias("base_rows"),
-        F.first("now_rows").alias("now_rows"),
+    enough = F.least("base_rows", "now_rows") >= KS_MIN_ROWS
+    widest = running.join(F.broadcast(sizes.filter(enough)), "metric").groupBy("metric").agg(
+        F.max(gap).alias("gap"), F.first("base_rows").alias("base_rows"), F.first("now_rows").alias("now_rows")
     )
-    # A metric without any value still gets its row.
-    listed = baseline.sparkSession.createDataFrame(list(enumerate(kept, 1)), "position int, metric string")
-    result = listed.join(F.broadcast(widest), "metric", "left")
-    enough = F.coalesce(F.least("base_rows", "now_rows") >= KS_MIN_ROWS, F.lit(False))
-    p_value = ks_p_value(F.col("gap"), F.col("base_rows"), F.col("now_rows"))
-    return result.select(
-        "position",
-        "metric",
-        F.when(enough, F.round("gap", 6)).otherwise(0.0).alias("ks_statistic"),
-        F.when(enough, F.round(p_value, 6)).otherwise(1.0).alias("p_value"),
-        F.when(enough, p_value < KS_P_LIMIT).otherwise(False).alias("drift_detected"),
-        F.when(~enough, F.lit(f"Insufficient data for KS test (need >= {KS_MIN_ROWS} samples)")).alias("note"),
+    found = {row.metric: row for row in widest.filter(F.col("metric").isin(list(metrics))).collect()}
+    lines = []
+    for position, metric in enumerate(metrics, 1):
+        if metric in found:
+            seen = found[metric]
+            p = two_sample_p(seen.gap, seen.base_rows, seen.now_rows)
+            lines.append((position, metric, round(seen.gap, 6), round(p, 6), p < KS_P_LIMIT, None))
+        else:  # too few rows, or none
+            lines.append((position, metric, 0.0, 1.0, False, f"Insufficient data for KS test (need >= {KS_MIN_ROWS} samples)"))
+    return SparkSession.active().createDataFrame(
+        lines, "position int, metric string, ks_statistic double, p_value double, drift_detected boolean, note string"
     )
 
 
@@ -252,8 +277,15 @@ def detect_data_drift(
     changes = drift_pct_change(current_means(current), baseline, threshold)
     if baseline_events is None:
         return drift_report(changes, threshold=threshold)
-    psi = drift_psi(baseline_events, current)
-    return drift_report(changes, psi, drift_ks(baseline_events, current), threshold)
+    return distribution_report(changes, merged_counts(counted_values(baseline_events), counted_values(current)),
+                               _shared(baseline_events, current, METRICS), threshold)
+
+
+def distribution_report(changes: DataFrame, counts: DataFrame, metrics: Sequence[str] = METRICS,
+                        threshold: float = CHANGE_LIMIT) -> DataFrame:
+    """The report with PSI and KS from merged counts, which are written once and read by both."""
+    counts = materialize(counts, "merged-values")
+    return drift_report(changes, psi_of_counts(counts, metrics), ks_of_counts(counts, metrics), threshold)
 
 
 def empty_drift_report(baseline: DataFrame) -> DataFrame:

@@ -8,7 +8,8 @@ one half and the sum is exact in any order. Plain row arithmetic is compared as
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import lru_cache
+from functools import lru_cache, reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -584,6 +585,19 @@ def drift_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select(F.array_join("alerts", " | ").alias("alerts"), "alert_count", "overall_drift_detected")
 
 
+@query
+def drift_second_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Against a saved baseline: its means and its counted values, not the events they came from."""
+    path = shared_path(spark, "baseline")
+    before, after = drift_sides(spark, sf_dir, 2.5)
+    reports.save_baseline(rollup.baseline_stats(before), f"{path}/stats")
+    reports.save_baseline_values(drift.counted_values(before), f"{path}/values")
+    changes = drift.drift_pct_change(drift.current_means(after), reports.baseline_read(spark, f"{path}/stats"))
+    counts = drift.merged_counts(reports.baseline_values(spark, f"{path}/values"), drift.counted_values(after))
+    report = drift.distribution_report(changes, counts)
+    return report.select(F.array_join("alerts", " | ").alias("alerts"), "alert_count", "overall_drift_detected")
+
+
 @query
 def drift_first_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First run: nothing saved, so the statistics become the baseline and no alert is raised."""
@@ -799,6 +813,17 @@ def mean_abs_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.mean_abs_attribution(labelled, fitted.model)
 
 
+@query
+def row_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per feature-day, whether the attributions add up to its probability less the forest's mean."""
+    labelled, fitted = trained(spark, sf_dir)
+    keys, names = ["feature_name", "date"], fitted.metrics["feature_cols"]
+    phis = forest.row_attribution(labelled, fitted.model, keys, names)
+    scores = forest.score_rows(labelled, fitted.model).select(*keys, "risk_probability")
+    total = reduce(add, [F.col(f"phi_{c}") for c in names], F.lit(forest.forest_mean(fitted.model, len(names))))
+    return scores.join(phis, keys).select(*keys, (F.abs(total - F.col("risk_probability")) < 1e-9).alias("adds_up"))
+
+
 @query
 def save_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Saved, loaded again, and scored with the loaded model: per feature-day, whether the scores agree."""

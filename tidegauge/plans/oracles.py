@@ -80,7 +80,7 @@ labelled AS (
 
 
 def with_(ctes: str, body: str) -> str:
-    return f"WITH {ctes.strip()}\n{body.strip()}"
+    return f"WITH RECURSIVE {ctes.strip()}\n{body.strip()}"
 
 
 def union_all(parts: list[str]) -> str:
@@ -519,7 +519,9 @@ psi AS (SELECT position, metric, ROUND(SUM(CASE WHEN constant THEN 0 ELSE (pc -
 
 
 def ks_ctes() -> str:
-    return f""",
+    """The exact p-value for up to 10,000 rows a side: the two samples are drawn from one urn row by row,
+    and the weight of the draws that never reach the gap is carried along."""
+    return """,
 counted AS (SELECT position, metric, v, COUNT(CASE WHEN side = 0 THEN 1 END) AS nb, COUNT(CASE WHEN side = 1 THEN 1 END) AS nc FROM long GROUP BY ALL),
 running AS (
   SELECT position, metric, SUM(nb) OVER w AS rb, SUM(nc) OVER w AS rc,
@@ -527,12 +529,27 @@ running AS (
   FROM counted WINDOW w AS (PARTITION BY metric ORDER BY v ROWS UNBOUNDED PRECEDING)
 ),
 gaps AS (SELECT position, metric, MAX(ABS(CAST(rb AS DOUBLE) / tb - CAST(rc AS DOUBLE) / tc)) AS d,
-                CAST(MAX(tb) AS DOUBLE) * MAX(tc) / (MAX(tb) + MAX(tc)) AS n FROM running GROUP BY position, metric),
-lambdas AS (SELECT *, (sqrt(n) + 0.12 + 0.11 / sqrt(n)) * d AS lam FROM gaps),
+                CAST(MAX(tb) AS DOUBLE) * MAX(tc) / (MAX(tb) + MAX(tc)) AS n,
+                CAST(LEAST(MAX(tb), MAX(tc)) AS BIGINT) AS small, CAST(GREATEST(MAX(tb), MAX(tc)) AS BIGINT) AS large
+         FROM running GROUP BY position, metric),
+sizes AS (SELECT *, CAST(round(d * small * large) AS BIGINT) AS reach FROM gaps),
+walk AS (
+  SELECT metric, 0 AS s, CAST(0 AS BIGINT) AS lo, [CAST(1 AS DOUBLE)] AS w FROM sizes WHERE 2 * n * d * d <= 20 AND large <= 10000 AND reach > 0
+  UNION ALL
+  SELECT metric, s + 1, first, list_transform(range(first, last + 1), lambda i:
+      (CASE WHEN i > lo AND i - lo <= len(w) THEN w[i - lo] ELSE 0 END) * (small - i + 1) / (small + large - s)
+    + (CASE WHEN i >= lo AND i - lo < len(w) THEN w[i - lo + 1] ELSE 0 END) * (large - s + i) / (small + large - s))
+  FROM (
+    SELECT k.*, small, large,
+           GREATEST(0, s + 1 - large, CAST(floor(CAST((s + 1) * small - reach AS DOUBLE) / (small + large)) AS BIGINT) + 1) AS first,
+           LEAST(small, s + 1, CAST(ceil(CAST((s + 1) * small + reach AS DOUBLE) / (small + large)) AS BIGINT) - 1) AS last
+    FROM walk k JOIN sizes z USING (metric) WHERE s < small + large
+  ) steps
+),
 ks AS (
-  SELECT position, metric, d, CASE WHEN lam < 0.2 THEN 1 ELSE GREATEST(0, LEAST(1,
-    2 * (SELECT SUM((CASE WHEN j % 2 = 1 THEN 1 ELSE -1 END) * exp(-2.0 * j * j * lam * lam)) FROM range(1, {drift.KS_TERMS + 1}) s(j)))) END AS p
-  FROM lambdas
+  SELECT position, z.metric, d, CASE WHEN 2 * n * d * d > 20 THEN 0 WHEN reach = 0 THEN 1
+    ELSE GREATEST(0, LEAST(1, 1 - COALESCE(list_sum(w), 0))) END AS p
+  FROM sizes z LEFT JOIN walk k ON k.metric = z.metric AND k.s = small + large
 )"""
 
 
@@ -544,7 +561,7 @@ SQL["psi_severity"] = with_(sides_cte(2.5) + psi_ctes(), """
 SELECT metric, psi, CASE WHEN psi > 0.2 THEN 'HIGH' WHEN psi > 0.1 THEN 'MODERATE' ELSE 'LOW' END AS severity FROM psi""")
 SQL["drift_ks"] = with_(sides_cte(1.5) + ks_ctes(), """
 SELECT position, metric, ROUND(d, 6) AS ks_statistic, ROUND(p, 6) AS p_value, p < 0.05 AS drift_detected FROM ks""")
-SQL["drift_report"] = with_(changes_cte(1.5) + psi_ctes() + ks_ctes(), """
+DRIFT_REPORT = """
 SELECT COALESCE(string_agg(alert, ' | ' ORDER BY method, position), '') AS alerts, COUNT(*) AS alert_count, COUNT(*) > 0 AS overall_drift_detected
 FROM (
   SELECT 1 AS method, position, printf('%s drifted by %.2f%% (threshold 20%%)', metric, pct_change * 100) AS alert
@@ -556,7 +573,9 @@ FROM (
   UNION ALL
   SELECT 3, position, printf('KS ALERT: %s — KS=%.4f, p=%.4f →  Drift detected (p < 0.05)', metric, ROUND(d, 6), ROUND(p, 6))
   FROM ks WHERE p < 0.05
-)""")
+)"""
+SQL["drift_report"] = with_(changes_cte(1.5) + psi_ctes() + ks_ctes(), DRIFT_REPORT)
+SQL["drift_second_run"] = with_(changes_cte(2.5) + psi_ctes() + ks_ctes(), DRIFT_REPORT)
 SQL["drift_first_run"] = with_(TELEMETRY, f"""
 SELECT *, 0 AS alerts, CAST(0 AS BIGINT) AS alert_count, false AS overall_drift_detected FROM ({baseline("telemetry")})""")
 
@@ -591,6 +610,7 @@ FROM stream WHERE NOT cut""")
 
 SQL["risk_target"] = with_(LABELLED, "SELECT * FROM labelled")
 SQL["save_model"] = with_(DAYS, "SELECT feature_name, date, true AS same FROM days")
+SQL["row_attribution"] = with_(DAYS, "SELECT feature_name, date, true AS adds_up FROM days")
 SQL["end_to_end_run"] = with_(LABELLED.replace("AVG(latency_ms)", "AVG(LEAST(GREATEST(latency_ms, 0), 5000))"),
                               "SELECT *, true AS scored FROM labelled")
 SQL["clean_features"] = with_(DAYS, """

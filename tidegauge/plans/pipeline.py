@@ -25,6 +25,8 @@ from tidegauge.sources.raw import read_raw_csv
 logger = logging.getLogger(__name__)
 
 PARALLEL_OUTPUTS = 4
+BASELINE_VALUES = "reports/baseline_values"
+
 
 @dataclass
 class RunResult:
@@ -209,29 +211,38 @@ def _drift_step(
     baseline_events: DataFrame | None,
     load: str,
 ) -> DataFrame:
-    """First run: save the baseline, with the Bronze load it came from, and report nothing.
+    """First run: save the baseline with its counted values, and report nothing.
 
-    Later: compare means with the baseline and distributions (PSI, KS) with the rows of that load,
-    or with ``baseline_events`` where given; save the report.
+    Later: compare means with the baseline, and distributions (PSI, KS) with its counted values or with
+    ``baseline_events`` where given; save the report. The events that the baseline came from are not
+    read again.
     """
-    path, origin = config.at("reports/baseline_stats"), config.at("reports/baseline_load")
+    path = config.at("reports/baseline_stats")
     current = seen.frame.select(*rollup.baseline_measures())
     baseline = reports.baseline_read(spark, path)
     if baseline is None:
-        reports.json_report_sink(spark.range(1).select(F.lit(load).alias("ingested_at")), origin)
+        reports.json_report_sink(spark.range(1).select(F.lit(load).alias("ingested_at")), config.at("reports/baseline_load"))
+        reports.save_baseline_values(drift.counted_values(events), config.at(BASELINE_VALUES))
         reports.save_baseline(current, path)
         return drift.empty_drift_report(current)
     changes = drift.drift_pct_change(current.select(*drift.MEANS), baseline, config.drift_threshold)
-    if baseline_events is None:
-        stamp = spark.read.schema("ingested_at string").json(origin).first()[0]
-        baseline_events = typed(bronze_load(spark, config.lake, stamp))
-    psi, ks = drift.drift_psi(baseline_events, events), drift.drift_ks(baseline_events, events)
-    report = drift.drift_report(changes, psi, ks, config.drift_threshold)
-    report = small(report)
+    known = _baseline_values(spark, config) if baseline_events is None else drift.counted_values(baseline_events)
+    counts = drift.merged_counts(known, drift.counted_values(events))
+    report = small(drift.distribution_report(changes, counts, threshold=config.drift_threshold))
     reports.json_report_sink(reports.stamped(report), config.at("reports/data_drift"))
     return report
 
 
+def _baseline_values(spark: SparkSession, config: PipelineConfig) -> DataFrame:
+    """The saved counted values; a baseline saved without them gets them from its Bronze load, once."""
+    saved = reports.baseline_values(spark, config.at(BASELINE_VALUES))
+    if saved is None:
+        stamp = spark.read.schema("ingested_at string").json(config.at("reports/baseline_load")).first()[0]
+        reports.save_baseline_values(drift.counted_values(typed(bronze_load(spark, config.lake, stamp))), config.at(BASELINE_VALUES))
+        saved = reports.baseline_values(spark, config.at(BASELINE_VALUES))
+    return saved
+
+
 def small(report: DataFrame) -> DataFrame:
     """A report of a few rows as a local frame, so that reading it again runs nothing upstream."""
     return report.sparkSession.createDataFrame(report.collect(), report.schema)

@@ -64,5 +64,12 @@ BASELINE = T.StructType([
     T.StructField("error_count_mean", T.DoubleType()),
 ])
 
+# How often each value of a monitored metric occurred in the load that the baseline came from.
+BASELINE_VALUES = T.StructType([
+    T.StructField("metric", T.StringType()),
+    T.StructField("value", T.DoubleType()),
+    T.StructField("n", T.LongType()),
+])
+
 # Feature-day columns the risk model learns from.
 RISK_FEATURES = ["avg_latency", "crash_rate", "avg_feedback", "usage_count", "avg_error_count"]

@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.schema import BASELINE
+from tidegauge.schema import BASELINE, BASELINE_VALUES
 
 
 def json_report_sink(report: DataFrame, path: str) -> None:
@@ -30,3 +30,18 @@ def baseline_read(spark: SparkSession, path: str) -> DataFrame | None:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
+
+
+def save_baseline_values(values: DataFrame, path: str) -> None:
+    """Replace the counted values (metric, value, n) that go with a baseline."""
+    values.write.mode("overwrite").parquet(path)
+
+
+def baseline_values(spark: SparkSession, path: str) -> DataFrame | None:
+    """The counted values of the saved baseline, or ``None`` where there are none."""
+    try:
+        return spark.read.schema(BASELINE_VALUES).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
