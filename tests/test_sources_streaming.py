@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import gzip
 import json
 
 import pytest
@@ -40,15 +41,49 @@ def test_csv_by_name_with_further_columns_and_odd_values(spark, tmp_path):
     assert layers.read_bronze(spark, lake).dtypes[2] == ("session_duration", "double")
 
 
-def test_files_with_other_headers_and_missing_columns_are_refused(spark, tmp_path):
-    folder = tmp_path / "two"
+def test_files_of_other_headers_are_united_by_name(spark, tmp_path):
+    folder = tmp_path / "one folder"
     folder.mkdir()
-    (folder / "a.csv").write_text("user_id,feature_name\nu,f\n")
-    (folder / "b.csv").write_text("feature_name,user_id\nf,u\n")
-    with pytest.raises(Exception, match="header"):
-        raw.read_raw_csv(spark, str(folder)).collect()
+    (folder / "a.csv").write_text("user_id,feature_name,latency_ms\nu,f,1.5\nv,f,NA\n")
+    (folder / "b.csv").write_text("feature_name,user_id,extra\ng,w,x\n")
+    with gzip.open(folder / "c.csv.gz", "wt") as packed:
+        packed.write("user_id,feature_name,latency_ms\nz,h,2\n")
+    (folder / "empty.csv").write_text("")
+    (folder / "bare.csv").write_text("latency_ms,feature_name\n")
+    rows = raw.read_raw_csv(spark, str(folder))
+    assert set(rows.columns) == {"user_id", "feature_name", "latency_ms", "extra"}
+    got = sorted(map(tuple, rows.select("user_id", "feature_name", "latency_ms", "extra").collect()))
+    assert got == [("u", "f", 1.5, None), ("v", "f", None, None), ("w", "g", None, "x"), ("z", "h", 2.0, None)]
+
+
+def test_many_files_of_one_header_are_one_scan(spark, tmp_path):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for i in range(40):
+        (folder / f"{i}.csv").write_text(f"user_id,feature_name\nu{i},f\n")
+    rows = raw.read_raw_csv(spark, str(folder), typed=False)
+    assert rows.count() == 40 and rows._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 1
+
+
+def test_a_missing_path_or_column_is_refused(spark, tmp_path):
+    with pytest.raises(AnalysisException):
+        raw.read_raw_csv(spark, str(tmp_path / "nowhere"))
+    (tmp_path / "a.csv").write_text("user_id,feature_name\nu,f\n")
     with pytest.raises(ValidationError, match="missing required columns"):
-        stream.csv_fallback(spark, str(folder / "a.csv"), str(tmp_path / "lake"))
+        stream.csv_fallback(spark, str(tmp_path / "a.csv"), str(tmp_path / "lake"))
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 10, 23, 25, 39, 40, 50])
+def test_sample_with_ties_is_exact_and_repeats(spark, n):
+    """A key of three values, rows without a key, and a row that occurs ten times."""
+    rows = [(i % 3 if i % 5 else None, f"t{i}", None) for i in range(30)] + [(1, "same", 2.0)] * 10
+    df = spark.createDataFrame(rows, "key int, text string, x double")
+    first = sorted(map(tuple, raw.sample_n(df.repartition(3), n, F.col("key")).collect()), key=str)
+    again = sorted(map(tuple, raw.sample_n(df.repartition(5, "text"), n, F.col("key")).collect()), key=str)
+    assert first == again and len(first) == min(n, 40)
+    keys = sorted((3 if k is None else k for k, _, _ in rows))[:n]
+    assert sorted(3 if k is None else k for k, _, _ in first) == keys
+    assert len({r for r in first if r[1] != "same"}) == len([r for r in first if r[1] != "same"])
 
 
 def test_union_fills_missing_columns(spark):
@@ -110,6 +145,26 @@ def test_inventory(spark, events, tmp_path):
     assert layers.last_ingested(spark, lake).first()[0] is not None
 
 
+def test_inventory_takes_few_tasks(spark, tmp_path, monkeypatch):
+    """Files that would each be a task of their own are listed in a bounded number of tasks."""
+    monkeypatch.setattr(layers, "INVENTORY_TASKS", 3)
+    layers.bronze_append(spark.range(4000).repartition(40), str(tmp_path), "a")
+    (tmp_path / "bronze" / "notes.txt").write_text("no data")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        listing = spark.newSession()
+        listing.conf.set("spark.sql.files.maxPartitionNum", 3)
+        listing.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+        assert layers._listed(spark, str(tmp_path)).rdd.getNumPartitions() == 40
+        assert layers._listed(listing, str(tmp_path)).rdd.getNumPartitions() <= 4
+        found = {r.layer: (r.files, r.size_mb) for r in layers.layer_inventory(spark, str(tmp_path)).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    size = sum(f.stat().st_size for f in tmp_path.rglob("*.parquet"))
+    assert found == {"bronze": (40, pytest.approx(size / 1e6)), "silver": (0, 0.0), "gold": (0, 0.0)}
+
+
 def test_report_keeps_nulls(spark, tmp_path):
     path = str(tmp_path / "report")
     reports.json_report_sink(spark.createDataFrame([(1, None)], "a int, b string"), path)

@@ -137,3 +137,20 @@ def test_unicode_blanks_are_no_feature_name(spark, events):
     assert [r.passed for r in quality.suite_rows(quality.expectations(df), df.agg(*[
         c.alias(n) for n, c in quality.suite_measures(quality.expectations(df)).items()]), quality.duplicate_count(df)
     ).filter("expectation = 'expect_feature_name_not_null_or_empty'").collect()] == [False]
+
+
+def test_duplicates_count_exact_keys(spark, monkeypatch):
+    rows = [("a", "1"), ("a", "1"), ("a", "1"), ("a", None), (None, "a"), (None, "a"), (None, None), ("b", "1"), ("1", "b")]
+    df = spark.createDataFrame(rows, "user_id string, timestamp string")
+    assert quality.duplicate_count(df).first()[0] == 3
+    # Rows whose hashes agree although their keys differ are told apart by the keys.
+    monkeypatch.setattr(quality.F, "xxhash64", lambda *_: F.coalesce(F.length("user_id"), F.lit(0)))
+    assert quality.duplicate_count(df).first()[0] == 3
+    monkeypatch.undo()
+    assert quality.duplicate_count(df.limit(0)).first()[0] == 0
+
+
+def test_duplicate_keys_are_not_shuffled_whole(spark):
+    df = spark.createDataFrame([("a", "1")], "user_id string, timestamp string")
+    plan = quality.duplicate_count(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan and "Aggregate [pair" in plan

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions.selection import SKETCH_GROUPS
 
+MOST_SLICES = 512  # split points travel through the driver and become literals
+
 
 def running_totals(
     df: DataFrame,
@@ -30,7 +32,7 @@ def running_totals(
     is taken, which only moves the cuts.
     """
     spark = df.sparkSession
-    buckets = buckets or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = buckets or min(MOST_SLICES, max(8, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     points = [i / buckets for i in range(1, buckets)]
     sketches = df.groupBy(by, (F.spark_partition_id() % SKETCH_GROUPS).alias("_group")).agg(
         F.percentile_approx(order, points, 10 * buckets).alias("at")

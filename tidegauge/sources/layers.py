@@ -9,7 +9,6 @@ Layout below a lake root: ``bronze/batch`` (append, one partition per ingest day
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +20,7 @@ from tidegauge.sources.raw import text_frame, typed_raw
 
 BRONZE_BATCH = "bronze/batch"
 BRONZE_STREAM = "bronze/stream"
+INVENTORY_TASKS = 64
 
 
 def utc_now() -> Column:
@@ -143,26 +143,30 @@ def export_csv(df: DataFrame, path: str) -> None:
 
 
 def layer_inventory(spark: SparkSession, lake: str) -> DataFrame:
-    """Parquet files and megabytes (1e6 bytes) per layer, from file listings alone."""
-    listings = []
+    """layer, files, size_mb: Parquet files and megabytes (1e6 bytes) per layer, from file listings alone.
+
+    No file is opened. The listings are counted in at most ``INVENTORY_TASKS`` tasks a layer, however
+    many bytes the files hold; the setting for that stays in a session of its own.
+    """
+    listing = spark.newSession()
+    listing.conf.set("spark.sql.files.maxPartitionNum", INVENTORY_TASKS)
+    rows = []
     for layer in ("bronze", "silver", "gold"):
-        try:
-            files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-                     .option("pathGlobFilter", "*.parquet").load(f"{lake}/{layer}"))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            continue
-        listings.append(files.select(F.lit(layer).alias("layer"), F.col("length")))
-    layers = spark.createDataFrame([("bronze",), ("silver",), ("gold",)], "layer string")
-    if not listings:
-        return layers.select("layer", F.lit(0).cast("long").alias("files"), F.lit(0.0).alias("size_mb"))
-    found = reduce(DataFrame.unionAll, listings).groupBy("layer").agg(
-        F.count("*").alias("files"), (F.sum("length") / 1e6).alias("size_mb")
-    )
-    return layers.join(F.broadcast(found), "layer", "left").select(
-        "layer", F.coalesce("files", F.lit(0)).alias("files"), F.coalesce("size_mb", F.lit(0.0)).alias("size_mb")
-    )
+        files = _listed(listing, f"{lake}/{layer}")
+        count, size = files.agg(F.count("length"), F.sum("length")).first() if files is not None else (0, 0)
+        rows.append((layer, count, (size or 0) / 1e6))
+    return spark.createDataFrame(rows, "layer string, files long, size_mb double")
+
+
+def _listed(spark: SparkSession, path: str) -> DataFrame | None:
+    """``length`` of every Parquet file below a path; ``None`` where there is no such path."""
+    try:
+        return (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+                .option("pathGlobFilter", "*.parquet").load(path).select("length"))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def last_ingested(spark: SparkSession, lake: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,23 +12,60 @@ from pyspark.sql import types as T
 from tidegauge.functions.expressions import clip
 from tidegauge.functions.selection import order_statistics
 from tidegauge.schema import MISSING_WORDS, RAW_EVENT
+from tidegauge.session import materialize
+
+HEADER_READERS = 16
 
 
 def read_raw_csv(spark: SparkSession, path: str, typed: bool = True) -> DataFrame:
     """Header CSV of raw events, by column name in any order; further columns are kept as text.
 
-    The names come from the header and every file must agree with them, else reading fails.
-    A missing path is an ``AnalysisException``. Words for missing values become null.
-    ``typed=False`` keeps every column as text, so that validation can count what it coerces.
+    Files may differ in their headers: those of one header are read together, the groups are united
+    by name, and a column that a file lacks is null in its rows. A missing path is an
+    ``AnalysisException``. Words for missing values become null. ``typed=False`` keeps every column
+    as text, so that validation can count what it coerces.
     """
-    named = spark.read.option("header", True).csv(path).schema
-    rows = spark.read.schema(named).option("header", True).option("enforceSchema", False).csv(path)
+    groups = _files_by_header(spark, path)
+    parts = []
+    for files in groups:
+        named = spark.read.option("header", True).csv(files[0]).schema
+        # Every file must still agree with its group's names, else reading fails.
+        parts.append(spark.read.schema(named).option("header", True).option("enforceSchema", False).csv(files))
+    rows = union_files(parts) if parts else spark.read.option("header", True).csv(path)
     rows = rows.select([
         F.when(~F.col(f"`{c}`").isin(MISSING_WORDS), F.col(f"`{c}`")).alias(c) for c in rows.columns
     ])
     return typed_raw(rows) if typed else rows
 
 
+def _files_by_header(spark: SparkSession, path: str) -> list[list[str]]:
+    """The files of a path, grouped by their first line; empty files are left out.
+
+    The driver reads one line of each file, through the store that holds it and the file's codec.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def header(name: str) -> str | None:
+        file = jvm.org.apache.hadoop.fs.Path(name)
+        stream, codec = file.getFileSystem(conf).open(file), codecs.getCodec(file)
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
+        try:
+            return reader.readLine()
+        finally:
+            reader.close()
+
+    listed = sorted(spark.read.text(path).inputFiles())
+    files = [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name)).toString() for name in listed]
+    with ThreadPoolExecutor(HEADER_READERS) as pool:
+        headers = list(pool.map(header, files))
+    groups: dict[str, list[str]] = {}
+    for name, line in zip(files, headers):
+        if line:
+            groups.setdefault(line, []).append(name)
+    return list(groups.values())
+
+
 def typed_raw(rows: DataFrame) -> DataFrame:
     """The raw columns of a text frame with their types; what does not parse is null."""
     casts = {}
@@ -57,24 +95,34 @@ def sample_n(df: DataFrame, n: int, order: Column) -> DataFrame:
 
     ``order`` is a reproducible pseudo-random key, e.g. ``xxhash64(id, seed)``. The n-th
     smallest key is found by counting, after which the sample is a plain filter; nothing is
-    sorted or gathered. Only rows that tie with that key are ordered, by their content, so a rerun
-    draws the same ones. Rows without a key come last.
+    sorted or gathered. Rows that tie with that key, and rows without a key, which come last, are
+    taken by a hash of their content in the same way, so a rerun draws the same ones. Only rows that
+    agree in that too are told apart by their place in a written copy.
     """
-    def some(ties: DataFrame, wanted: int) -> DataFrame:
-        return ties.orderBy(F.to_json(F.struct(*[F.col(f"`{c}`") for c in ties.columns]))).limit(wanted)
+    content = F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"}))
+    return _smallest(df, n, [order, content])
 
+
+def _smallest(df: DataFrame, n: int, orders: Sequence[Column]) -> DataFrame:
+    if n <= 0:
+        return df.limit(0)
+    if not orders:
+        line = "_line"
+        while line in df.columns:
+            line = f"_{line}"
+        written = materialize(df.withColumn(line, F.monotonically_increasing_id()), "sample-ties")
+        return _smallest(written, n, [F.col(line)]).drop(line)
+    order, *rest = orders
     total, rows = df.agg(F.count(order), F.count(F.lit(1))).first()
     if n >= rows:
         return df
     if n >= total:
-        return df.filter(order.isNotNull()).unionAll(some(df.filter(order.isNull()), n - total))
-    if n <= 0:
-        return df.limit(0)
+        return df.filter(order.isNotNull()).unionAll(_smallest(df.filter(order.isNull()), n - total, rest))
     cut = order_statistics(df, [(order, n - 1, total)])[0]
     under, ties = df.agg(F.count_if(order < F.lit(cut)), F.count_if(order == F.lit(cut))).first()
     if under + ties == n:
         return df.filter(order <= F.lit(cut))
-    return df.filter(order < F.lit(cut)).unionAll(some(df.filter(order == F.lit(cut)), n - under))
+    return df.filter(order < F.lit(cut)).unionAll(_smallest(df.filter(order == F.lit(cut)), n - under, rest))
 
 
 # Category prefixes (checked in this order), first words, and fallback names.
