@@ -135,7 +135,7 @@ def test_matrix_and_expansion_meet():
 
 
 def test_far_gaps_are_certain():
-    assert two_sample_p(0.5, 5000, 5000) == 0.0
+    assert two_sample_p(0.5, 5000, 5000) == 0.0 and type(two_sample_p(0.001, 20000, 30000)) is float
     at = math.sqrt(kolmogorov.CERTAIN / 2 / 50)  # just under the limit the exact tail has six zeros already
     assert lattice_p(round(at * 100 * 100), 100, 100) < 5e-7
 

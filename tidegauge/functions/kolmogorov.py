@@ -58,7 +58,7 @@ def one_sample_p(gap: float, rows: int) -> float:
     if 2 * rows * gap * gap > CERTAIN:
         return 0.0
     below = _matrix_cdf(gap, rows) if rows <= MATRIX_ROWS else _expansion_cdf(gap, rows)
-    return min(1.0, max(0.0, 1.0 - below))
+    return float(min(1.0, max(0.0, 1.0 - below)))
 
 
 def _matrix_cdf(gap: float, rows: int) -> float:

@@ -13,7 +13,7 @@ from typing import Any
 
 from numpy.polynomial.legendre import leggauss
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
+from pyspark.ml.classification import DecisionTreeClassificationModel, RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -40,9 +40,12 @@ LOW_AUC = 0.60  # fixed value: below this a training run warns
 
 
 class _ForestModel(RandomForestClassificationModel):
-    # The parent builds a Python wrapper per tree as soon as it is constructed, which takes
-    # longer than fitting 300 trees. Nothing here reads single trees.
-    trees = ()
+    """The parent's cached ``trees`` are all wrapped as soon as a model lists its params, which takes
+    longer than fitting 300 of them; as a plain property they are wrapped when asked for."""
+
+    @property
+    def trees(self) -> list[DecisionTreeClassificationModel]:
+        return [DecisionTreeClassificationModel(tree) for tree in self._call_java("trees")]
 
 
 class _Forest(RandomForestClassifier):

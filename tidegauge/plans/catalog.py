@@ -505,14 +505,16 @@ def star_schema(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
 
 @query
 def fact_dim_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Key checks of both tables and of the fact table doubled."""
+    """Key checks of both tables, of the fact table doubled and of one without the day of some rows."""
     fact, dimension = star_schema(spark, sf_dir)
 
     def checked(name: str, df: DataFrame, key: tuple[str, ...]) -> DataFrame:
         return star.key_violations(df, key).withColumn("table_name", F.lit(name))
 
+    gaps = fact.withColumn("event_date", F.when(F.day("event_date") != 5, F.col("event_date")))
     return (checked("fact", fact, star.FACT_KEY)
             .unionByName(checked("dimension", dimension, star.DIMENSION_KEY))
+            .unionByName(checked("fact with gaps", gaps, star.FACT_KEY))
             .unionByName(checked("fact twice", fact.unionAll(fact), star.FACT_KEY)))
 
 
@@ -571,6 +573,16 @@ def silver_feature_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_silver(spark, sf_dir).drop("_silver_loaded_at"), *_DAILY_MEANS, *windows)
 
 
+@query
+def silver_null_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every window with a day that is not known, which comes last."""
+    k = F.col("k")
+    events = keyed_events(spark, sf_dir).withColumn("timestamp", F.when(k != 47, F.col("timestamp"))).drop("k", "event_id")
+    silver = rollup.silver_feature_metrics(layers.bronze_typed_view(events))
+    windows = ["rolling_7d_avg_latency", "rolling_7d_crash_rate", "latency_dod_change"]
+    return rounded(silver.select("feature_name", "event_date", "usage_count", *windows, "recency_rank"), *windows)
+
+
 @query
 def fact_rolling_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(star.fact_rolling_latency(star_schema(spark, sf_dir)[0]), "rolling_7d_latency")
@@ -844,6 +856,54 @@ def mean_abs_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.mean_abs_attribution(labelled, fitted.model)
 
 
+@query
+def training_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a training run reports that does not depend on the forest: rows of either part, and positives."""
+    _, fitted = trained(spark, sf_dir)
+    tn_fp, fn_tp = fitted.metrics["confusion_matrix"]
+    figures = {"train_rows": fitted.metrics["train_rows"], "test_rows": fitted.metrics["test_rows"],
+               "test_positives": sum(fn_tp), "test_negatives": sum(tn_fp)}
+    share = F.round(F.lit(fitted.metrics["positive_rate"]), 6).alias("positive_rate")
+    return spark.range(1).select(*[F.lit(n).cast("long").alias(name) for name, n in figures.items()], share)
+
+
+@query
+def importance_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per importance in the served order, its place, and whether none before is larger; their sum."""
+    rows = serving.importance_sorted(trained(spark, sf_dir)[1].importance).collect()
+    values = [r.importance for r in rows]
+    lines = [(i, a >= b, abs(sum(values) - 1) < 1e-9, a >= 0) for i, (a, b) in enumerate(zip(values, [0.0, *values]), 1)]
+    return spark.createDataFrame(lines, "place int, rising boolean, sums_to_one boolean, not_negative boolean")
+
+
+@query
+def scored_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows scored per feature, their labels, and whether prediction and probability agree on all."""
+    labelled, fitted = trained(spark, sf_dir)
+    scored = forest.score_rows(labelled, fitted.model)
+    side = (F.col("risk_probability") > 0.5).cast("int") == F.col("risk_label")
+    return scored.groupBy("feature_name").agg(
+        F.count("risk_probability").alias("scored"), F.sum("is_high_risk").alias("high_risk"),
+        F.bool_and(side | (F.col("risk_probability") == 0.5)).alias("agree"))
+
+
+@query
+def logged_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run logged with figures of the scored events, read back from the run table."""
+    scored = scored_events(spark, sf_dir)
+    cells = evaluate.confusion_counts(scored).first()
+    ranking = evaluate.ranking_metrics(scored).first()
+    metrics = {"roc_auc": ranking.roc_auc, "accuracy": (cells.tn + cells.tp) / sum(cells), "test_rows": sum(cells),
+               "confusion_matrix": [[cells.tn, cells.fp], [cells.fn, cells.tp]]}
+    path = shared_path(spark, "runs")
+    runs.log_training_run(spark, path, metrics, risk.RiskConfig(), "model", "events")
+    logged = F.col("metrics")
+    names = ["test_rows", "true_negatives", "false_positives", "false_negatives", "true_positives"]
+    return runs.read_runs(spark, path).select(
+        "run_name", *[logged[n].alias(n) for n in names], F.round(logged["roc_auc"], 6).alias("roc_auc"),
+        F.round(logged["accuracy"], 6).alias("accuracy"), F.col("params")["trees"].alias("trees"), F.col("tags")["model_type"].alias("model_type"))
+
+
 @query
 def row_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per feature-day, whether the attributions add up to its probability less the forest's mean."""
@@ -941,6 +1001,13 @@ def feature_deep_dive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.feature_deep_dive(scored, "purchase")
 
 
+@query
+def feature_deep_dive_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From rows per day: the card shows the last one."""
+    scored = feature_days(spark, sf_dir).withColumn("risk_probability", F.round(F.col("crash_rate") * 10, 4))
+    return serving.feature_deep_dive(scored, "purchase")
+
+
 @query
 def feature_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     trends = serving.feature_trend(rollup.daily_trends(telemetry(spark, sf_dir)), "purchase")
@@ -998,3 +1065,19 @@ def end_to_end_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(scored, *means).select(
         "feature_name", "date", *RISK_FEATURES, "is_high_risk", F.col("risk_probability").between(0, 1).alias("scored")
     )
+
+
+@query
+def gate_stops_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latency above the spike gate: the run fails after Bronze, says so in its report, and scores nothing."""
+    root = shared_path(spark, "run")
+    lifted = telemetry(spark, sf_dir).withColumn("latency_ms", F.col("latency_ms") + 5000)
+    layers.export_csv(lifted, f"{root}/raw")
+    try:
+        pipeline.run(spark, f"{root}/raw", pipeline.PipelineConfig(f"{root}/lake"))
+    except quality.QualityGateError:
+        pass  # what the report says of it is the result
+    report = spark.read.schema("status string, rows_processed long, error string").json(f"{root}/lake/reports/run_report")
+    landed = layers.read_bronze(spark, f"{root}/lake").agg(F.count(F.lit(1)).alias("landed"))
+    files = layers.layer_inventory(spark, f"{root}/lake").filter("layer = 'silver'").select(F.col("files").alias("silver_files"))
+    return report.join(landed).join(files)  # one row each

@@ -2,12 +2,56 @@
 
 from __future__ import annotations
 
-from tidegauge.functions.expressions import LATENCY_BINS, LATENCY_NO_BIN, LATENCY_TOP_BIN, RISK_FLOOR_TIER, RISK_TIERS
-from tidegauge.operators import drift, quality, star
-from tidegauge.operators.serving import ADVICE, ADVICE_OTHERWISE
-from tidegauge.schema import NUMERIC_COLUMNS, RAW_REQUIRED, RISK_FEATURES, VALUE_RANGES
-from tidegauge.sources import raw
-from tidegauge.sources.telemetry import DRIFT_SPLIT
+from types import SimpleNamespace
+
+# Fixed values, written out here so that the library's own are tested and not repeated.
+DRIFT_SPLIT = "2024-01-16"
+RAW_REQUIRED = [
+    "user_id", "feature_name", "session_duration", "latency_ms", "crash_flag", "error_count", "feedback_score", "timestamp",
+]
+NUMERIC_COLUMNS = ["latency_ms", "crash_flag", "feedback_score", "error_count", "session_duration"]
+VALUE_RANGES = {"latency_ms": (0, 10000), "crash_flag": (0, 1), "feedback_score": (1, 5), "error_count": (0, 1000)}
+RISK_FEATURES = ["avg_latency", "crash_rate", "avg_feedback", "usage_count", "avg_error_count"]
+LATENCY_BINS = [(100, "excellent"), (300, "good"), (600, "moderate"), (1000, "poor")]
+LATENCY_TOP_BIN = "critical"
+LATENCY_NO_BIN = "nan"
+RISK_TIERS = [(0.7, "CRITICAL"), (0.5, "HIGH"), (0.3, "MEDIUM")]
+RISK_FLOOR_TIER = "LOW"
+ADVICE = {
+    "CRITICAL": [
+        "⚠ CRITICAL — Immediate investigation required. Escalate to on-call engineer.",
+        "→ Check error logs for the past 24 hours",
+        "→ Review recent deployments that may have impacted this feature",
+        "→ Consider feature flag rollback if degradation persists",
+    ],
+    "HIGH": [
+        "⚠ HIGH RISK — Monitor closely. Schedule investigation within 24 hours.",
+        "→ Add to monitoring watchlist with 15-minute alert intervals",
+    ],
+}
+ADVICE_OTHERWISE = ["✓ Feature operating within normal parameters. No immediate action required."]
+quality = SimpleNamespace(NULL_RATE_COLUMNS=["latency_ms", "crash_flag", "feedback_score"])
+star = SimpleNamespace(SLO_LATENCY_MS=1500.0, SLO_LATENCY_SHARE=0.95, SLO_CRASH_RATE=0.05)
+drift = SimpleNamespace(
+    METRICS=["latency_ms", "crash_flag", "feedback_score", "error_count"],
+    MEANS={"latency_ms_mean": "latency_ms", "crash_flag_rate": "crash_flag", "feedback_score_mean": "feedback_score",
+           "error_count_mean": "error_count"},
+)
+raw = SimpleNamespace(
+    CATEGORY_PREFIXES=[
+        ("electronics.smartphone", "Payments"), ("electronics.audio", "VideoPlayback"), ("electronics.tablet", "Search"),
+        ("electronics.laptop", "Recommendations"), ("computers.notebook", "Recommendations"), ("computers.desktop", "Search"),
+        ("appliances.kitchen", "Login"), ("appliances.environment", "Login"), ("sport.trainer", "Search"),
+        ("kids.toys", "Recommendations"),
+    ],
+    CATEGORY_WORDS={
+        "electronics": "VideoPlayback", "computers": "Recommendations", "appliances": "Login", "sport": "Search",
+        "kids": "Recommendations", "auto": "Payments", "furniture": "Search", "medicine": "Login",
+        "construction": "Payments", "clothing": "Search",
+    },
+    FALLBACK_UNKNOWN=["Login", "Payments", "VideoPlayback"],
+    FALLBACK_NULL=["Login", "Payments", "VideoPlayback", "Recommendations", "Search"],
+)
 
 TELEMETRY = """
 keyed AS (
@@ -416,13 +460,16 @@ dim AS (
 
 
 def key_check(name: str, source: str, key: str) -> str:
-    return (f"SELECT CAST(0 AS BIGINT) AS null_keys, COUNT(CASE WHEN n > 1 THEN 1 END) AS duplicate_keys, '{name}' AS table_name "
-            f"FROM (SELECT COUNT(*) AS n FROM {source} GROUP BY {key})")
+    gap = " OR ".join(f"{column} IS NULL" for column in key.split(", "))
+    return (f"SELECT (SELECT COUNT(*) FROM {source} WHERE {gap}) AS null_keys, COUNT(CASE WHEN n > 1 THEN 1 END) AS duplicate_keys, "
+            f"'{name}' AS table_name FROM (SELECT COUNT(*) AS n FROM {source} WHERE NOT ({gap}) GROUP BY {key})")
 
 
 SQL["fact_dim_model"] = with_(STAR, union_all([
     key_check("fact", "fact", "feature_id, event_date"),
     key_check("dimension", "dim", "feature_id"),
+    key_check("fact with gaps", "(SELECT feature_id, CASE WHEN day(event_date) <> 5 THEN event_date END AS event_date FROM fact)",
+              "feature_id, event_date"),
     key_check("fact twice", "(SELECT * FROM fact UNION ALL SELECT * FROM fact)", "feature_id, event_date"),
 ]))
 SQL["fact_table"] = with_(STAR, "SELECT * FROM fact")
@@ -468,6 +515,13 @@ _silver_rounded = ["avg_latency", "crash_rate", "avg_feedback", "avg_error_count
 SQL["silver_feature_metrics"] = with_(SILVER, f"""
 SELECT feature_name, event_date, usage_count, total_crashes, quality_score, recency_rank, 'silver' AS _layer,
        {', '.join(f'ROUND({c}, 6) AS {c}' for c in _silver_rounded)} FROM silver""")
+_null_day = SILVER.replace(
+    """bronze AS (SELECT *, CAST("timestamp" AS DATE) AS event_date FROM telemetry)""",
+    """bronze AS (SELECT *, CASE WHEN k <> 47 THEN CAST("timestamp" AS DATE) END AS event_date FROM keyed)""",
+).replace("ORDER BY event_date DESC", "ORDER BY event_date DESC NULLS FIRST").replace("ORDER BY event_date ROWS", "ORDER BY event_date NULLS LAST ROWS")
+SQL["silver_null_day"] = with_(_null_day, """
+SELECT feature_name, event_date, usage_count, ROUND(rolling_7d_avg_latency, 6) AS rolling_7d_avg_latency,
+       ROUND(rolling_7d_crash_rate, 6) AS rolling_7d_crash_rate, ROUND(latency_dod_change, 6) AS latency_dod_change, recency_rank FROM silver""")
 SQL["fact_rolling_latency"] = with_(STAR, """
 SELECT feature_id, event_date, ROUND(AVG(CAST(latency_ms AS DOUBLE)) OVER (
     PARTITION BY feature_id ORDER BY event_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 6) AS rolling_7d_latency FROM fact""")
@@ -619,6 +673,9 @@ SQL["save_model"] = with_(DAYS, "SELECT feature_name, date, true AS same FROM da
 SQL["row_attribution"] = with_(DAYS, "SELECT feature_name, date, true AS adds_up FROM days")
 SQL["end_to_end_run"] = with_(LABELLED.replace("AVG(latency_ms)", "AVG(LEAST(GREATEST(latency_ms, 0), 5000))"),
                               "SELECT *, true AS scored FROM labelled")
+SQL["gate_stops_run"] = """
+SELECT 'failed' AS status, CAST(0 AS BIGINT) AS rows_processed, 'latency above 5000 ms' AS error, COUNT(*) AS landed,
+       CAST(0 AS BIGINT) AS silver_files FROM events"""
 SQL["clean_features"] = with_(DAYS, """
 SELECT feature_name, date, CASE WHEN day(CAST(date AS DATE)) IN (3, 4) THEN 0 ELSE avg_latency END AS avg_latency,
        CASE WHEN day(CAST(date AS DATE)) = 5 THEN 0 ELSE crash_rate END AS crash_rate,
@@ -679,6 +736,19 @@ report AS (SELECT name, p, r, COALESCE(2 * p * r / nullif(p + r, 0), 0) AS f, n
 SELECT name, ROUND(p, 6) AS precision, ROUND(r, 6) AS recall, ROUND(f, 6) AS f1, n AS support FROM report
 UNION ALL SELECT 'macro avg', ROUND(AVG(p), 6), ROUND(AVG(r), 6), ROUND(AVG(f), 6), CAST(SUM(n) AS BIGINT) FROM report
 UNION ALL SELECT 'weighted avg', ROUND(SUM(p * n) / SUM(n), 6), ROUND(SUM(r * n) / SUM(n), 6), ROUND(SUM(f * n) / SUM(n), 6), CAST(SUM(n) AS BIGINT) FROM report""")
+SQL["logged_run"] = with_(SCORED, """
+SELECT 'events' AS run_name, CAST(tn + fp + fn + cells.tp AS DOUBLE) AS test_rows, CAST(tn AS DOUBLE) AS true_negatives,
+       CAST(fp AS DOUBLE) AS false_positives, CAST(fn AS DOUBLE) AS false_negatives, CAST(cells.tp AS DOUBLE) AS true_positives,
+       (SELECT ROUND(SUM(pos * (neg_upto - neg / 2)) / (CAST(MAX(p) AS DOUBLE) * MAX(n)), 6) FROM ranked) AS roc_auc,
+       ROUND((tn + cells.tp) / (tn + fp + fn + cells.tp), 6) AS accuracy, '300' AS trees, 'RandomForestClassifier' AS model_type FROM cells""")
+SQL["training_counts"] = with_(LABELLED + """,
+classes AS (SELECT is_high_risk AS c, COUNT(*) AS n, CAST(floor(0.2 * COUNT(*) + 0.5) AS BIGINT) AS test FROM labelled GROUP BY 1)""", """
+SELECT CAST(SUM(n - test) AS BIGINT) AS train_rows, CAST(SUM(test) AS BIGINT) AS test_rows, CAST(SUM(c * test) AS BIGINT) AS test_positives,
+       CAST(SUM((1 - c) * test) AS BIGINT) AS test_negatives, ROUND(SUM(c * n) / SUM(n), 6) AS positive_rate FROM classes""")
+SQL["importance_order"] = """
+SELECT CAST(i AS INTEGER) AS place, true AS rising, true AS sums_to_one, true AS not_negative FROM range(1, 6) r(i)"""
+SQL["scored_days"] = with_(LABELLED, """
+SELECT feature_name, COUNT(*) AS scored, CAST(SUM(is_high_risk) AS BIGINT) AS high_risk, true AS agree FROM labelled GROUP BY feature_name""")
 SQL["best_run"] = with_(TELEMETRY, """
 SELECT 'run-' || feature_name AS run_id, feature_name AS run_name, ROUND(AVG(crash_flag), 6) AS roc_auc
 FROM telemetry GROUP BY feature_name ORDER BY roc_auc DESC LIMIT 1""")
@@ -703,6 +773,9 @@ SQL["feature_deep_dive"] = with_(TELEMETRY + "," + SUMMARY.format(source="teleme
 SELECT feature_name, risk_probability, {tier('risk_probability')} AS risk_tier, avg_latency_ms AS avg_latency, crash_rate,
        avg_feedback_score AS avg_feedback, usage_count
 FROM (SELECT *, ROUND(crash_rate * 10, 4) AS risk_probability FROM (SELECT {SUMMARY_COLUMNS} FROM summary)) WHERE feature_name = 'purchase'""")
+SQL["feature_deep_dive_days"] = with_(DAYS, f"""
+SELECT feature_name, risk_probability, {tier('risk_probability')} AS risk_tier, avg_latency, crash_rate, avg_feedback, usage_count
+FROM (SELECT *, ROUND(crash_rate * 10, 4) AS risk_probability FROM days) WHERE feature_name = 'purchase' ORDER BY date DESC LIMIT 1""")
 SQL["feature_trend"] = with_(TRENDS, "SELECT * FROM trends WHERE feature_name = 'purchase'")
 SQL["drift_status"] = with_(changes_cte(1.15), """
 SELECT metric, ROUND(pct_change * 100, 6) AS change_pct,

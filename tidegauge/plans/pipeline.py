@@ -1,7 +1,8 @@
 """The whole run: raw CSV to Bronze, gates, drift, quality, Silver, risk model, reports.
 
-The CSV is parsed once, into Bronze. Every figure that validation, baseline, profile, gates and
-the quality suite need is then read from that Bronze batch in one aggregation.
+The CSV is read once, into Bronze, and that load's text is parsed once, into a written table that is
+removed after the run. Every figure that validation, baseline, profile, gates and the quality suite
+need is read from it in one aggregation.
 """
 
 from __future__ import annotations
@@ -14,11 +15,13 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegauge.functions.expressions import nan_to_null, wall_time
 from tidegauge.functions.selection import exact_quantiles
 from tidegauge.operators import drift, features, forest, quality, risk, rollup, runs, validate
 from tidegauge.schema import RAW_EVENT
+from tidegauge.session import scratch
 from tidegauge.sources import layers, reports
 from tidegauge.sources.raw import read_raw_csv
 
@@ -97,11 +100,16 @@ def typed(raw: DataFrame) -> DataFrame:
     return nan_to_null(validate.coerce_numeric(raw))
 
 
-def measure(raw: DataFrame) -> Measured:
+def parsed(raw: DataFrame) -> DataFrame:
+    """The typed rows, with the text they came from in the struct ``text``."""
+    return typed(raw.withColumn("text", F.struct(*raw.columns)))
+
+
+def measure(both: DataFrame) -> Measured:
     """Validation figures of the text rows and all others of the typed rows, in one aggregation."""
-    spark = raw.sparkSession
-    both = typed(raw.withColumn("text", F.struct(*raw.columns)))
+    spark = both.sparkSession
     events = both.drop("text")
+    raw = both.select("text.*")
     moment = wall_time(events, "timestamp")
     parsed = F.when(moment.isNotNull(), F.col("latency_ms"))
     aggregates: dict[str, Column] = {
@@ -126,28 +134,33 @@ def measure(raw: DataFrame) -> Measured:
 
 def _run(spark: SparkSession, csv_path: str, config: PipelineConfig, baseline_events: DataFrame | None) -> RunResult:
     raw, load = ingest(spark, csv_path, config.lake)
-    events = typed(raw)
-    seen = measure(raw)
-
-    drift_report = _drift_step(spark, config, events, seen, baseline_events, load)
-    quality_results = quality.suite_rows(
-        quality.expectations(events, p99=seen.p99), seen.frame, quality.duplicate_count(events)
-    )
-    quality_results = small(quality_results)
-    quality_report = small(quality.dq_report(quality_results))
-    reports.json_report_sink(reports.stamped(quality_report), config.at("reports/data_quality"))
+    # Every event is parsed once; each later step reads the columns it needs of the written rows.
+    with scratch(parsed(raw), "typed-events") as both:
+        return _steps(spark, both, load, config, baseline_events)
+
+
+def _steps(spark: SparkSession, both: DataFrame, load: str, config: PipelineConfig, baseline_events: DataFrame | None) -> RunResult:
+    events = both.drop("text")
+    seen = measure(both)
+
+    with ThreadPoolExecutor(1) as pool:  # drift and quality read the same rows and do not wait for one another
+        drifted = pool.submit(_drift_step, spark, config, events, seen, baseline_events, load)
+        quality_results = small(quality.suite_rows(
+            quality.expectations(events, p99=seen.p99), seen.frame, quality.duplicate_count(events)
+        ))
+        quality_report = small(quality.dq_report(quality_results))
+        reports.json_report_sink(reports.stamped(quality_report), config.at("reports/data_quality"))
+        drift_report = drifted.result()
     _gates(seen.row, events.columns)
 
     today = spark.range(1).select(layers.today()).first()[0]  # one processing day, also past midnight
-    layers.silver_overwrite(features.engineer_features(events, seen.scale), config.lake, "events", today)
-    silver = layers.read_silver(spark, config.lake, "events", today)
+    silver = _through_silver(features.engineer_features(events, seen.scale), config.lake, "events", today)
     days = layers.materialize_table(rollup.agg_daily(silver), config.at("gold/feature_days"))
     validate.validate_schema(days, "processed")
 
     labelled = risk.risk_target(days, config.risk)
     trained = forest.train_risk_model(labelled, config.risk)
-    layers.silver_overwrite(forest.score_rows(labelled, trained.model), config.lake, "scored", today)
-    scored = layers.read_silver(spark, config.lake, "scored", today).drop("_processing_date")
+    scored = _through_silver(forest.score_rows(labelled, trained.model), config.lake, "scored", today)
 
     model_path = config.at(f"models/risk-{int(time.time() * 1000)}")
     # The outputs do not depend on one another, so their small jobs overlap.
@@ -190,6 +203,13 @@ def _run(spark: SparkSession, csv_path: str, config: PipelineConfig, baseline_ev
     return RunResult(report, scored, quality_results, drift_report, trained.importance, attribution)
 
 
+def _through_silver(rows: DataFrame, lake: str, dataset: str, day: str) -> DataFrame:
+    """Write a Silver dataset and go on from its files, by the columns just written."""
+    layers.silver_overwrite(rows, lake, dataset, day)
+    schema = T.StructType([*rows.schema.fields, T.StructField("_processing_date", T.StringType())])
+    return layers.read_silver(rows.sparkSession, lake, dataset, day, schema).drop("_processing_date")
+
+
 def _figure(value: Any) -> Column:
     """A literal; a figure that could not be computed is a null number."""
     return F.lit(None).cast("double") if value is None else F.lit(value)
