@@ -2,8 +2,8 @@
 
 The network reads a window of bytes in both directions, labels every position, and a document's
 probabilities are the mean over all of its positions. It is trained in numpy by backpropagation
-through time on a bounded sample of labelled rows (``SAMPLE_DOCS`` rows of smallest id hash, at most
-``SAMPLE_WINDOWS`` windows of each). Prediction reads every byte of every document, in
+through time on a bounded sample of labelled rows: about ``SAMPLE_DOCS`` different texts, shared evenly
+by the labels, and ``SAMPLE_WINDOWS`` windows spread over each. Prediction reads every byte of every document, in
 windows of ``WINDOW`` bytes, many windows at a time, inside Arrow batches; the weights (some
 thousand numbers) travel in the closure.
 
@@ -22,6 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidegauge.llm.common import table
@@ -30,6 +31,8 @@ WINDOW = 128
 HIDDEN = 8
 SAMPLE_DOCS = 2_000
 SAMPLE_WINDOWS = 4
+#: Texts of each label where many labels share the sample.
+LEAST_PER_LABEL = 16
 EPOCHS = 8
 BATCH = 128
 UNKNOWN = "und"
@@ -183,22 +186,32 @@ def pooled(w: Weights, texts: list[bytes], at_once: int = 1024) -> np.ndarray:
     return sums / np.maximum(counts, 1)[:, None]
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        usable: Column | None = None, limit: int = SAMPLE_DOCS) -> tuple[Weights, list[str]] | None:
-    """Trains on a sample of labelled rows, the ``limit`` of smallest id hash; None without any."""
-    rows = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
-    if usable is not None:
-        rows = rows.where(usable)
-    rows = rows.withColumn("_order", F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.col(text_col)), 1))
-    # Twice the rows wanted, by hash, so that what tasks offer to the driver does not grow with their number.
-    share = min(1.0, 2 * limit / max(rows.count(), 1))
-    few = rows.where(F.col("_order") <= min(int(share * (1 << 63)), (1 << 63) - 1))
-    # A text's first part is enough for a bounded sample; prediction reads whole texts.
-    sample = few.select(F.col("_order").alias("o"), F.substring(F.col(text_col), 1, 4 * WINDOW * SAMPLE_WINDOWS).alias("t"),
-                        F.col(lang_col).alias("l")).orderBy("o", "t", "l").limit(limit).collect()
-    if not sample:
+def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", usable: Column | None = None,
+        limit: int = SAMPLE_DOCS) -> tuple[Weights, list[str]] | None:
+    """Trains on a sample of labelled rows; None without any.
+
+    Copies of a text count once per label. Every label gets the same number of texts, those of smallest
+    hash, about ``limit`` in all and ``LEAST_PER_LABEL`` at least, so frequent labels take no place from
+    rare ones. Of each text ``SAMPLE_WINDOWS`` windows spread over the whole of it are taken.
+    """
+    text, lang = F.col(text_col), F.col(lang_col)
+    rows = docs.where(usable) if usable is not None else docs
+    rows = rows.where(text.isNotNull() & lang.isNotNull() & text.rlike(r"\p{L}")).select(
+        lang.cast("string").alias("l"), F.xxhash64(text).alias("h"), text.alias("t"))
+    labels = rows.select("l").distinct().count()
+    if not labels:
         return None
-    return train([r["t"].encode() for r in sample], [r["l"] for r in sample])
+    each = max(LEAST_PER_LABEL, limit // labels)
+    place = F.row_number().over(W.partitionBy("l").orderBy("h"))
+    chosen = rows.select("l", "h").distinct().withColumn("place", place).where(F.col("place") <= each).drop("place")
+    size = F.greatest(F.length("t"), F.lit(1))
+    starts = [F.floor(size * i / SAMPLE_WINDOWS).cast("int") for i in range(SAMPLE_WINDOWS)]
+    whole = F.length("t") <= SAMPLE_WINDOWS * WINDOW
+    parts = F.when(whole, F.array("t")).otherwise(F.array(*[F.substring("t", start + 1, F.lit(WINDOW)) for start in starts]))
+    found = rows.join(chosen, ["l", "h"]).select("l", "h", parts.alias("parts"))
+    sample = found.groupBy("l", "h").agg(F.min("parts").alias("parts")).orderBy("l", "h").collect()
+    pieces = [(part.encode(), r["l"]) for r in sample for part in r["parts"]]
+    return train([p for p, _ in pieces], [lang for _, lang in pieces])
 
 
 def predict(docs: DataFrame, model: tuple[Weights, list[str]] | None, text_col: str = "text",

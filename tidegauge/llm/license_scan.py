@@ -3,7 +3,7 @@
 Words are alphanumeric runs with A-Z lower-cased, shingles five words. A template of s shingles is
 looked for in windows of 2s' shingles that start every s', s' being s rounded up to a power of two,
 so that a full copy lies wholly in a window and fills at least a quarter of it. A window and a
-template have one MinHash value per band (the least of the shingle hashes xored with the band's seed).
+template have one MinHash value per band (the least value of the band's own hash of the shingles).
 With ``BANDS`` bands of one row, a Jaccard similarity of J is retrieved with probability
 1 - (1 - J) ** BANDS: at the least J of a match, 0.8 / 4, with 64 bands that is more than 0.999999.
 A retrieved template matches where the window holds at least 80 % of its distinct shingles.
@@ -48,13 +48,9 @@ TEMPLATES = [
 ]
 
 
-def _seed(band: int) -> int:
-    """A fixed 63-bit number per band."""
-    return (band + 1) * 0x9E3779B97F4A7C15 % (1 << 63)
-
-
 def _least(shingles: Column, band: int) -> Column:
-    return F.array_min(F.transform(shingles, lambda h: h.bitwiseXOR(F.lit(_seed(band)))))
+    """The least value of the band's own hash over the shingles."""
+    return F.array_min(F.transform(shingles, lambda h: F.xxhash64(h, F.lit(band))))
 
 
 def with_shingles(rows: DataFrame, words: str, name: str) -> DataFrame:
