@@ -5,12 +5,15 @@ blanks and tabs. All counts are per language, f(phrase) over all its places with
 
 1. Tasks write blocks of up to ``BLOCK_WORDS`` words of one language: the block's words with their
    counts, and the text as numbers of these words, with a gap after each piece.
-2. Words of at least ``least`` occurrences are ranked by frequency, and each block gets the ranks of
-   its own words; no dictionary is broadcast.
+2. Words are dealt to buckets by a hash, where the packed counts of all blocks are summed. Those of at
+   least ``least`` occurrences are ranked by frequency, and each block gets the ranks of its own words
+   back from the buckets; no dictionary is broadcast.
 3. In a block, neighbours are a pair of ranks. Pairs are dealt to square tiles of ranks. A tile near
    the corner of the frequent ranks that is well filled is counted by address in a dense table, all
-   others as sorted coordinates. Blocks' counts are summed over the corpus.
-4. Frequent pairs are ranked again and take the place of their first member in the blocks. Two such
+   others as sorted coordinates. A block has at most one count of a pair, dealt to buckets by a hash of
+   the pair; a bucket sums the packed counts of all blocks. Buckets grow in number with the words.
+4. Frequent pairs are ranked again, and each block gets the ranks of its own pairs back from the buckets;
+   a rank takes the place of the pair's first member in the block. Two such
    neighbours overlap in all but their ends, so pairs of pairs are three words, pairs of these four.
    A phrase that is frequent has frequent parts, so nothing is lost.
 5. A phrase keeps its ends' counts from rank to rank, so every cut is scored without counting again. A
@@ -26,9 +29,11 @@ table, or one without a frequent pair, gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -37,7 +42,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.llm.common import table
 from tidegauge.llm.divergence import Numbers
-from tidegauge.session import materialize
+from tidegauge.session import materialize, remove_folder, shared_path
 
 LEAST = 30
 MOST_WORDS = 4
@@ -46,13 +51,15 @@ TOP_PHRASES = 2000
 INSIDE_PERCENT = 80
 SCORE_UNIT = 2_000_000
 UNKNOWN_LANG = "und"
-BLOCK_WORDS = 1 << 21
+BLOCK_WORDS = 1 << 22
 #: Ranks on a tile's side, and tiles from the corner on each side that may be dense.
 TILE, DENSE_TILES = 1024, 4
 #: Pairs for each cell of a tile from which it is dense.
 FILLED = 1 / 16
-#: Pairs in one row of a block's counts.
-ROW_PAIRS = 1 << 16
+#: Places of pairs for each bucket that counts are summed in, on average.
+BUCKET_PAIRS = 1 << 21
+#: Blocks are shuffled and written once for each length of phrases, so their size counts for more than packing them.
+STREAM_LEVEL = 6
 GAP = b"."
 
 #: The characters that end a piece (fixed values) all become the gap.
@@ -65,9 +72,22 @@ def numbered(text: bytes, numbers: Numbers) -> np.ndarray:
     return np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
 
 
+def _stream(ids: np.ndarray) -> bytes:
+    """Ranks packed as the sorted ranks that occur, and the place of each among them."""
+    names, place = np.unique(ids, return_inverse=True)
+    raw = np.array([len(names)], np.int64).tobytes() + np.diff(names, prepend=0).astype(np.int64).tobytes() + place.astype(np.int32).tobytes()
+    return zstandard.ZstdCompressor(level=STREAM_LEVEL).compress(raw)
+
+
+def _streamed(data: bytes) -> np.ndarray:
+    raw = zstandard.ZstdDecompressor().decompress(data)
+    size = int(np.frombuffer(raw, np.int64, 1)[0])
+    names = np.cumsum(np.frombuffer(raw, np.int64, size, 8))
+    return names[np.frombuffer(raw, np.int32, offset=8 * (size + 1))]
+
+
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``block, lang, words, counts, ids``; the gap is word 0 of every block."""
-    pack = zstandard.ZstdCompressor(level=1)
+    """``block, lang, words, counts, data``; the gap is word 0 of every block."""
     part, made, size = TaskContext.get().partitionId(), 0, 0
     held: dict[str, tuple[Numbers, list[np.ndarray]]] = {}
 
@@ -78,8 +98,8 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts = np.bincount(ids, minlength=len(numbers))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([part << 32 | made], pa.int64()), pa.array([lang], pa.string()), pa.array([list(numbers)], pa.list_(pa.binary())),
-                 pa.array([counts], pa.list_(pa.int64())), pa.array([pack.compress(ids.tobytes())], pa.binary())],
-                ["block", "lang", "words", "counts", "ids"])
+                 pa.array([counts], pa.list_(pa.int64())), pa.array([_stream(ids)], pa.binary())],
+                ["block", "lang", "words", "counts", "data"])
             made += 1
 
     for batch in batches:
@@ -130,85 +150,204 @@ def pair_counts(ids: np.ndarray, tile: int = TILE, filled: float = FILLED) -> tu
     return names[x], names[y], n
 
 
-def _counted(renumber: Callable[[np.ndarray, pa.Table], np.ndarray]):
-    """Of a block and the ranks it gets: ``block, lang, ids`` with the ranks in place, and rows of ``x, y, n``."""
+def _packed(*columns: np.ndarray) -> bytes:
+    """Columns of equal length, sorted by the first, byte by byte: the high bytes are nearly all alike."""
+    first, *rest = columns
+    values = np.concatenate([np.diff(first, prepend=0), *rest]).astype(np.int64)
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T).tobytes())
+
+
+def _unpacked(rows: pa.ChunkedArray) -> list[np.ndarray]:
+    """The three columns of all packed rows, one after another."""
+    unpack, parts = zstandard.ZstdDecompressor(), [np.zeros((3, 0), np.int64)]
+    for row in rows:
+        planes = np.frombuffer(unpack.decompress(row.as_py()), np.uint8).reshape(8, -1)
+        part = np.ascontiguousarray(planes.T).view(np.int64).reshape(3, -1)
+        parts.append(np.vstack([np.cumsum(part[0]), part[1:]]))
+    return list(np.concatenate(parts, axis=1))
+
+
+def _bucket(x: np.ndarray, y: np.ndarray, buckets: int) -> np.ndarray:
+    mixed = (x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + y.astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93)
+    return ((mixed ^ (mixed >> np.uint64(32))) % np.uint64(buckets)).astype(np.int64)
+
+
+def _counted(renumber: Callable[[np.ndarray, pa.Table], np.ndarray], last: bool):
+    """Of a block and the ranks it gets: a row per bucket of its pair counts, and without bucket its ranks in place."""
 
     def run(blocks: pa.Table, ranks: pa.Table) -> pa.Table:
-        rows = {"block": [], "lang": [], "ids": [], "x": [], "y": [], "n": []}
+        block, lang, buckets = (blocks[c][0].as_py() if blocks.num_rows else None for c in ("block", "lang", "buckets"))
+        numbers, data = [], []
         if blocks.num_rows:
-            block, lang = blocks["block"][0].as_py(), blocks["lang"][0].as_py()
-            ids = np.frombuffer(zstandard.ZstdDecompressor().decompress(blocks["ids"][0].as_py()), np.int64)
-            ids = renumber(ids, ranks)
+            ids = renumber(_streamed(blocks["data"][0].as_py()), ranks)
             x, y, n = pair_counts(ids)
-            cuts = [(None, None, None)] + [tuple(v[at:at + ROW_PAIRS] for v in (x, y, n)) for at in range(0, len(n), ROW_PAIRS)]
-            for i, (a, b, c) in enumerate(cuts):
-                packed = zstandard.ZstdCompressor(level=1).compress(ids.tobytes()) if i == 0 else None
-                for name, value in zip(rows, (block, lang, packed, a, b, c), strict=True):
-                    rows[name].append(value)
-        longs = pa.list_(pa.int64())
-        kinds = {"block": pa.int64(), "lang": pa.string(), "ids": pa.binary(), "x": longs, "y": longs, "n": longs}
-        return pa.table({name: pa.array(values, kinds[name]) for name, values in rows.items()})
+            of = _bucket(x, y, buckets)
+            order = np.lexsort((y, x, of))
+            x, y, n, of = x[order], y[order], n[order], of[order]
+            cuts = [*np.flatnonzero(np.diff(of, prepend=-1)), len(of)]
+            for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
+                numbers.append(int(of[begin]))
+                data.append(_packed(x[begin:end], y[begin:end], n[begin:end]))
+            if not last:
+                numbers.append(None)
+                data.append(_stream(ids))
+        same = lambda value, kind: pa.array([value] * len(data), kind)
+        return pa.table({"block": same(block, pa.int64()), "lang": same(lang, pa.string()), "buckets": same(buckets, pa.int64()),
+                         "bucket": pa.array(numbers, pa.int64()), "data": pa.array(data, pa.binary())})
+
+    return run
+
+
+def _codes(names: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """One number per pair of ranks that are among the sorted ``names``, -1 for others."""
+    if not len(names):
+        return np.full(len(x), -1, np.int64)
+    i, j = (np.minimum(np.searchsorted(names, v), len(names) - 1) for v in (x, y))
+    return np.where((names[i] == x) & (names[j] == y), i * len(names) + j, -1)
+
+
+def _summed(least: int):
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        """The frequent pairs of a bucket: ``lang, x, y, bucket, a``."""
+        x, y, n = _unpacked(rows["data"])
+        codes = _codes(np.unique(np.concatenate([x, y])), x, y)
+        order = np.argsort(codes, kind="stable")
+        starts = np.flatnonzero(np.diff(codes[order], prepend=-1))
+        total = np.add.reduceat(n[order], starts) if len(starts) else n
+        often = total >= least
+        at = order[starts[often]]
+        return pa.table({"lang": pa.array([key[0].as_py()] * len(at), pa.string()), "x": x[at], "y": y[at],
+                         "bucket": pa.array([key[1].as_py()] * len(at), pa.int64()), "a": total[often]})
 
     return run
 
 
+def _placed(blocks: pa.Table, frequent: pa.Table) -> pa.Table:
+    """For each block's row of a bucket, the ranks of its frequent pairs: ``of, ranks``."""
+    fx, fy, rank = (frequent[c].to_numpy() for c in ("x", "y", "id"))
+    names = np.unique(np.concatenate([fx, fy]))
+    codes = _codes(names, fx, fy)
+    order = np.argsort(codes)
+    codes, rank = codes[order], rank[order]
+    block, data = [], []
+    for i in range(blocks.num_rows if len(rank) else 0):
+        x, y, _ = _unpacked(blocks["data"].slice(i, 1))
+        mine = _codes(names, x, y)
+        at = np.minimum(np.searchsorted(codes, mine), len(codes) - 1)
+        hit = codes[at] == mine
+        if hit.any():
+            block.append(blocks["block"][i].as_py())
+            data.append(_packed(x[hit], y[hit], rank[at[hit]]))
+    return pa.table({"of": pa.array(block, pa.int64()), "ranks": pa.array(data, pa.binary())})
+
+
+def _word_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words of each block dealt to buckets: ``block, lang, bucket, words, data``, the last their places and counts."""
+    pack = zstandard.ZstdCompressor(level=1)
+    for batch in batches:
+        for block, lang, buckets, words, counts in zip(*(batch.column(c) for c in ("block", "lang", "buckets", "words", "counts")), strict=True):
+            words, counts = words.as_py(), counts.values.to_numpy()
+            of = np.fromiter(map(crc32, words), np.int64, len(words)) % buckets.as_py()
+            of[0] = -1  # the gap is no word
+            order = np.argsort(of, kind="stable")[1:]
+            cuts = [*np.flatnonzero(np.diff(of[order], prepend=-1)), len(order)]
+            parts = [order[begin:end] for begin, end in zip(cuts[:-1], cuts[1:], strict=True)]
+            same = lambda value, kind: pa.array([value.as_py()] * len(parts), kind)  # noqa: B023, E731
+            yield pa.RecordBatch.from_arrays(
+                [same(block, pa.int64()), same(lang, pa.string()), pa.array([int(of[p[0]]) for p in parts], pa.int64()),
+                 pa.array([pack.compress(b"\n".join([words[i] for i in p])) for p in parts], pa.binary()),
+                 pa.array([_packed(p, counts[p], counts[p] * 0) for p in parts], pa.binary())],
+                ["block", "lang", "bucket", "words", "data"])
+
+
+def _words_of(rows: pa.ChunkedArray) -> pa.Array:
+    """All words of packed rows, one after another; a line end is in no word."""
+    unpack = zstandard.ZstdDecompressor()
+    return pa.array([word for row in rows for word in unpack.decompress(row.as_py()).split(b"\n")], pa.binary())
+
+
+def _summed_words(least: int):
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        """The frequent words of a bucket: ``lang, word, bucket, a``."""
+        words = _words_of(rows["words"]).dictionary_encode()
+        total = np.zeros(len(words.dictionary), np.int64)
+        np.add.at(total, words.indices.to_numpy(), _unpacked(rows["data"])[1])
+        often = np.flatnonzero(total >= least)
+        return pa.table({"lang": pa.array([key[0].as_py()] * len(often), pa.string()), "word": words.dictionary.take(pa.array(often)),
+                         "bucket": pa.array([key[1].as_py()] * len(often), pa.int64()), "a": total[often]})
+
+    return run
+
+
+def _placed_words(blocks: pa.Table, frequent: pa.Table) -> pa.Table:
+    """For each block's row of a bucket, the places and ranks of its frequent words: ``of, ranks``."""
+    known, rank = frequent["word"].combine_chunks(), frequent["id"].to_numpy()
+    block, data = [], []
+    for i in range(blocks.num_rows if len(rank) else 0):
+        found = pc.index_in(_words_of(blocks["words"].slice(i, 1)), value_set=known)
+        hit = found.is_valid().to_numpy(zero_copy_only=False)
+        if hit.any():
+            ids = rank[found.drop_null().to_numpy()]
+            block.append(blocks["block"][i].as_py())
+            data.append(_packed(_unpacked(blocks["data"].slice(i, 1))[0][hit], ids, ids * 0))
+    return pa.table({"of": pa.array(block, pa.int64()), "ranks": pa.array(data, pa.binary())})
+
+
 def _from_words(ids: np.ndarray, ranks: pa.Table) -> np.ndarray:
     known = np.full(int(ids.max(initial=0)) + 1, -1, np.int64)
-    known[ranks["at"].to_numpy()] = ranks["id"].to_numpy()
+    at, rank, _ = _unpacked(ranks["ranks"])
+    known[at] = rank
     return known[ids]
 
 
 def _from_pairs(ids: np.ndarray, ranks: pa.Table) -> np.ndarray:
     """A frequent pair's rank in the place of its first member, gaps elsewhere."""
-    x, y, rank = (ranks[c].to_numpy() for c in ("x", "y", "id"))
+    x, y, rank = _unpacked(ranks["ranks"])
     again = np.full(len(ids), -1, np.int64)
     if not len(rank):
         return again
     names = np.unique(np.concatenate([x, y]))
-    codes = np.searchsorted(names, x) * len(names) + np.searchsorted(names, y)
+    codes = _codes(names, x, y)
     order = np.argsort(codes)
     codes, rank = codes[order], rank[order]
-    place = np.minimum(np.searchsorted(names, ids), len(names) - 1)
-    place = np.where(names[place] == ids, place, -1)
-    both = np.flatnonzero((place[:-1] >= 0) & (place[1:] >= 0))
-    wanted = place[both] * len(names) + place[both + 1]
-    at = np.minimum(np.searchsorted(codes, wanted), len(codes) - 1)
-    hit = codes[at] == wanted
-    again[both[hit]] = rank[at[hit]]
+    mine = _codes(names, ids[:-1], ids[1:])
+    at = np.minimum(np.searchsorted(codes, mine), len(codes) - 1)
+    hit = np.flatnonzero(codes[at] == mine)
+    again[hit] = rank[at[hit]]
     return again
 
 
-_LEVEL = "block long, lang string, ids binary, x array<bigint>, y array<bigint>, n array<bigint>"
+_LEVEL = "block long, lang string, buckets long, bucket long, data binary"
 
 
 def ranked(counts: DataFrame, name: str, *keys: str) -> DataFrame:
-    """``counts`` (``lang, a`` and the keys) with ``id``, the rank from 0 within the language by falling ``a``.
+    """``counts`` (``lang, a`` and the keys) with ``id``, which rises with falling ``a`` within the language.
 
-    Sorted in ranges; a range's first rank comes from the sizes of those before it.
+    Rows are sorted in ranges and numbered on within each; numbers leave gaps between ranges, which a
+    block closes for its own words.
     """
     order = ["lang", F.desc("a"), *keys]
-    sorted_ = counts.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("line", F.monotonically_increasing_id())
-    sorted_ = materialize(sorted_.withColumn("range", F.spark_partition_id()), f"{name}-sorted")
-    before = W.partitionBy("lang").orderBy("range").rowsBetween(W.unboundedPreceding, -1)
-    ranges = sorted_.groupBy("lang", "range").agg(F.min("line").alias("first"), F.count(F.lit(1)).alias("lines"))
-    ranges = ranges.withColumn("earlier", F.coalesce(F.sum("lines").over(before), F.lit(0))).drop("lines")
-    placed = sorted_.join(ranges, ["lang", "range"])
-    return materialize(placed.select("lang", *keys, "a", (F.col("earlier") + F.col("line") - F.col("first")).alias("id")), name)
+    sorted_ = counts.repartitionByRange(*order).sortWithinPartitions(*order)
+    return materialize(sorted_.select("lang", *keys, "a", F.monotonically_increasing_id().alias("id")), name)
+
+
+class Step:
+    """A written table that is removed when the next step is written."""
 
+    def __init__(self, rows: DataFrame, name: str) -> None:
+        self.spark, self.path = rows.sparkSession, shared_path(rows.sparkSession, name)
+        rows.write.parquet(self.path)
+        self.rows = self.spark.read.schema(rows.schema).parquet(self.path)
 
-def _level(blocks: DataFrame, ranks: DataFrame, renumber: Callable, least: int, name: str) -> tuple[DataFrame, DataFrame]:
-    """The blocks with new ranks in place, and the frequent pairs of these: ``lang, x, y, a, id``."""
-    coded = blocks.groupBy("block").cogroup(ranks.withColumnRenamed("block", "of").groupBy("of")).applyInArrow(_counted(renumber), _LEVEL)
-    coded = materialize(coded, f"{name}-blocks")
-    pairs = coded.where("x IS NOT NULL").select("lang", F.explode(F.arrays_zip("x", "y", "n")).alias("p"))
-    counts = pairs.groupBy("lang", "p.x", "p.y").agg(F.sum("p.n").alias("a")).where(F.col("a") >= least)
-    return coded, ranked(counts, f"{name}-pairs", "x", "y")
+    def remove(self) -> None:
+        remove_folder(self.spark, self.path)
 
 
-def _pair_ranks(coded: DataFrame, frequent: DataFrame) -> DataFrame:
-    """``block, x, y, id`` of the frequent pairs that a block has."""
-    pairs = coded.where("x IS NOT NULL").select("block", "lang", F.explode(F.arrays_zip("x", "y")).alias("p"))
-    return pairs.select("block", "lang", "p.x", "p.y").join(frequent.drop("a"), ["lang", "x", "y"]).select("block", "x", "y", "id")
+def _frequent_pairs(coded: DataFrame, least: int, name: str) -> DataFrame:
+    """``lang, x, y, bucket, a, id`` from the blocks' counts."""
+    counted = coded.where("bucket IS NOT NULL").select("lang", "bucket", "data")
+    frequent = counted.groupBy("lang", "bucket").applyInArrow(_summed(least), "lang string, x long, y long, bucket long, a long")
+    return ranked(frequent, name, "x", "y", "bucket")
 
 
 def _described(frequent: DataFrame, shorter: DataFrame, name: str) -> DataFrame:
@@ -247,26 +386,38 @@ def mine(docs: DataFrame, least: int = LEAST, most_words: int = MOST_WORDS, top:
     """``lang, rank, phrase, a, l, r, n, score``: each language's ``top`` phrases."""
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN_LANG)).alias("lang"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("data"))
-    blocks = materialize(rows.mapInArrow(
-        _blocks, "block long, lang string, words array<binary>, counts array<bigint>, ids binary"), "word-blocks")
-    entries = blocks.select("block", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "w")).where("at > 0")
-    entries = entries.select("block", "lang", "at", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
-    totals = materialize(entries.groupBy("lang").agg(F.sum("n").alias("n")), "word-totals")
-    counts = entries.groupBy("lang", "word").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
-    words = ranked(counts, "ranked-words", "word")
+    read = Step(rows.mapInArrow(_blocks, "block long, lang string, words array<binary>, counts array<bigint>, data binary"), "word-blocks")
+    gap = F.get("counts", F.lit(0))
+    totals = read.rows.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda n, m: n + m) - gap).alias("n")).where("n > 0")
+    totals = materialize(totals, "word-totals")
+    blocks = read.rows.join(totals.select("lang", F.ceil(F.col("n") / BUCKET_PAIRS).alias("buckets")), "lang")
+    entries = Step(blocks.select("block", "lang", "buckets", "words", "counts").mapInArrow(
+        _word_buckets, "block long, lang string, bucket long, words binary, data binary"), "word-buckets")
+    counts = entries.rows.drop("block").groupBy("lang", "bucket").applyInArrow(
+        _summed_words(least), "lang string, word binary, bucket long, a long")
+    words = ranked(counts, "ranked-words", "word", "bucket")
 
     text = F.col("word").cast("string")
     none = F.array().cast("array<bigint>")
     shorter = words.select("lang", "id", "a", text.alias("phrase"), text.alias("last"), none.alias("begins"), none.alias("ends"))
-    ranks = entries.select("block", "lang", "at", "word").join(words.drop("a"), ["lang", "word"]).select("block", "at", "id")
-    coded, renumber = blocks.select("block", "lang", "ids"), _from_words
+    known = words.select("lang", "bucket", "word", "id")
+    ranks = entries.rows.groupBy("lang", "bucket").cogroup(known.groupBy("lang", "bucket")).applyInArrow(_placed_words, "of long, ranks binary")
+    stream, renumber, done = blocks.select("block", "lang", "buckets", "data"), _from_words, [read, entries]
     levels = []
     for size in range(2, most_words + 1):
-        coded, frequent = _level(coded, ranks, renumber, least, f"words-{size}")
+        coded = stream.groupBy("block").cogroup(ranks.groupBy("of")).applyInArrow(_counted(renumber, size == most_words), _LEVEL)
+        step = Step(coded, f"words-{size}-blocks")
+        for earlier in done:
+            earlier.remove()
+        frequent = _frequent_pairs(step.rows, least, f"words-{size}-pairs")
         shorter = _described(frequent, shorter, f"phrases-{size}")
         levels.append((size, frequent, shorter))
-        ranks, renumber = _pair_ranks(coded, frequent), _from_pairs
-        coded = coded.where("ids IS NOT NULL").select("block", "lang", "ids")
+        known = frequent.select("lang", "bucket", "x", "y", "id")
+        counted = step.rows.where("bucket IS NOT NULL").select("block", "lang", "bucket", "data")
+        ranks = counted.groupBy("lang", "bucket").cogroup(known.groupBy("lang", "bucket")).applyInArrow(_placed, "of long, ranks binary")
+        stream, renumber, done = step.rows.where("bucket IS NULL").drop("bucket"), _from_pairs, [step]
+    for step in done:
+        step.remove()
 
     found = None
     for i, (size, _, phrases) in enumerate(levels):
