@@ -26,6 +26,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidegauge.llm.common import table
+from tidegauge.session import materialize
 
 WINDOW = 128
 HIDDEN = 8
@@ -33,6 +34,8 @@ SAMPLE_DOCS = 2_000
 SAMPLE_WINDOWS = 4
 #: Texts of each label where many labels share the sample.
 LEAST_PER_LABEL = 16
+#: Texts under the hash limit for each that is wanted.
+SPARE = 4
 EPOCHS = 8
 BATCH = 128
 UNKNOWN = "und"
@@ -198,12 +201,17 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", usable:
     rows = docs.where(usable) if usable is not None else docs
     rows = rows.where(text.isNotNull() & lang.isNotNull() & text.rlike(r"\p{L}")).select(
         lang.cast("string").alias("l"), F.xxhash64(text).alias("h"), text.alias("t"))
-    labels = rows.select("l").distinct().count()
+    keys = materialize(rows.select("l", "h").distinct(), "labelled-texts")
+    counts = keys.groupBy("l").agg(F.count(F.lit(1)).alias("texts"))
+    labels = counts.count()
     if not labels:
         return None
     each = max(LEAST_PER_LABEL, limit // labels)
+    # Several times the texts wanted, by hash, so that few of a frequent label are ever sorted.
+    below = keys.join(counts, "l").where(F.shiftrightunsigned("h", 1) <= F.lit(SPARE * each * 2.0**63) / F.col("texts"))
     place = F.row_number().over(W.partitionBy("l").orderBy("h"))
-    chosen = rows.select("l", "h").distinct().withColumn("place", place).where(F.col("place") <= each).drop("place")
+    chosen = below.select("l", "h", place.alias("place")).where(F.col("place") <= each).drop("place")
+    chosen = F.broadcast(chosen)  # each * labels rows at most
     size = F.greatest(F.length("t"), F.lit(1))
     starts = [F.floor(size * i / SAMPLE_WINDOWS).cast("int") for i in range(SAMPLE_WINDOWS)]
     whole = F.length("t") <= SAMPLE_WINDOWS * WINDOW
