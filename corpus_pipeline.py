@@ -17,20 +17,26 @@ from tidegauge.llm import decontaminate, language_id, line_dedup, mixing, ngram_
 from tidegauge.llm.common import table
 from tidegauge.session import materialize
 
-#: Mean probability of the predicted language below which a document is rejected; of four even
-#: languages a text in none of them gets about 0.25 to 0.4, prose in one of them over 0.5.
-MIN_LANGUAGE_SCORE = 0.4
+#: How far the mean probability of the predicted language must lie between chance (one over the number
+#: of learned languages) and certainty: of four even languages 0.4, of two 0.6, of a hundred 0.21.
+SURE_SHARE = 0.2
 #: Near copies share this percentage of their distinct runs of so many words, or more.
 COPY_GRAM, COPY_PERCENT = 5, 80
 
 
+def least_score(languages: int) -> float:
+    """The score below which a document is rejected; with a single language to choose from none is."""
+    chance = 1 / languages
+    return chance + SURE_SHARE * (1 - chance) if languages > 1 else 0.0
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, or in no language that the network is sure of, go; without labels only the former."""
     model = language_id.fit(table(spark, sf_dir, "documents"), usable=language_id.fold() != language_id.HELD_OUT)
     if model is None:  # no labelled row: nothing can be judged but the letters
         return docs.where(F.col("text").rlike(r"\p{L}"))
     judged = language_id.predict(docs, model)
-    kept = judged.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE))
+    kept = judged.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= least_score(len(model[1]))))
     return kept.select("row.*")
 
 
