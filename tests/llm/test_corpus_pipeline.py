@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import corpus_pipeline
+import pytest
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -51,6 +52,11 @@ class TestNearCopies:
 
 
 class TestLanguage:
+    def test_limit_follows_the_number_of_languages(self):
+        limits = [corpus_pipeline.least_score(k) for k in (1, 2, 4, 100)]
+        assert limits == pytest.approx([0.0, 0.6, 0.4, 0.208])
+        assert all(1 / k < corpus_pipeline.least_score(k) < 1 for k in range(2, 2000))
+
     def test_without_labels_documents_pass_unjudged(self, spark, tmp_path):
         rows = [(1, "some text", None, "a", 9), (2, "1 2 3", None, "a", 5), (3, None, None, "a", None), (None, "ein Text", None, "b", 8)]
         docs = spark.createDataFrame(rows, DOC)
