@@ -4,13 +4,14 @@ import gzip
 import json
 
 import pytest
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import functions as F
 
 from tidegauge import session
 from tidegauge.operators.validate import ValidationError
 from tidegauge.schema import RAW_EVENT, STREAM_EVENT
 from tidegauge.sources import layers, raw, reports
+from tidegauge.streaming import archive
 from tidegauge.streaming import bronze as stream
 
 
@@ -226,6 +227,63 @@ def test_csv_steps_in_for_a_missing_connector_or_an_empty_topic(spark, events, t
     assert layers.read_bronze(spark, lake).filter("_source = 'kafka_consumer'").first().latency_ms == 2.5
 
 
+def archived(spark, path, sizes, first=0):
+    """Events in partitions of the given sizes, offsets from ``first`` in steps of two (a compacted topic)."""
+    rows = [(p, first + 2 * i, "search", event(1000 * p + first + 2 * i), None) for p, n in enumerate(sizes) for i in range(n)]
+    archive.write_archive(spark.createDataFrame(rows, archive.MESSAGES), path)
+
+
+def test_archived_topic_is_replayed_once(spark, tmp_path):
+    path, lake, checkpoint = str(tmp_path / "topic"), str(tmp_path / "lake"), str(tmp_path / "cp")
+    archived(spark, path, [60, 0, 7])
+    assert stream.stream_bronze_sink(archive.archive_source(spark, path), lake, checkpoint)
+    assert not stream.stream_bronze_sink(archive.archive_source(spark, path), lake, checkpoint)
+    archived(spark, path, [5, 4, 0], first=500)
+    assert stream.stream_bronze_sink(archive.archive_source(spark, path), lake, checkpoint)
+    rows = layers.read_bronze_stream(spark, lake)
+    assert rows.count() == 76 and rows.select("event_id").distinct().count() == 76
+
+
+def test_a_failed_batch_is_replayed_with_its_offsets(spark, tmp_path):
+    path, lake, checkpoint = str(tmp_path / "topic"), str(tmp_path / "lake"), str(tmp_path / "cp")
+    position = tmp_path / "cp" / archive.POSITION
+    archived(spark, path, [60, 30, 7])
+    source = lambda: archive.archive_source(spark, path, 60, checkpoint)
+    assert stream.stream_bronze_sink(source(), lake, checkpoint)
+    done = layers.read_bronze_stream(spark, lake).count()
+    assert 0 < done <= 60
+    planned = json.loads(position.read_text())
+    broken = source().withColumn("value", F.when(F.col("partition") == 0, F.raise_error(F.lit("lost"))).otherwise(F.col("value")))
+    with pytest.raises(StreamingQueryException):
+        stream.stream_bronze_sink(broken, lake, checkpoint)
+    assert layers.read_bronze_stream(spark, lake).count() == done
+    tried = json.loads(position.read_text())
+    assert all(tried[p] >= planned[p] for p in planned) and tried != planned
+    counts = []
+    while stream.stream_bronze_sink(source(), lake, checkpoint):
+        counts.append(layers.read_bronze_stream(spark, lake).count())
+        assert len(counts) < 20
+    steps = [b - a for a, b in zip([done, *counts], counts)]
+    rows = layers.read_bronze_stream(spark, lake)
+    assert rows.count() == 97 and rows.select("event_id").distinct().count() == 97
+    assert all(0 < step <= 120 for step in steps)  # a restart runs the failed batch and at most one more
+
+
+def test_an_empty_archive_and_the_bound(spark, tmp_path):
+    path, lake, checkpoint = str(tmp_path / "topic"), str(tmp_path / "lake"), str(tmp_path / "cp")
+    with pytest.raises(ValueError, match="checkpoint"):
+        archive.archive_source(spark, path, 3)
+    archived(spark, path, [0])
+    assert not stream.stream_bronze_sink(archive.archive_source(spark, path, 3, checkpoint), lake, checkpoint)
+    options = {"path": path, "max_messages": "10", "checkpoint": str(tmp_path / "fresh")}
+    archived(spark, path, [100, 2, 0, 30], first=1000)
+    reader = archive.ArchiveReader(options)
+    assert reader.latestOffset() == {"1": 1003, "3": 1004, "0": 1003}  # 3, 4 and 3 offsets
+    (tmp_path / "fresh" / "offsets").mkdir(parents=True)
+    with pytest.raises(ValueError, match="without max_messages"):
+        archive.ArchiveReader(options)
+
+
 def test_shared_folder_is_required_on_a_cluster(spark, monkeypatch):
     class Conf:
         def get(self, key, default=None):

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from functools import lru_cache, reduce
 from operator import add
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +22,7 @@ from tidegauge.schema import RAW_EVENT, RISK_FEATURES, STREAM_EVENT
 from tidegauge.session import configure, materialize, shared_path
 from tidegauge.sources import layers, raw, reports
 from tidegauge.sources.telemetry import DRIFT_SPLIT, keyed_events, raw_text, telemetry
+from tidegauge.streaming import archive
 from tidegauge.streaming import bronze as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -680,7 +682,7 @@ def event_json(spark: SparkSession, sf_dir: str, streaming: bool) -> DataFrame:
         F.lit("3.1.0").alias("app_version"),
     )
     text = F.to_json(event, {"ignoreNullFields": "false"})
-    return events.select(F.when(k == 13, F.lit('{"event_id": "cut')).otherwise(text).alias("value"))
+    return events.select("event_id", "event_type", F.when(k == 13, F.lit('{"event_id": "cut')).otherwise(text).alias("value"))
 
 
 @query
@@ -695,6 +697,10 @@ def stream_bronze_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake, checkpoint = shared_path(spark, "lake"), shared_path(spark, "stream-checkpoint")
     for _ in range(2):
         stream.stream_bronze_sink(event_json(spark, sf_dir, streaming=True), lake, checkpoint)
+    return streamed(spark, lake)
+
+
+def streamed(spark: SparkSession, lake: str) -> DataFrame:
     rows = layers.read_bronze_stream(spark, lake)
     same_day = (F.col("_partition_date") == F.col("date")) & (F.substring("_ingested_at", 1, 10) == F.col("date"))
     return rows.groupBy("feature_name", "_source").agg(
@@ -706,6 +712,31 @@ def stream_bronze_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def archive_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table as an archived topic of four partitions, replayed into Bronze: a run bounded to half of
+    the messages, a run that fails within its batch, and runs from its checkpoint until nothing is left."""
+    path, lake, checkpoint = (shared_path(spark, name) for name in ("topic", "lake", "stream-checkpoint"))
+    messages = event_json(spark, sf_dir, streaming=False).select(
+        (F.col("event_id") % 4).cast("int").alias("partition"), F.floor(F.col("event_id") / 4).alias("offset"),
+        F.col("event_type").alias("key"), "value", F.lit(None).cast("timestamp").alias("timestamp"))
+    archive.write_archive(messages, path)
+    half = (spark.read.parquet(path).count() + 1) // 2
+    source = lambda: archive.archive_source(spark, path, half, checkpoint)
+    stream.stream_bronze_sink(source(), lake, checkpoint)
+    first_run = layers.read_bronze_stream(spark, lake).count()
+    lost = F.when(F.col("partition") == 3, F.raise_error(F.lit("planted failure"))).otherwise(F.col("value"))
+    try:
+        stream.stream_bronze_sink(source().withColumn("value", lost), lake, checkpoint)
+    except StreamingQueryException:
+        pass
+    after_failure = layers.read_bronze_stream(spark, lake).count()
+    while stream.stream_bronze_sink(source(), lake, checkpoint):
+        pass
+    return streamed(spark, lake).withColumns({
+        "first_run": F.lit(first_run).cast("long"), "after_failure": F.lit(after_failure).cast("long")})
+
+
 @query
 def csv_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, lake = shared_path(spark, "raw-csv"), shared_path(spark, "lake")

@@ -654,11 +654,14 @@ _cut_text = '{"event_id": "cut'
 SQL["kafka_read_bronze"] = with_(STREAM, f"""
 SELECT * EXCLUDE (cut), CAST(NULL AS VARCHAR) AS _corrupt_record FROM stream WHERE NOT cut
 UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, '{_cut_text}' FROM stream WHERE cut""")
-SQL["stream_bronze_sink"] = with_(STREAM, """
+STREAMED = """
 SELECT CASE WHEN cut THEN NULL ELSE feature_name END AS feature_name, 'kafka_consumer' AS _source, COUNT(*) AS rows,
        COUNT(CASE WHEN cut THEN 1 END) AS corrupt, COUNT(CASE WHEN NOT cut THEN 1 END) AS event_ids,
-       ROUND(SUM(CASE WHEN NOT cut THEN latency_ms END), 2) AS latency_sum, CAST(0 AS BIGINT) AS other_day
-FROM stream GROUP BY 1""")
+       ROUND(SUM(CASE WHEN NOT cut THEN latency_ms END), 2) AS latency_sum, CAST(0 AS BIGINT) AS other_day{further}
+FROM stream GROUP BY 1"""
+SQL["stream_bronze_sink"] = with_(STREAM, STREAMED.format(further=""))
+SQL["archive_replay"] = with_(STREAM, STREAMED.format(further=""",
+       (SELECT (COUNT(*) + 1) // 2 FROM stream) AS first_run, (SELECT (COUNT(*) + 1) // 2 FROM stream) AS after_failure"""))
 SQL["csv_fallback"] = with_(TELEMETRY, f"SELECT {RAW_ROWS}, 'bronze' AS _layer FROM telemetry")
 SQL["kafka_write_keyed"] = with_(STREAM, """
 SELECT feature_name AS key, CAST(to_json({event_id: event_id, user_id: user_id, feature_name: feature_name, session_duration: session_duration,
