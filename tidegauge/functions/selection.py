@@ -179,21 +179,22 @@ def _narrow(rows: DataFrame, narrowing: list[tuple[_Search, Any, Any]]) -> None:
 
 def exact_quantiles(
     df: DataFrame,
-    wanted: Mapping[str, Sequence[float]],
-    expressions: Mapping[str, Column] | None = None,
-    counts: Mapping[str, int] | None = None,
-) -> dict[str, list[float | None]]:
+    wanted: Mapping[Any, Sequence[float]],
+    expressions: Mapping[Any, Column] | None = None,
+    counts: Mapping[Any, int] | None = None,
+) -> dict[Any, list[float | None]]:
     """Linearly interpolated quantiles per name; nulls and NaN are skipped, none left gives None.
 
-    A name is a column of ``df`` unless ``expressions`` defines it. A caller that knows how many
+    A name is a column of ``df``, or any key that ``expressions`` defines. A caller that knows how many
     values are neither null nor NaN passes these ``counts`` and saves a pass.
     """
-    source = {c: (expressions or {}).get(c, F.col(c)).cast("double") for c in wanted}
+    source = {c: (expressions[c] if c in (expressions or {}) else F.col(c)).cast("double") for c in wanted}
     names = {c: f"v{i}" for i, c in enumerate(wanted)}
     clean = df.select([F.nanvl(value, F.lit(None)).alias(names[c]) for c, value in source.items()])
     requests: list[tuple[str, int, int]] = []
     with scratch(clean, "ranked-values") as values:
-        counted = counts or values.agg(*[F.count(name).alias(c) for c, name in names.items()]).first().asDict()
+        seen = None if counts else values.agg(*[F.count(name) for name in names.values()]).first()
+        counted = counts or dict(zip(names, seen))
         for column, shares in wanted.items():
             count = counted[column]
             if count:
@@ -201,7 +202,7 @@ def exact_quantiles(
                     position = share * (count - 1)
                     requests += [(names[column], rank, count) for rank in (math.floor(position), math.ceil(position))]
         answers = iter(_ranked(values, requests, set()))
-    result: dict[str, list[float | None]] = {}
+    result: dict[Any, list[float | None]] = {}
     for column, shares in wanted.items():
         count = counted[column]
         result[column] = []

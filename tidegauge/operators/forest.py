@@ -25,6 +25,7 @@ from tidegauge.operators import evaluate
 from tidegauge.operators.risk import (
     RiskConfig,
     robust_scaling,
+    robust_scalings,
     row_order,
     stratified_folds,
     stratified_split,
@@ -70,18 +71,23 @@ def _clean_and_scale(scaling: dict[str, tuple[float, float]]) -> SQLTransformer:
     return SQLTransformer(statement=f"SELECT *, {columns} FROM __THIS__")
 
 
-def _cleaned(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.select([finite_or_zero(F.col(c)).alias(c) for c in columns])
+def _cleaned(df: DataFrame, columns: Sequence[str], *kept: str) -> DataFrame:
+    return df.select(*kept, *[finite_or_zero(F.col(c)).alias(c) for c in columns])
 
 
-def fit_forest(train: DataFrame, config: RiskConfig, features: Sequence[str]) -> PipelineModel:
+def fit_forest(
+    train: DataFrame,
+    config: RiskConfig,
+    features: Sequence[str],
+    scaling: dict[str, tuple[float, float]] | None = None,
+) -> PipelineModel:
     """Fit clean → scale → assemble → forest as one savable pipeline, with balanced classes.
 
     ``train`` is read by several jobs, so pass a written table. Its partitions decide the
-    bootstrap draws.
+    bootstrap draws. ``scaling`` is that of ``train`` where it is known.
     """
     ensure_checkpoint_dir(train.sparkSession)
-    scaling = robust_scaling(_cleaned(train, features), tuple(features))
+    scaling = scaling or robust_scaling(_cleaned(train, features), tuple(features))
     forest = _Forest(
         featuresCol="risk_features", labelCol=config.label, weightCol="class_weight",
         numTrees=config.trees, maxDepth=config.depth, minInstancesPerNode=config.min_leaf, seed=config.seed,
@@ -182,8 +188,12 @@ def cv_auc(
     order = row_order(config.seed + 1, *keys)
     folded = materialize(stratified_folds(labelled, config.label, order, config.folds), "risk-folds")
 
+    # The quartiles of every fold's training rows are found together.
+    parts = {str(fold): F.col("fold") != fold for fold in range(config.folds)}
+    scalings = robust_scalings(_cleaned(folded, features, "fold"), parts, tuple(features))
+
     def held_out(fold: int) -> DataFrame:
-        model = fit_forest(folded.filter(F.col("fold") != fold), config, features)
+        model = fit_forest(folded.filter(F.col("fold") != fold), config, features, scalings[str(fold)])
         return score_rows(folded.filter(F.col("fold") == fold), model).select(
             "fold", F.col(config.label).alias("label"), F.col("risk_probability").alias("score")
         )

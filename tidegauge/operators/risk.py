@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -81,12 +82,20 @@ def clean_features(df: DataFrame, columns: tuple[str, ...] = tuple(RISK_FEATURES
 
 def robust_scaling(df: DataFrame, columns: tuple[str, ...] = tuple(RISK_FEATURES)) -> dict[str, tuple[float, float]]:
     """Median and interquartile range per column; a range of 0 counts as 1."""
-    found = exact_quantiles(df, {c: [0.25, 0.5, 0.75] for c in columns})
-    scaling = {}
-    for name, (lower, median, upper) in found.items():
+    return robust_scalings(df, {"all": F.lit(True)}, columns)["all"]
+
+
+def robust_scalings(
+    df: DataFrame, parts: Mapping[str, Column], columns: tuple[str, ...] = tuple(RISK_FEATURES)
+) -> dict[str, dict[str, tuple[float, float]]]:
+    """``robust_scaling`` of several parts of the rows, each given by a condition, in one rank search."""
+    values = {(part, c): F.when(rows, F.col(c)) for part, rows in parts.items() for c in columns}
+    found = exact_quantiles(df, {name: [0.25, 0.5, 0.75] for name in values}, values)
+    scalings: dict[str, dict[str, tuple[float, float]]] = {part: {} for part in parts}
+    for (part, name), (lower, median, upper) in found.items():
         spread = (upper or 0.0) - (lower or 0.0)
-        scaling[name] = (median or 0.0, spread if spread else 1.0)
-    return scaling
+        scalings[part][name] = (median or 0.0, spread if spread else 1.0)
+    return scalings
 
 
 def robust_scale(df: DataFrame, scaling: dict[str, tuple[float, float]]) -> DataFrame:
