@@ -14,7 +14,7 @@ can only add candidates, and the verification compares exactly.
 
 Defined cases: null and empty texts have no words and no hits; items without words have no window;
 repeated items (id and text) count once; an item id with several texts counts once per document;
-rows equal in document id and text are one document; empty tables give no hits or no rows.
+an item without an id hits words and contaminates, but has no name to be counted or listed by; rows equal in document id and text are one document; empty tables give no hits or no rows.
 """
 
 from __future__ import annotations

@@ -60,13 +60,16 @@ def _offset(source: Column, seed: int) -> Column:
 
 
 def copies(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = 1.5, cap: float = 2.0,
-           seed: int = 1, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """``doc_id, text_hash, source, size, source_size, target, rank, copies``, a row per input row."""
+           seed: int = 1, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+           further: Sequence[str] = ()) -> DataFrame:
+    """``doc_id, text_hash, source, size, source_size, target, rank, copies`` and the ``further`` columns, which
+    also order rows that agree in all else; a row per input row."""
     small = docs.select(
+        *further,
         F.col(id_col).alias("doc_id"), text_hash(F.col(text_col)).alias("text_hash"), F.col(source_col).alias("source"),
         F.size(blank_words(F.col(text_col))).cast("long").alias("size"),
     )
-    order = [F.col("source").asc_nulls_last(), F.col("size"), F.col("doc_id"), F.col("text_hash")]
+    order = [F.col("source").asc_nulls_last(), F.col("size"), F.col("doc_id"), F.col("text_hash"), *[F.col(c) for c in further]]
     ranged = materialize(small.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "mix-ranged")
     counts = materialize(ranged.groupBy("source", "part").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("words")), "mix-counts")
     sizes = counts.groupBy("source").agg(F.sum("words").alias("source_size"))
@@ -79,14 +82,14 @@ def copies(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = 1
         .join(targets.alias("t"), F.col("c.source").eqNullSafe(F.col("t.source")))
         .select("c.source", "c.part", "offset", "source_size", "target", rate.alias("rate"))
     )
-    within = W.partitionBy("r.source", "r.part").orderBy("size", "doc_id", "text_hash")
+    within = W.partitionBy("r.source", "r.part").orderBy("size", "doc_id", "text_hash", *further)
     ranked = (
         ranged.alias("r").join(parts.alias("p"), F.col("r.source").eqNullSafe(F.col("p.source")) & (F.col("r.part") == F.col("p.part")))
         .withColumn("rank", F.col("offset") + F.row_number().over(within))
     )
     edge = lambda rank: F.shiftright(rank * F.col("rate") + _offset(F.col("r.source"), seed), FIXED_POINT_BITS)
     return ranked.select(
-        "doc_id", "text_hash", F.col("r.source").alias("source"), "size", "source_size", "target", "rank",
+        *further, "doc_id", "text_hash", F.col("r.source").alias("source"), "size", "source_size", "target", "rank",
         (edge(F.col("rank")) - edge(F.col("rank") - 1)).alias("copies"),
     )
 
@@ -94,18 +97,14 @@ def copies(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = 1
 def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = 1.5, cap: float = 2.0, seed: int = 1) -> DataFrame:
     """The mixed corpus: each document's columns and ``copy`` (from 1), once per copy.
 
-    Rows that repeat an id and text share their copies' total: each takes its turn in rank order.
+    Rows are numbered where they lie, in a written table, so a row that fills a third of the corpus
+    meets its copies by as many different numbers, and whole texts move once.
     """
-    turn = W.partitionBy("doc_id", "text_hash", "source").orderBy("rank")
-    taken = copies(docs, weights, share, cap, seed).where("copies > 0")
-    taken = taken.withColumn("turn", F.row_number().over(turn))
-    text = text_hash(F.col("text"))
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), text.alias("hash"), F.col("source").alias("src"))
-    rows = rows.withColumn("turn", F.row_number().over(W.partitionBy("id", "hash", "src").orderBy(F.lit(0))))
-    joined = rows.alias("d").join(
-        taken.alias("t"), F.col("d.id").eqNullSafe(F.col("t.doc_id")) & (F.col("d.hash") == F.col("t.text_hash"))
-        & F.col("d.src").eqNullSafe(F.col("t.source")) & (F.col("d.turn") == F.col("t.turn")))
-    each = joined.select("d.row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy_number"))
+    rows = docs.select(F.struct("*").alias("row")).withColumn("number", F.monotonically_increasing_id())
+    rows = materialize(rows, "mix-rows")
+    plain = rows.select("number", "row.doc_id", "row.text", "row.source")
+    taken = copies(plain, weights, share, cap, seed, further=["number"]).where("copies > 0").select("number", "copies")
+    each = rows.join(taken, "number").select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy_number"))
     name = "copy"
     while name in docs.columns:
         name = "_" + name
