@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.llm import decontaminate, language_id, line_dedup, mixing, ngram_join
 from tidegauge.llm.common import table
-from tidegauge.session import materialize
+from tidegauge.session import remove_folder, shared_path
 
 #: How far the mean probability of the predicted language must lie between chance (one over the number
 #: of learned languages) and certainty: of four even languages 0.4, of two 0.6, of a hundred 0.21.
@@ -85,8 +85,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written below the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``, each written below the shared folder and read again.
+
+    A stage's table is removed when the next one is written.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        kept = stage(spark, docs, sf_dir)
+        path = shared_path(spark, f"pipeline-{name}")
+        kept.write.parquet(path)
+        docs = spark.read.schema(kept.schema).parquet(path)
+        if before:
+            remove_folder(spark, before)
+        before = path
     return docs
