@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import gzip
 import json
+from datetime import datetime
 
 import pytest
 from pyspark.errors import AnalysisException, StreamingQueryException
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidegauge import session
 from tidegauge.operators.validate import ValidationError
+from tidegauge.plans import catalog
 from tidegauge.schema import RAW_EVENT, STREAM_EVENT
 from tidegauge.sources import layers, raw, reports
 from tidegauge.streaming import archive
@@ -166,6 +168,27 @@ def test_inventory_takes_few_tasks(spark, tmp_path, monkeypatch):
     assert found == {"bronze": (40, pytest.approx(size / 1e6)), "silver": (0, 0.0), "gold": (0, 0.0)}
 
 
+def test_inventory_loads_are_prepared_before_their_one_writer(spark, tmp_path, monkeypatch):
+    """The single writing task of a load parses nothing and makes no text; all rows are in every file."""
+    rows = [(i, datetime(2024, 1, 1 + i % 5), i % 3, "view" if i % 4 else None, i / 4, f'{{"k": {i}}}' if i % 7 else None) for i in range(60)]
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(rows, schema).repartition(4).write.parquet(str(tmp_path / "events.parquet"))
+    loads = []
+
+    def watched(write):
+        def run(df, lake, *rest):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            loads.append((write.__name__, df.rdd.getNumPartitions(), df.count(), "get_json_object" in plan, "cast(" in plan))
+            write(df, lake, *rest)
+        return run
+
+    monkeypatch.setattr(layers, "bronze_append", watched(layers.bronze_append))
+    monkeypatch.setattr(layers, "silver_overwrite", watched(layers.silver_overwrite))
+    found = {tuple(r) for r in catalog.layer_inventory(spark, str(tmp_path)).collect()}
+    assert found == {("bronze", 3, True), ("silver", 2, True), ("gold", 0, True)}
+    assert sorted(loads) == [("bronze_append", 1, 60, False, False)] * 3 + [("silver_overwrite", 1, 60, False, False)] * 2
+
+
 def test_report_keeps_nulls(spark, tmp_path):
     path = str(tmp_path / "report")
     reports.json_report_sink(spark.createDataFrame([(1, None)], "a int, b string"), path)
