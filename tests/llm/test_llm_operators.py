@@ -6,9 +6,11 @@ import base64
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -114,6 +116,53 @@ class TestSuffixDedup:
             same = text[a:a + 20] == text[b:b + 20]
             assert rank[a] == rank[b] if same else rank[a] < rank[b]
 
+    @pytest.mark.parametrize("step", [1, 3, 1 << 16])
+    def test_matches_by_cuts(self, monkeypatch, step):
+        monkeypatch.setattr(suffix_dedup, "STEP", step)
+        rnd = random.Random(8)
+        for length in (1, 2, 7, 8, 9, 25, 60):
+            for letters in ("a", "ab", "abcdef\0"):
+                texts = ["".join(rnd.choice(letters) for _ in range(rnd.randint(length, 3 * length))).encode() for _ in range(6)]
+                texts += [texts[0] + texts[1], texts[0]]
+                windows = [[t[p:p + length] for p in range(len(t) - length + 1)] for t in texts]
+                flat = [w for ws in windows for w in ws]
+                seen, left, got = Counter(), Counter(flat), suffix_dedup.matches(texts, length)
+                for ws, (earlier, later) in zip(windows, got, strict=True):
+                    for w, before, after in zip(ws, earlier, later, strict=True):
+                        left[w] -= 1
+                        assert (before, after) == (seen[w] > 0, left[w] > 0)
+                        seen[w] += 1
+
+    @pytest.mark.parametrize("letters", [b"abcdefgh ", b"ab"])
+    def test_memory_of_suffix_order(self, letters):
+        rnd = np.random.default_rng(4)
+        part = rnd.choice(np.frombuffer(letters, np.uint8), 1000)
+        texts = [np.concatenate([part, rnd.choice(part, 500)]).tobytes() for _ in range(600)]
+        tracemalloc.start()
+        found = suffix_dedup.matches(texts, 400)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        # The shared part has 601 windows, and all of its copies match.
+        assert all(f.sum() >= 601 for _, f in found[:-1]) and found[0][0].sum() == 0
+        assert peak < 40 * sum(map(len, texts))
+
+    def test_group_in_several_arrays(self, monkeypatch):
+        monkeypatch.setattr(suffix_dedup, "ARRAY_BYTES", 200_000)
+        rnd = np.random.default_rng(6)
+        part = rnd.integers(97, 123, 3000).astype(np.uint8).tobytes()
+        rows = [{"id": i % 50, "hash": i, "start": 0, "h": i % 10 - 5, "c1": i, "c2": -i, "m": 1 + (i == 7), "bytes": 0,
+                 "text": part + rnd.integers(97, 123, 1000).astype(np.uint8).tobytes()} for i in range(500)]
+        rows = pa.Table.from_pylist([*rows, rows[9]])
+        tracemalloc.start()
+        got = {r["c1"]: r for r in suffix_dedup._suffix_arrays(400)(rows).to_pylist()}
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert len(got) == 500 and peak < 20 * 2_000_000
+        # Each minimizer's texts match each other in the common part; its first text by place has no earlier match.
+        assert all(r["everywhere"][0] == 0 and r["everywhere"][1] >= 3000 for r in got.values()) and got[7]["everywhere"] == [0, 4000]
+        firsts = {min(i for i in range(500) if i % 50 == k) for k in range(10)}
+        assert all((r["again"] == []) == (c in firsts) for c, r in got.items())
+
     def test_odd_rows(self, odd, empty):
         rows = suffix_dedup.dedup(clashing(odd).drop("id", "hash")).collect()
         assert len(rows) == len(ODD)
