@@ -342,6 +342,34 @@ class TestNgramJoin:
                 largest = frame.join(sizes, "node").groupBy("center", "part").agg(F.sum("b").alias("b")).agg(F.max("b")).first()[0]
                 assert (largest or 0) < 2 * bytes_
 
+    def test_sets_apart_are_not_walked(self, monkeypatch):
+        """Sets that share too little are never compared token by token, however many a tree holds."""
+        rnd, calls, search = random.Random(8), [], np.searchsorted
+        sets = [np.array(sorted(rnd.sample(range(3000), 20)), np.uint64) for _ in range(300)]
+        sets += [np.array(sorted({*range(5000, 5050), 6000 + i}), np.uint64) for i in range(12)]
+        monkeypatch.setattr(np, "searchsorted", lambda *a, **k: (calls.append(1), search(*a, **k))[1])
+        assert len(ngram_join.trie_links(sets)) == 11
+        assert len(calls) < len(sets)
+
+    def test_sets_apart_in_many_buckets_meet_once(self, spark, monkeypatch):
+        """Texts of many common passages in other choices share most of their buckets and are sent once, not once per bucket."""
+        rnd, written, bytes_ = random.Random(4), {}, 400_000
+        passages = [[" ".join(f"p{k}o{o}w{i}" for i in range(6)) for o in range(2)] for k in range(100)]
+        rows = [(i, " ".join(rnd.choice(options) for options in passages)) for i in range(120)]
+        rows.append((len(rows), rows[7][1] + " end"))
+        write = ngram_join.materialize
+
+        def spy(frame, name):
+            written[name] = write(frame, name)
+            return written[name]
+
+        monkeypatch.setattr(ngram_join, "materialize", spy)
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+        got = {r["id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.classes(docs, group_bytes=bytes_).collect()}
+        assert got == self.brute(rows)
+        sent = written["block-rows"].agg(F.sum("n")).first()[0]
+        assert sent < 50 * sum(n for n, _ in got.values())
+
     def test_blocks_hold_every_pair_apart(self, spark):
         rnd = random.Random(6)
         rows = [(c, 100 * c + i, 20, rnd.randrange(4), False) for c in range(3) for i in range(60)]

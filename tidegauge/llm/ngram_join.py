@@ -13,14 +13,17 @@ token of their prefixes, so:
    collapse, so that near copies meet once and not once per token;
 3. a group's sets are fetched into a prefix tree of ordered tokens. A query walks it sharing the
    overlap of common paths and leaves a subtree when the tokens that remain cannot reach the bound.
+   It only enters subtrees with a set whose prefix has enough in common with its own, counted
+   for all sets of the tree at once.
    Sets that are linked already are not compared again: a group gives a spanning forest of its
    links, never all pairs;
 4. a group of more than ``group_bytes`` is dealt to several trees, each with the leader; after the
    components so far are known, the sets of its buckets that are still apart meet again. Of two sets
    that link, the bucket of their first common token has both at places from which enough tokens
    follow; that bounds the size of a set's partners, so a bucket is split into cells by size that
-   hold a smaller and a larger set each. Cells of more than ``group_bytes`` are compared block by
-   block, every tree within that bound; pairs are never written;
+   hold a smaller and a larger set each. Sets that share many buckets meet in one cell for all
+   buckets of a leader and size class where that sends fewer bytes. Cells of more than
+   ``group_bytes`` are compared block by block, every tree within that bound; pairs are never written;
 5. components of the links, by alternating stars, give each document its class.
 
 Joins read written tables, so adaptive execution can split hot keys. The driver holds the 2**16
@@ -35,12 +38,13 @@ from __future__ import annotations
 
 import hashlib
 import math
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.llm.common import table, text_hash
@@ -170,11 +174,47 @@ def _sets(ranks: np.ndarray, gram: int, percent: int):
     return run
 
 
+def _partners(sets: list[np.ndarray], percent: int):
+    """A function of ``i``: the places above ``i`` in ``sets``, ascending, that may link with it.
+
+    Two sets that link have at least ``percent`` of either in common, so the first common token is in both
+    prefixes. What the prefix that ends first does not share, or what follows it, bounds the overlap.
+    """
+    if len(sets) <= FEW:
+        return lambda i: range(i + 1, len(sets))
+    none = np.full(1, np.iinfo(np.uint64).max, np.uint64)  # stands for the token that empty sets share
+    prefixes = [s[:len(s) - -(-percent * len(s) // 100) + 1] if len(s) else none for s in sets]
+    sizes, final = np.array([len(s) for s in sets]), np.array([p[-1] for p in prefixes], np.uint64)
+    ends = np.cumsum([0, *map(len, prefixes)])
+    rest = sizes - np.diff(ends)
+    tokens = np.concatenate(prefixes)
+    order = np.argsort(tokens, kind="stable")  # a token's places ascend
+    owners = np.repeat(np.arange(len(sets)), np.diff(ends))[order]
+    last = np.flatnonzero(np.concatenate([tokens[order][1:] != tokens[order][:-1], [True]])) + 1
+    after, stop = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
+    after[order] = np.arange(1, len(order) + 1)
+    stop[order] = np.repeat(last, np.diff(last, prepend=0))
+
+    def above(i: int) -> list[int]:
+        begin, end = after[ends[i]:ends[i + 1]], stop[ends[i]:ends[i + 1]]
+        counts = end - begin
+        met = np.bincount(owners[np.repeat(end - np.cumsum(counts), counts) + np.arange(counts.sum())])
+        j = np.flatnonzero(met)
+        need = -(-percent * (sizes[i] + sizes[j]) // (100 + percent))
+        able = met[j] + np.where(final[i] <= final[j], rest[i], rest[j]) >= need
+        return j[able & (100 * np.minimum(sizes[i], sizes[j]) >= percent * np.maximum(sizes[i], sizes[j]))].tolist()
+
+    return above
+
+
 def trie_links(sets: list[np.ndarray], percent: int = PERCENT, known: list | None = None) -> list[tuple[int, int]]:
     """A spanning forest of the links among ``sets`` (ordered tokens), by one walk of their tree per set.
 
-    Sets of equal ``known`` (not None) are linked already.
+    Sets of equal ``known`` (not None) are linked already. A walk only enters subtrees that hold a set
+    whose prefix has enough in common with the query's.
     """
+    if not sets:
+        return []
     order = sorted(range(len(sets)), key=lambda i: sets[i].astype(">u8").tobytes())
     ordered = [sets[i] for i in order]
     sizes = np.array([len(s) for s in ordered])
@@ -183,17 +223,17 @@ def trie_links(sets: list[np.ndarray], percent: int = PERCENT, known: list | Non
         m = min(len(a), len(b))
         differ = np.flatnonzero(a[:m] != b[:m])
         shared.append(int(differ[0]) if len(differ) else m)
-    nodes: dict[tuple[int, int], tuple[int, list[tuple[int, int]], int, int]] = {}
+    nodes: dict[tuple[int, int], tuple[int, list[int], int, int]] = {}
 
-    def node(lo: int, hi: int) -> tuple[int, list[tuple[int, int]], int, int]:
-        """Of the sets from ``lo`` to ``hi``: depth to which their paths agree, subtrees, least and largest size."""
+    def node(lo: int, hi: int) -> tuple[int, list[int], int, int]:
+        """Of the sets from ``lo`` to ``hi``: depth to which their paths agree, cuts between subtrees, least and largest size."""
         if (lo, hi) not in nodes:
             if hi - lo == 1:
                 nodes[lo, hi] = (int(sizes[lo]), [], int(sizes[lo]), int(sizes[lo]))
             else:
                 depth = min(shared[lo:hi - 1])
                 cuts = [lo, *(i + 1 for i in range(lo, hi - 1) if shared[i] == depth), hi]
-                nodes[lo, hi] = (depth, list(zip(cuts[:-1], cuts[1:], strict=True)), int(sizes[lo:hi].min()), int(sizes[lo:hi].max()))
+                nodes[lo, hi] = (depth, cuts, int(sizes[lo:hi].min()), int(sizes[lo:hi].max()))
         return nodes[lo, hi]
 
     parent = list(range(len(ordered)))
@@ -208,17 +248,19 @@ def trie_links(sets: list[np.ndarray], percent: int = PERCENT, known: list | Non
     for i, j in enumerate(order if known else []):
         if known[j] is not None:
             parent[i] = first.setdefault(known[j], i)
-    links, roots = [], len({find(i) for i in range(len(ordered))})
+    links, roots, partners = [], len({find(i) for i in range(len(ordered))}), _partners(ordered, percent)
     for i, query in enumerate(ordered):
         size = len(query)
         if roots == 1:
             break
-        stack = [(i + 1, len(ordered), 0, 0, 0)] if i + 1 < len(ordered) else []
+        root = find(i)
+        asked = [j for j in partners(i) if find(j) != root]
+        stack = [(0, len(ordered), 0, 0, 0, 0, len(asked))] if asked else []
         while stack:
-            lo, hi, depth, overlap, passed = stack.pop()
+            lo, hi, depth, overlap, passed, begin, end = stack.pop()
             if hi - lo == 1 and find(lo) == find(i):
                 continue
-            deep, below, least, most = node(lo, hi)
+            deep, cuts, least, most = node(lo, hi)
             low, high = max(least, -(-percent * size // 100)), min(most, size * 100 // percent)
             need = -(-percent * (size + low) // (100 + percent))
             if low > high or overlap + min(size - passed, high - depth) < need:
@@ -238,7 +280,11 @@ def trie_links(sets: list[np.ndarray], percent: int = PERCENT, known: list | Non
                     roots -= 1
                     links.append((order[i], order[lo]))
             else:
-                stack += [(a, b, deep, overlap, passed) for a, b in below]
+                while begin < end:
+                    k = bisect_right(cuts, asked[begin])
+                    stop = bisect_left(asked, cuts[k], begin, end)
+                    stack.append((cuts[k - 1], cuts[k], deep, overlap, passed, begin, stop))
+                    begin = stop
     return links
 
 
@@ -334,7 +380,7 @@ def _labelled(docs: DataFrame, gram: int, percent: int, group_bytes: int = GROUP
     sized = chosen.select("node", "n")
     links, split = _tree_links(pairs, sets, sized, percent, group_bytes)
     if split.limit(1).count():
-        apart = _apart(led.join(split, "center", "left_semi"), components(links), chosen, percent)
+        apart = _apart(led.join(split, "center", "left_semi"), components(links), chosen, percent, group_bytes)
         blocks, total = _blocks(apart, group_bytes)
         links = links.unionByName(_walk(blocks, sets, total, percent))
     labels = components(links).withColumnRenamed("node", "set_id")
@@ -343,7 +389,7 @@ def _labelled(docs: DataFrame, gram: int, percent: int, group_bytes: int = GROUP
 
 
 def _candidates(common: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs ``center, node`` that meet in a tree, and the buckets ``bucket, node, n, pos, center`` that have a leader.
+    """Pairs ``center, node`` that meet in a tree, and the buckets ``bucket, class, node, n, pos, center`` that have a leader.
 
     ``common`` has the common prefix tokens: ``token, node, n, pos``. Sets that link share at least as many
     of them as the smaller one's prefix is longer, and one. Buckets of few sets give their pairs, which
@@ -351,33 +397,35 @@ def _candidates(common: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     number goes. Pairs that only meet in large buckets are found by the buckets' leaders, among sets
     that are in enough large buckets.
     """
-    # Sets that link differ by less than a size class, so both are in the class of the larger.
+    # Sets that link differ by less than a size class, so both are in the class of the larger, its own:
+    # a bucket or pair without a set of its own class has met in the class below.
     size_class = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / (percent - 1)))
     sized = common.select("token", "node", "n", "pos", F.explode(F.array(size_class, size_class + 1)).alias("class"))
-    sized = sized.select(F.xxhash64("token", "class").alias("bucket"), "class", "node", "n", "pos")
-    sizes = materialize(sized.groupBy("bucket").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1"), "bucket-sizes")
+    sized = sized.select(F.xxhash64("token", "class").alias("bucket"), "class", "node", "n", "pos", (F.col("class") == size_class).alias("own"))
+    sizes = sized.groupBy("bucket").agg(F.count(F.lit(1)).alias("sets"), F.bool_or("own").alias("owned"))
+    sizes = materialize(sizes.where("sets > 1 AND owned").drop("owned"), "bucket-sizes")
     buckets = materialize(sized.join(sizes, "bucket"), "buckets")
-    large = buckets.where(F.col("sets") > FEW).drop("sets")
+    large = buckets.where(F.col("sets") > FEW).drop("sets", "own")
     often = materialize(large.groupBy("node", "class").agg(F.count(F.lit(1)).alias("often"), F.max("n").alias("n")), "large-buckets-of-sets")
     few = buckets.where(F.col("sets") <= FEW).join(often.drop("n"), ["node", "class"], "left")
-    member = F.struct("node", "n", F.coalesce("often", F.lit(0)).alias("often"))
+    member = F.struct("node", "n", F.coalesce("often", F.lit(0)).alias("often"), "own")
     groups = few.groupBy("bucket", "class").agg(F.sort_array(F.collect_list(member)).alias("sets"))
     each = F.flatten(F.transform("sets", lambda x, i: F.transform(
         F.slice("sets", i + 2, F.size("sets")), lambda y: F.struct(x.alias("x"), y.alias("y")))))
     met = groups.select("class", F.explode(each).alias("p")).select("class", "p.x", "p.y")
     least, most = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
-    met = met.where(100 * least >= percent * most).groupBy(F.col("x.node").alias("center"), F.col("y.node").alias("node"), "class").agg(
+    met = met.where((F.col("x.own") | F.col("y.own")) & (100 * least >= percent * most)).groupBy(F.col("x.node").alias("center"), F.col("y.node").alias("node"), "class").agg(
         F.count(F.lit(1)).alias("tokens"), F.max(F.least("x.often", "y.often")).alias("more"), F.max(least).alias("n"))
     near = met.where(F.col("tokens") + F.col("more") >= 1 + F.floor(MORE_PERCENT * F.col("n") / 100)).select("center", "node")
     able = often.where(F.col("often") >= 1 + F.floor(MORE_PERCENT * F.ceil(percent * F.col("n") / 100) / 100)).select("node", "class")
     led = materialize(large.join(able, ["node", "class"]), "large-buckets")
     leaders = led.groupBy("bucket").agg(F.min("node").alias("center"))
-    led = materialize(led.join(leaders, "bucket").select("bucket", "node", "n", "pos", "center"), "led-buckets")
+    led = materialize(led.join(leaders, "bucket").select("bucket", "class", "node", "n", "pos", "center"), "led-buckets")
     pairs = near.unionByName(led.where("node <> center").select("center", "node"))
     return materialize(pairs.distinct(), "tree-pairs"), led
 
 
-def _apart(buckets: DataFrame, labels: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
+def _apart(buckets: DataFrame, labels: DataFrame, chosen: DataFrame, percent: int, group_bytes: int) -> DataFrame:
     """``center, node, n, known, other``: the cells in which sets of a bucket meet that are not linked yet but may be.
 
     If the bucket's token is the first that two sets share, what follows it in either bounds their
@@ -385,27 +433,56 @@ def _apart(buckets: DataFrame, labels: DataFrame, chosen: DataFrame, percent: in
     one of a pair and in those of all sizes that its smaller partner can have. Cells are sizes, from
     about a hundred tokens on ranges of 1 %. ``other`` tells that a set is outside the bucket's
     largest component, as one of two sets apart is.
+
+    Sets apart may share any number of buckets and would meet in each; where the cells of all buckets of
+    a leader and size class send more bytes than the sets of these buckets in a single cell, they get that one.
     """
     named = chosen.select("node", "set_id").join(labels.select(F.col("node").alias("set_id"), "label"), "set_id", "left")
-    rows = materialize(buckets.select("bucket", "node", "n", "pos").join(
+    rows = materialize(buckets.select("bucket", F.xxhash64("center", "class").alias("whole"), "node", "n", "pos").join(
         named.select("node", F.xxhash64(F.coalesce("label", "set_id")).alias("known")), "node"), "labelled-buckets")
-    main = rows.groupBy("bucket", "known").agg(F.count(F.lit(1)).alias("sets")).groupBy("bucket").agg(
-        F.max(F.struct("sets", "known")).alias("main"), F.count(F.lit(1)).alias("labels")).where("labels > 1")
-    main = materialize(main.select("bucket", F.col("main.known").alias("main")), "main-components")
+    main = _main(rows, "bucket", "main-components")
     cell = lambda n: F.floor(F.log(n.cast("double")) * 100)
     n = F.col("n")
     most = F.floor((n - F.col("pos")) * (100 + percent) / percent) - n
     least, top = F.ceil(percent * n / 100), F.least(n, most)
-    rows = rows.join(main, "bucket").select(
-        "bucket", "node", "n", "known", (F.col("known") != F.col("main")).alias("other"), (most >= n).alias("smaller"),
+    placed = rows.join(main, "bucket").select(
+        "whole", "bucket", "node", "n", "known", (F.col("known") != F.col("main")).alias("other"), (most >= n).alias("smaller"),
         cell(n).alias("own"), F.when(top >= least, F.sequence(cell(least), cell(top))).alias("cells"))
-    larger = rows.select("bucket", "node", "n", "known", "other", F.explode("cells").alias("cell"), F.lit(False).alias("smaller"))
-    smaller = rows.where("smaller").select("bucket", "node", "n", "known", "other", F.col("own").alias("cell"), "smaller")
+    larger = placed.select("whole", "bucket", "node", "n", "known", "other", F.explode("cells").alias("cell"), F.lit(False).alias("smaller"))
+    smaller = placed.where("smaller").select("whole", "bucket", "node", "n", "known", "other", F.col("own").alias("cell"), "smaller")
     meets = materialize(larger.unionByName(smaller).withColumn("center", F.xxhash64("bucket", "cell")), "cells-apart")
     used = meets.groupBy("center").agg(
         F.bool_or("smaller").alias("a"), F.bool_and("smaller").alias("b"), F.min("known").alias("x"), F.max("known").alias("y"), F.bool_or("other").alias("o"))
     used = used.where(F.col("a") & ~F.col("b") & F.col("o") & (F.col("x") != F.col("y"))).select("center")
-    return materialize(meets.join(used, "center").select("center", "node", "n", "known", "other").distinct(), "cells-used")
+    cells = materialize(meets.join(used, "center").select("whole", "center", "node", "n", "known", "other").distinct(), "cells-used")
+    wholes = rows.join(cells.select("whole").distinct(), "whole").select("whole", "node", "n", "known").distinct()
+    wholes = wholes.join(_main(wholes, "whole", "main-components-of-wholes"), "whole").select(
+        "whole", F.col("whole").alias("center"), "node", "n", "known", (F.col("known") != F.col("main")).alias("other"))
+    wholes = materialize(wholes, "wholes-apart")
+    sent = lambda frame: _parts(frame.groupBy("whole", "center"), group_bytes).groupBy("whole").agg(F.sum(_sent()).alias("sent"))
+    once = sent(wholes).join(sent(cells).withColumnRenamed("sent", "often"), "whole").where("sent <= often").select("whole")
+    once = materialize(once, "wholes-used")
+    return materialize(cells.join(once, "whole", "left_anti").unionByName(wholes.join(once, "whole")).drop("whole"), "apart")
+
+
+def _main(rows: DataFrame, key: str, name: str) -> DataFrame:
+    """``key, main``: the component with most sets of each ``key`` that holds several."""
+    main = rows.groupBy(key, "known").agg(F.count(F.lit(1)).alias("sets")).groupBy(key).agg(
+        F.max(F.struct("sets", "known")).alias("main"), F.count(F.lit(1)).alias("labels")).where("labels > 1")
+    return materialize(main.select(key, F.col("main.known").alias("main")), name)
+
+
+def _parts(cells: GroupedData, group_bytes: int) -> DataFrame:
+    """The bytes of a cell's sets and of those outside its main component, and in how many parts either is dealt."""
+    size = F.col("n") * 8
+    parts = lambda total: F.greatest(F.ceil(2 * total / group_bytes), F.lit(1))
+    sums = cells.agg(F.sum(F.when(F.col("other"), size)).alias("asked"), F.sum(size).alias("met"))
+    return sums.withColumn("down", parts(F.col("asked"))).withColumn("across", parts(F.col("met")))
+
+
+def _sent() -> Column:
+    """Bytes of the sets in all blocks of a cell."""
+    return F.coalesce("asked", F.lit(0)) * F.col("across") + F.col("met") * F.col("down")
 
 
 def _blocks(cells: DataFrame, group_bytes: int) -> tuple[DataFrame, int]:
@@ -413,9 +490,7 @@ def _blocks(cells: DataFrame, group_bytes: int) -> tuple[DataFrame, int]:
 
     Both sides are dealt to parts of at most about half of ``group_bytes``; a block is a part of either. Also their bytes.
     """
-    size = F.col("n") * 8
-    parts = lambda total: F.greatest(F.ceil(2 * total / group_bytes), F.lit(1))
-    dealt = cells.groupBy("center").agg(parts(F.sum(F.when(F.col("other"), size))).alias("down"), parts(F.sum(size)).alias("across"))
+    dealt = _parts(cells.groupBy("center"), group_bytes).select("center", "down", "across")
     rows = cells.join(materialize(dealt, "cell-parts"), "center")
     place = F.xxhash64("node", F.lit(1))
     every = lambda count: F.explode(F.sequence(F.lit(0).cast("long"), count - 1))
@@ -424,7 +499,7 @@ def _blocks(cells: DataFrame, group_bytes: int) -> tuple[DataFrame, int]:
     block = (F.col("down_") * F.col("across") + F.col("across_")).alias("part")
     blocks = asked.select("center", block, "node", "known", "n").unionByName(met.select("center", block, "node", "known", "n"))
     blocks = materialize(blocks.distinct(), "block-rows")
-    return blocks.select("center", "part", "node", "known"), blocks.agg(F.sum(size)).first()[0] or 0
+    return blocks.select("center", "part", "node", "known"), blocks.agg(F.sum(F.col("n") * 8)).first()[0] or 0
 
 
 def dedup(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT) -> DataFrame:
